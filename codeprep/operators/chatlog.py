@@ -28,52 +28,44 @@ def classify(user_input: Column) -> Column:
     )
 
 
-def exchanges(log: DataFrame) -> DataFrame:
-    """Pair every user turn with the assistant turn right after it.
-
-    ``log`` has (conv_id, turn, role, text) with one row per (conv_id, turn).
-    The answer to turn t is turn t + 1, so both rows meet on one small key,
-    whatever the size of the conversation. Assistant turns that follow
-    something else are not answers to anything and go.
-    """
-    is_user = F.col("role") == "user"
-    anchor = F.when(is_user, F.col("turn")).otherwise(F.col("turn") - 1)
-    return (
-        log.filter(F.col("role").isin("user", "assistant"))
-        .groupBy("conv_id", anchor.alias("turn"))
-        .agg(
-            F.max(F.when(is_user, F.col("text"))).alias("user_input"),
-            F.max(F.when(~is_user, F.col("text"))).alias("response"),
-        )
-        .filter(F.col("user_input").isNotNull())
-        .withColumn("command", classify(F.col("user_input")))
-    )
-
-
-def replay(chat: DataFrame) -> DataFrame:
+def replay(log: DataFrame) -> DataFrame:
     """State of each conversation after every user turn up to its end.
 
-    ``chat`` is the result of ``exchanges``. Blank turns do nothing; nothing
-    after the first quit counts. ``turn_count`` is the number of answered asks
-    since the last clear; ``last_response`` outlives a clear.
+    ``log`` has (conv_id, turn, role, text), one row per (conv_id, turn); the
+    answer to turn t is the assistant turn t + 1. Assistant turns that follow
+    something else answer nothing. Blank turns do nothing; nothing after the
+    first quit counts. ``turn_count`` is the number of answered asks since the
+    last clear; ``last_response`` outlives a clear.
 
     State is carried in two levels: within blocks of turns, and from block to
-    block over one summary row per block.
+    block over one summary row per block, so one endless conversation spreads
+    over many tasks. An answer is put in the block of its question. Both
+    levels read the same shuffle.
     """
     block = ["conv_id", "block"]
+    is_user = F.col("role") == "user"
+    asked_at = F.when(is_user, F.col("turn")).otherwise(F.col("turn") - 1)
+    in_order = Window.partitionBy(*block).orderBy("turn")
+    is_answer = (F.lead("role").over(in_order) == "assistant") & (
+        F.lead("turn").over(in_order) == F.col("turn") + 1
+    )
     is_answered = (F.col("command") == "ask") & F.col("response").isNotNull()
     inputs = (
-        chat.filter(F.col("command") != "blank")
-        .withColumn("block", F.floor(F.col("turn") / BLOCK_TURNS))
+        log.filter(
+            F.col("role").isin("user", "assistant")
+            & F.col("conv_id").isNotNull()
+            & F.col("turn").isNotNull()
+        )
+        .withColumn("block", F.floor(asked_at / BLOCK_TURNS))
+        .withColumn("response", F.when(is_answer, F.lead("text").over(in_order)))
+        .filter(is_user)
+        .withColumn("command", classify(F.col("text")))
+        .filter(F.col("command") != "blank")
         .withColumn("answer", F.when(is_answered, F.col("response")))
         .withColumn("answered", is_answered.cast("bigint"))
         .withColumn("quit", (F.col("command") == "quit").cast("bigint"))
     )
-    so_far = (
-        Window.partitionBy(*block)
-        .orderBy("turn")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = inputs.withColumns(
         {
             "quits": F.sum("quit").over(so_far),
@@ -109,14 +101,12 @@ def replay(chat: DataFrame) -> DataFrame:
     alive = F.col("quits_before") + F.col("quits") - F.col("quit") == 0
     cleared = F.greatest("cleared_before", F.col("asks_before") + F.col("cleared_at"))
     return (
-        local.join(starts, block)
+        local.join(starts, block, "left")
         .filter(alive)
         .select(
             "conv_id",
             "turn",
             "command",
-            "user_input",
-            "answer",
             (F.col("asks_before") + F.col("asks") - cleared).alias("turn_count"),
             F.coalesce("latest", "latest_before", F.lit("")).alias("last_response"),
         )

@@ -17,13 +17,12 @@ def fixed_and_broken(
     "fixed" failed in the baseline only, "broken" in the new run only. One
     aggregation per task replaces the two set differences.
     """
-    sides = (
-        failed.filter(F.col("label").isin(baseline, finetuned))
-        .groupBy("task_id")
-        .agg(F.min("label").alias("first"), F.max("label").alias("last"))
-        .filter(F.col("first") == F.col("last"))
+    sides = failed.groupBy("task_id").agg(
+        F.bool_or(F.col("label") == baseline).alias("before"),
+        F.bool_or(F.col("label") == finetuned).alias("after"),
     )
-    change = F.when(F.col("first") == baseline, "fixed").otherwise("broken")
+    change = F.when(F.col("before"), "fixed").otherwise("broken")
+    sides = sides.filter(F.col("before") != F.col("after"))
     return sides.select(change.alias("change"), "task_id").orderBy("change", "task_id")
 
 
@@ -33,20 +32,14 @@ def change_counts(changes: DataFrame) -> DataFrame:
 
 def _side_by_side(summary: DataFrame, baseline: str, finetuned: str) -> DataFrame:
     """Both summaries in one row; empty unless both runs are there."""
-    metrics = ("pass_at_1", "pass_at_10", "num_passed", "num_problems")
-    old = summary.filter(F.col("label") == baseline).agg(
-        F.count("*").alias("n_old"), *[F.max(m).alias(f"{m}_old") for m in metrics]
-    )
-    new = summary.filter(F.col("label") == finetuned).agg(
-        F.count("*").alias("n_new"), *[F.max(m).alias(f"{m}_new") for m in metrics]
-    )
-    # Two one-row tables.
-    one = F.lit(1)
-    return (
-        old.withColumn("one", one)
-        .join(new.withColumn("one", one), "one")
-        .filter((F.col("n_old") == 1) & (F.col("n_new") == 1))
-    )
+    sides = {"old": F.col("label") == baseline, "new": F.col("label") == finetuned}
+    values = [
+        F.max(F.when(run, F.col(metric))).alias(f"{metric}_{side}")
+        for side, run in sides.items()
+        for metric in ("pass_at_1", "pass_at_10", "num_passed", "num_problems")
+    ]
+    both = F.col("num_problems_old").isNotNull() & F.col("num_problems_new").isNotNull()
+    return summary.agg(*values).filter(both)
 
 
 def metric_table(

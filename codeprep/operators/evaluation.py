@@ -108,11 +108,12 @@ def running_pass1(problems: DataFrame) -> DataFrame:
     ``row_idx`` must count from 0 without gaps. Scores are first summed per
     step of 20; the running sum is formed inside blocks of steps, and a second
     one over block totals gives each block its start. No task sees more than
-    one block, or the block totals of one run.
+    one block, or the block totals of one run. Both read the same shuffle.
     """
     step = F.floor(F.col("row_idx") / PROGRESS_STEP)
     steps = (
-        problems.groupBy(RUN, step.alias("step"))
+        problems.filter(F.col(RUN).isNotNull())
+        .groupBy(RUN, step.alias("step"))
         .agg(F.sum("pass_at_1").alias("score"), F.count("*").alias("n"))
         .withColumn("block", F.floor(F.col("step") / STEPS_PER_BLOCK))
     )
@@ -136,7 +137,7 @@ def running_pass1(problems: DataFrame) -> DataFrame:
         F.sum("n").over(in_block).alias("n_in"),
     ).filter(F.col("n") == PROGRESS_STEP)
     done = F.col("n_before") + F.col("n_in")
-    return so_far.join(starts, [RUN, "block"]).select(
+    return so_far.join(starts, [RUN, "block"], "left").select(
         RUN,
         done.alias("n_done"),
         ((F.col("score_before") + F.col("score_in")) / done).alias("pass_at_1_so_far"),

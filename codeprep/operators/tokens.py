@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from codeprep.operators.ranking import number_rows
 from codeprep.operators.splitting import SEED, shuffle_key
 from codeprep.sources.instructions import ORDER
+from codeprep.staging import stage
 
 # Reserved ids, sequence limit, batch rows, padding step, label padding.
 PAD_ID = 0
@@ -47,14 +48,32 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     )
 
 
+def _most_frequent(counts: DataFrame, size: int) -> DataFrame:
+    """Tokens at least as frequent as the ``size``-th one; ties may add more.
+
+    Counts tokens by their frequency: few different values, however many tokens.
+    """
+    before = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)
+    least = (
+        counts.groupBy("n")
+        .agg(F.count("*").alias("size"))
+        .withColumn("before", F.coalesce(F.sum("size").over(before), F.lit(0)))
+        .filter(F.col("before") < size)
+        .agg(F.min("n"))
+    )
+    return counts.filter(F.col("n") >= least.scalar())
+
+
 def fit_vocab(texts: DataFrame, max_size: int | None = None) -> DataFrame:
     """Token, count and id; ids run from 3 by falling count, then by token.
 
     Ids come from a distributed sort, so the vocabulary may be of any size.
-    With ``max_size`` only the most frequent tokens keep an id.
+    With ``max_size`` only the most frequent tokens are sorted and get an id.
     """
-    order = [F.desc("n"), F.asc("token")]
-    ranked = number_rows(count_tokens(texts), order, "rank")
+    counts = count_tokens(texts)
+    if max_size:
+        counts = _most_frequent(stage(counts, "token-counts"), max_size)
+    ranked = number_rows(counts, [F.desc("n"), F.asc("token")], "rank")
     vocab = ranked.select("token", "n", (F.col("rank") + FIRST_ID).alias("id"))
     return vocab.filter(F.col("id") < FIRST_ID + max_size) if max_size else vocab
 

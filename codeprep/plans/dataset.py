@@ -12,7 +12,7 @@ from codeprep.functions.prompts import training_prompt
 from codeprep.operators.cleaning import clean, first_wins, quality_filter
 from codeprep.operators.splitting import EVAL_SHARE, SEED, sample_exact, split_exact, write_split
 from codeprep.operators.tokens import MAX_TOKENS, encode, fit_vocab
-from codeprep.sources.instructions import ORDER, SourceSpec, SourceStatus, load_sources
+from codeprep.sources.instructions import ORDER, SourceSpec, SourceStatus, load_sources, spread
 from codeprep.staging import stage
 
 
@@ -49,7 +49,7 @@ def build_dataset(
     is decided before encoding, on the row ids alone.
     """
     raw, statuses = load_sources(spark, specs)
-    samples = stage(prepared(raw), "prepared")
+    samples = stage(prepared(spread(raw, *ORDER)), "prepared")
     samples = sample_exact(samples, config.max_samples, config.seed)
     texts = training_texts(samples)
     vocab = fit_vocab(texts, config.max_vocab)

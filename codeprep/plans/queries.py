@@ -91,7 +91,7 @@ def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chatlog.exchanges(views.view(spark, sf_dir, views.CHAT_LOG))
+    return chatlog.replay(views.view(spark, sf_dir, views.CHAT_LOG))
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -295,22 +295,22 @@ def chat_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def chat_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chatlog.replay(_chat(spark, sf_dir)).drop("user_input", "answer")
+    return _chat(spark, sf_dir)
 
 
 def chat_saves(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chatlog.saves(chatlog.replay(_chat(spark, sf_dir)))
+    return chatlog.saves(_chat(spark, sf_dir))
 
 
 # Tokens.
 
 
 def vocab_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.fit_vocab(views.read(spark, sf_dir, "documents"))
+    return tokens.fit_vocab(views.documents(spark, sf_dir))
 
 
 def vocab_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.fit_vocab(views.read(spark, sf_dir, "documents"), VOCAB_SIZE)
+    return tokens.fit_vocab(views.documents(spark, sf_dir), VOCAB_SIZE)
 
 
 def encode_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from codeprep.sources.instructions import spread
+
 SAMPLES = """
     SELECT CAST(substr(source, 4) AS INT) % 5 AS source_rank, doc_id AS row_idx, lang,
         CASE doc_id % 11 WHEN 0 THEN concat('</s> ', text) WHEN 1 THEN NULL ELSE text END
@@ -87,8 +89,15 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The largest table, dealt out to all cores if it comes in few splits."""
+    return spread(read(spark, sf_dir, "documents"), "doc_id")
+
+
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     used = {t: read(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in sql}
+    if "documents" in used:
+        used["documents"] = documents(spark, sf_dir)
     return spark.sql(sql, **used)
 
 

@@ -16,6 +16,8 @@ def local_session(cores: str | None = None) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # Arrays of this many texts are collected in memory before a task sorts instead.
+        .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "2048")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -20,8 +20,10 @@ logger = logging.getLogger(__name__)
 TEXT_COLUMNS = ("instruction", "input", "output")
 ORDER = ("source_rank", "row_idx")
 
-# A file-offset table with more rows than this is joined by shuffle.
-MAX_BROADCAST_FILES = 100_000
+# A scan of at most this many splits has few enough files to broadcast their
+# offsets: with Spark's default split size and opening cost a split holds at
+# most 32 files.
+MAX_BROADCAST_SPLITS = 10_000
 
 
 @dataclass(frozen=True)
@@ -112,7 +114,7 @@ def with_file_position(spark: SparkSession, spec: SourceSpec) -> DataFrame:
         "_block",
         (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_offset"),
     )
-    if spec.format == "parquet" and len(rows.inputFiles()) <= MAX_BROADCAST_FILES:
+    if spec.format == "parquet" and rows.rdd.getNumPartitions() <= MAX_BROADCAST_SPLITS:
         offsets = F.broadcast(offsets)
     return (
         rows.join(offsets, ["_file", "_block"])
@@ -121,6 +123,19 @@ def with_file_position(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     )
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Deal a small table out to all cores before costly text work.
+
+    A scan with fewer splits than cores holds a few megabytes per core at
+    most, often in one row group that only one task can read. Larger tables
+    come back as they are: their splits keep every core busy.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores, *keys)
+
+
 def read_source(spark: SparkSession, spec: SourceSpec, source_rank: int) -> DataFrame:
     if spec.order_col:
         read = spark.read.format(spec.format).options(**spec.options).load(spec.path)
