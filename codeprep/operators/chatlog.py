@@ -97,8 +97,10 @@ def replay(log: DataFrame) -> DataFrame:
         ).alias("cleared_before"),
         F.last("block_latest.answer", ignorenulls=True).over(earlier).alias("latest_before"),
     )
-    # A quit ends the session after its own row.
-    alive = F.col("quits_before") + F.col("quits") - F.col("quit") == 0
+    # A quit ends the session after its own row. Every block has a start; the
+    # outer join and the coalesce only keep the two plans alike for their shuffle.
+    earlier_quits = F.coalesce("quits_before", F.lit(0)) + F.col("quits") - F.col("quit")
+    alive = earlier_quits == 0
     cleared = F.greatest("cleared_before", F.col("asks_before") + F.col("cleared_at"))
     return (
         local.join(starts, block, "left")

@@ -113,10 +113,14 @@ def encode(
     Tokens of one text never leave their map task before they are collected
     again, so the shuffle carries one packed array per text.
     """
-    found = texts.select(*ids, tokens(F.col("text")).alias("all")).select(
-        *ids,
-        (F.size("all") + 1 > max_tokens).alias("was_truncated"),
-        F.posexplode_outer(F.slice("all", 1, max_tokens)).alias("pos", "token"),
+    found = (
+        texts.select(*ids, tokens(F.col("text")).alias("all"))
+        .select(
+            *ids,
+            (F.size("all") + 1 > max_tokens).alias("was_truncated"),
+            F.slice("all", 1, max_tokens).alias("kept"),
+        )
+        .select(*ids, "was_truncated", F.posexplode_outer("kept").alias("pos", "token"))
     )
     token_id = F.coalesce("id", F.lit(UNKNOWN_ID).cast("bigint"))
     packed = F.when(

@@ -30,10 +30,10 @@ def prepared(samples: DataFrame) -> DataFrame:
     return first_wins(quality_filter(clean(samples)))
 
 
-def training_texts(samples: DataFrame) -> DataFrame:
+def training_texts(samples: DataFrame, *keep: str) -> DataFrame:
     """Training prompt per row without its end marker, which ``encode`` adds as an id."""
     prompt = training_prompt(F.col("instruction"), F.col("input"), F.col("output"), "")
-    return samples.select(*ORDER, prompt.alias("text"))
+    return samples.select(*ORDER, *keep, prompt.alias("text"))
 
 
 def build_dataset(
@@ -42,17 +42,19 @@ def build_dataset(
     path: str,
     config: DatasetConfig = DatasetConfig(),
 ) -> list[SourceStatus]:
-    """Load, clean, filter, remove copies, sample, encode, split and write.
+    """Load, clean, filter, remove copies, sample, split, encode and write.
 
     Two tables are written on the way: the prepared samples, which the sample,
-    the vocabulary and the encoding read, and the ranked vocabulary. The split
-    is decided before encoding, on the row ids alone.
+    the split, the vocabulary and the encoding read, and the ranked
+    vocabulary. Rows are assigned to a split by their ids before encoding, so
+    the encoded arrays go straight to their place.
     """
     raw, statuses = load_sources(spark, specs)
     samples = stage(prepared(spread(raw, *ORDER)), "prepared")
-    samples = sample_exact(samples, config.max_samples, config.seed)
-    texts = training_texts(samples)
-    vocab = fit_vocab(texts, config.max_vocab)
-    encoded = stage(encode(texts, vocab, max_tokens=config.max_tokens), "encoded")
-    write_split(split_exact(encoded, config.eval_share, config.seed), path)
+    if config.max_samples:
+        samples = stage(sample_exact(samples, config.max_samples, config.seed), "sampled")
+    split = split_exact(samples, config.eval_share, config.seed)
+    vocab = fit_vocab(training_texts(samples), config.max_vocab)
+    texts = training_texts(split, "split")
+    write_split(encode(texts, vocab, (*ORDER, "split"), config.max_tokens), path)
     return statuses

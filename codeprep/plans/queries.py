@@ -82,11 +82,16 @@ def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = views.read(spark, sf_dir, "events")
     ts = F.col("ts").cast("timestamp")
     label = F.when(F.col("event_id") % 2 == 0, "baseline").otherwise("finetuned")
-    return events.groupBy(label.alias("label")).agg(
-        F.concat(F.lit("models/"), F.first(label)).alias("model_path"),
-        F.date_format(F.max(ts), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+    spans = events.groupBy(label.alias("label")).agg(
+        F.min(ts).alias("start"), F.max(ts).alias("end")
+    )
+    micros = F.unix_micros("end") - F.unix_micros("start")
+    return spans.select(
+        "label",
+        F.concat(F.lit("models/"), "label").alias("model_path"),
+        F.date_format("end", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
         F.lit(0.2).alias("temperature"),
-        ((F.unix_micros(F.max(ts)) - F.unix_micros(F.min(ts))) / 1_000_000).alias("elapsed_sec"),
+        (micros / 1_000_000).alias("elapsed_sec"),
     )
 
 

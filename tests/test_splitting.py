@@ -1,0 +1,69 @@
+import hashlib
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from codeprep.operators import splitting
+from codeprep.operators.ranking import number_rows, smallest_cutoff
+
+
+def rows(spark, n, parts=4):
+    return spark.range(n, numPartitions=parts).selectExpr(
+        "cast(id % 3 as int) as source_rank", "id as row_idx"
+    )
+
+
+def by_hash(n, seed):
+    return sorted(
+        range(n), key=lambda i: hashlib.md5(f"{seed}:{i % 3}:{i}".encode()).hexdigest()
+    )
+
+
+@pytest.mark.parametrize("parts", [1, 17])
+@pytest.mark.parametrize("k", [1, 37, 500])
+def test_sample(spark, parts, k):
+    got = splitting.sample_exact(rows(spark, 500, parts), k, seed=7).collect()
+    assert {r.row_idx for r in got} == set(by_hash(500, 7)[:k]) and len(got) == k
+
+
+def test_sample_not_needed(spark):
+    table = rows(spark, 50)
+    assert [splitting.sample_exact(table, k).count() for k in (None, 0, 51)] == [50, 50, 50]
+
+
+@pytest.mark.parametrize("n", [1, 49, 50, 51, 1000])
+def test_split(spark, n):
+    split = splitting.split_exact(rows(spark, n)).collect()
+    held_out = {r.row_idx for r in split if r.split == "eval"}
+    assert held_out == set(by_hash(n, 42)[: math.ceil(0.02 * n)])
+    assert sorted(r.row_idx for r in split) == list(range(n))
+    assert {r.split for r in split} <= {"eval", "train"}
+
+
+def test_split_of_nothing(spark):
+    assert splitting.split_exact(rows(spark, 0)).count() == 0
+
+
+def test_split_sizes_and_write(spark, tmp_path):
+    split = splitting.split_exact(rows(spark, 362))
+    sizes = {r.split: r.n_rows for r in splitting.split_sizes(split).collect()}
+    assert sizes == {"eval": 8, "train": 354}
+    splitting.write_split(split, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out" / "split=eval")).count() == 8
+
+
+@pytest.mark.parametrize("prefix", [1, 2, 4])
+def test_cutoff_at_prefix_borders(spark, prefix):
+    keys = sorted(f"{i // 7:02d}{i:04d}" for i in range(60))
+    table = spark.createDataFrame([(k,) for k in keys], "key string")
+    for count in (1, 7, 8, 14, 59, 60):
+        cutoff = smallest_cutoff(table, count, prefix).collect()
+        assert [r.key for r in cutoff] == [keys[count - 1]]
+    assert smallest_cutoff(table, 61, prefix).collect() == []
+
+
+def test_number_rows(spark):
+    table = spark.range(2000, numPartitions=9).select((F.col("id") * 37 % 2000).alias("v"))
+    got = number_rows(table, [F.desc("v")], "n").collect()
+    assert sorted((r.n, r.v) for r in got) == [(i, 1999 - i) for i in range(2000)]
