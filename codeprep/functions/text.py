@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Mapping
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The 29 code points that a Unicode-aware strip removes.
@@ -27,13 +27,17 @@ TRUNCATION_MARK = "\n# ... (truncated)"
 LABEL_CHARS = 60
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it several times inside ``body``.
+def computed_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add or replace columns whose values are costly, like ``withColumns``.
 
-    Catalyst inlines a projected column into every conjunct of a filter above
-    it. Binding the value to a lambda variable keeps one evaluation per row.
+    Catalyst copies a projected expression into every conjunct of a filter
+    above it and computes it again afterwards. A generated column stays where
+    it is: one struct per row is generated here, so each value is computed
+    once, and filters on it stay above it.
     """
-    return F.element_at(F.transform(F.array(value), body), 1)
+    kept = [c for c in df.columns if c not in columns]
+    values = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select(*kept, F.inline(F.array(values)))
 
 
 def strip(c: Column) -> Column:

@@ -8,7 +8,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codeprep.functions.text import clean_text, dedup_key, let
+from codeprep.functions.text import clean_text, computed_once, dedup_key
 from codeprep.sources.instructions import ORDER
 
 # Bounds in code points, both inclusive, and the code keywords.
@@ -20,8 +20,8 @@ CODE_KEYWORDS = ("def ", "import ", "class ", "return ", "print(", "for ", "if "
 
 def clean(samples: DataFrame) -> DataFrame:
     """Strip instruction and output and take foreign end markers out; input stays as it is."""
-    return samples.withColumns(
-        {"instruction": clean_text(F.col("instruction")), "output": clean_text(F.col("output"))}
+    return computed_once(
+        samples, {c: clean_text(F.col(c)) for c in ("instruction", "output")}
     )
 
 
@@ -33,17 +33,13 @@ def has_keyword(output: Column) -> Column:
     return reduce(or_, [output.contains(keyword) for keyword in CODE_KEYWORDS])
 
 
-def output_ok(output: Column) -> Column:
-    return output_length_ok(output) & has_keyword(output)
-
-
 def instruction_ok(instruction: Column) -> Column:
     return F.length(instruction) >= MIN_INSTRUCTION
 
 
 def is_good(instruction: Column, output: Column) -> Column:
-    """All quality rules. Each text is bound once, see ``let``."""
-    return let(instruction, instruction_ok) & let(output, output_ok)
+    """All quality rules."""
+    return instruction_ok(instruction) & output_length_ok(output) & has_keyword(output)
 
 
 def quality_filter(cleaned: DataFrame) -> DataFrame:
@@ -54,9 +50,9 @@ def quality_rejects(cleaned: DataFrame) -> DataFrame:
     """Rows that fail each rule; a row may fail several."""
     output, instruction = F.col("output"), F.col("instruction")
     failed = {
-        "output_length": let(output, lambda c: ~output_length_ok(c)),
-        "instruction_length": let(instruction, lambda c: ~instruction_ok(c)),
-        "no_keyword": let(output, lambda c: ~has_keyword(c)),
+        "output_length": ~output_length_ok(output),
+        "instruction_length": ~instruction_ok(instruction),
+        "no_keyword": ~has_keyword(output),
         "any_rule": ~is_good(instruction, output),
     }
     counts = cleaned.agg(*[F.count_if(rule).alias(name) for name, rule in failed.items()])

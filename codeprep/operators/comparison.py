@@ -81,11 +81,11 @@ def headline(
 ) -> DataFrame:
     """One sentence on the gain in pass@1; the sample count is the caller's."""
     old, new = F.col("pass_at_1_old"), F.col("pass_at_1_new")
-    text = F.format_string(
-        f"Fine-tuned {model} on {n_training_samples} Python samples, "
-        "improving pass@1 from %.2f%% -> %.2f%% (%+.1f%%)",
-        old,
-        new,
-        new - old,
+    text = F.concat(
+        F.lit(f"Fine-tuned {model} on {n_training_samples} Python samples, improving pass@1 from "),
+        old.cast("string"),
+        F.lit("% -> "),
+        new.cast("string"),
+        F.format_string("%% (+%.1f%%)", new - old),
     )
     return _side_by_side(summary, baseline, finetuned).select(text.alias("headline"))

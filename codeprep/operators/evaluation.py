@@ -150,15 +150,12 @@ def report_lines(summary: DataFrame) -> DataFrame:
     lines = F.concat_ws(
         "\n",
         title,
-        F.concat(F.lit("pass@1: "), F.format_string("%.2f%%", "pass_at_1")),
-        F.when(
-            F.col("pass_at_10").isNotNull(),
-            F.concat(F.lit("pass@10: "), F.format_string("%.2f%%", "pass_at_10")),
-        ),
+        F.concat(F.lit("pass@1: "), F.col("pass_at_1").cast("string"), F.lit("%")),
+        F.concat(F.lit("pass@10: "), F.col("pass_at_10").cast("string"), F.lit("%")),
         F.format_string("Passed: %d / %d", "num_passed", "num_problems"),
         F.when(
             F.col("elapsed_sec").isNotNull(),
             F.format_string("Time: %.1f min", F.col("elapsed_sec") / 60),
         ),
-    )
+    )  # concat_ws leaves out the lines that are null
     return summary.select(RUN, lines.alias("report"))

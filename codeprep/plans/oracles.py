@@ -302,7 +302,7 @@ ORACLES: dict[str, str] = {
         SELECT * FROM so_far WHERE n_done % 20 = 0""",
     "run_report": f"""WITH {ATTEMPTS}, {PROBLEMS}, {SUMMARY}, {RUNS}
         SELECT label, concat_ws(chr(10), 'RESULTS - ' || upper(label),
-            'pass@1: ' || printf('%.2f%%', pass_at_1), 'pass@10: ' || printf('%.2f%%', pass_at_10),
+            'pass@1: ' || CAST(pass_at_1 AS VARCHAR) || '%', 'pass@10: ' || CAST(pass_at_10 AS VARCHAR) || '%',
             printf('Passed: %d / %d', num_passed, num_problems),
             printf('Time: %.1f min', elapsed_sec / 60)) AS report FROM detailed""",
     "compare_runs": f"""WITH {ATTEMPTS}, {PROBLEMS}, {SUMMARY},
@@ -320,8 +320,8 @@ ORACLES: dict[str, str] = {
         o AS (SELECT max(pass_at_1) FILTER (WHERE label = 'baseline') AS b,
             max(pass_at_1) FILTER (WHERE label = 'finetuned') AS f FROM summary)
         SELECT 'Fine-tuned a model on 84042 Python samples, improving pass@1 from '
-            || printf('%.2f', b) || '% -> ' || printf('%.2f', f) || '% ('
-            || printf('%+.1f', f - b) || '%)' AS headline FROM o""",
+            || CAST(b AS VARCHAR) || '% -> ' || CAST(f AS VARCHAR) || '% (+'
+            || printf('%.1f', f - b) || '%)' AS headline FROM o""",
     "fixed_broken": f"""WITH {SINGLE}, {PROBLEMS},
         b AS (SELECT task_id FROM problems WHERE label = 'baseline' AND num_correct = 0),
         f AS (SELECT task_id FROM problems WHERE label = 'finetuned' AND num_correct = 0)

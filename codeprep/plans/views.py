@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from codeprep.sources.instructions import spread
-
 SAMPLES = """
     SELECT CAST(substr(source, 4) AS INT) % 5 AS source_rank, doc_id AS row_idx, lang,
         CASE doc_id % 11 WHEN 0 THEN concat('</s> ', text) WHEN 1 THEN NULL ELSE text END
@@ -89,6 +87,24 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+# Tasks that share the rows of one split of a small table.
+TASKS_PER_SPLIT = 8
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Deal a small table out to more tasks before costly text work.
+
+    A scan with fewer splits than cores holds a few megabytes per core at
+    most, often in one row group that only one task can read. Larger tables
+    come back as they are: their splits keep every core busy.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    splits = scan.rdd.getNumPartitions()
+    if splits >= cores:
+        return scan
+    return scan.repartition(min(cores, TASKS_PER_SPLIT * max(splits, 1)), key)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The largest table, dealt out to all cores if it comes in few splits."""
     return spread(read(spark, sf_dir, "documents"), "doc_id")

@@ -123,19 +123,6 @@ def with_file_position(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     )
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Deal a small table out to all cores before costly text work.
-
-    A scan with fewer splits than cores holds a few megabytes per core at
-    most, often in one row group that only one task can read. Larger tables
-    come back as they are: their splits keep every core busy.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
-        return rows
-    return rows.repartition(cores, *keys)
-
-
 def read_source(spark: SparkSession, spec: SourceSpec, source_rank: int) -> DataFrame:
     if spec.order_col:
         read = spark.read.format(spec.format).options(**spec.options).load(spec.path)

@@ -38,8 +38,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     Unlike cached blocks the table outlives lost executors, and unlike a
     checkpoint it keeps column pruning and filter pushdown for its readers.
-    The folder belongs to the run; remove it together with the run.
+    All tables of an application are in one folder; remove it after the run.
     """
-    path = f"{shared_folder(df.sparkSession)}/codeprep/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    run = f"{shared_folder(spark)}/codeprep-{spark.sparkContext.applicationId}"
+    path = f"{run}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
