@@ -10,13 +10,17 @@ from pyspark.sql import functions as F
 from codeprep.functions.completions import assemble_solution, extract_code
 from codeprep.operators.comparison import fixed_and_broken, metric_table
 from codeprep.operators.evaluation import (
+    failed_tasks,
     per_problem,
     problem_errors,
     run_summary,
     with_run_details,
 )
 from codeprep.sources.reports import (
+    NESTED,
+    TABLES,
     read_reports,
+    read_tables,
     report_failed,
     report_summary,
     write_reports,
@@ -39,7 +43,15 @@ def evaluate(attempts: DataFrame, runs: DataFrame, path: str) -> str:
     return write_reports(summary, problems, problem_errors(attempts), path)
 
 
-def compare(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Metric table, and fixed and broken problems, of two stored reports."""
+def compare(
+    spark: SparkSession, paths: Sequence[str], layout: str = NESTED
+) -> tuple[DataFrame, DataFrame]:
+    """Metric table, and fixed and broken problems, of two stored runs.
+
+    ``paths`` are the nested reports, or the one folder of reports written as tables.
+    """
+    if layout == TABLES:
+        summary, problems = read_tables(spark, *paths)
+        return metric_table(summary), fixed_and_broken(failed_tasks(problems))
     reports = read_reports(spark, paths)
     return metric_table(report_summary(reports)), fixed_and_broken(report_failed(reports))

@@ -12,12 +12,13 @@ from codeprep.functions.completions import extract_code, is_code_like, marker_co
 from codeprep.functions.scores import pass_at_k
 from codeprep.functions.text import clean_text, short_label
 from codeprep.operators import chatlog, cleaning, comparison, evaluation, splitting, tokens
+from codeprep.plans import evaluation as evaluation_plan
 from codeprep.plans import views
 from codeprep.plans.dataset import prepared, training_texts
-from codeprep.plans.evaluation import solutions
 from codeprep.sources import files, instructions, problems
 from codeprep.sources.instructions import ORDER, TEXT_COLUMNS, SourceSpec
-from codeprep.staging import stage
+from codeprep.sources.reports import NESTED
+from codeprep.staging import new_folder, stage
 
 VOCAB_SIZE = 1000
 SAMPLE_SIZE = 100
@@ -222,7 +223,7 @@ def code_files_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extract_code_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return solutions(views.view(spark, sf_dir, views.COMPLETIONS)).drop("prompt")
+    return evaluation_plan.solutions(views.view(spark, sf_dir, views.COMPLETIONS)).drop("prompt")
 
 
 def unfence_answer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,7 +278,13 @@ def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def compare_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparison.metric_table(evaluation.run_summary(_problems(spark, sf_dir)))
+    """Through stored reports: both runs are written as JSON and read back."""
+    path = new_folder(spark, "reports")
+    attempts = views.view(spark, sf_dir, views.ATTEMPTS)
+    layout = evaluation_plan.evaluate(attempts, _runs(spark, sf_dir), path)
+    nested = [f"{path}/run={run}" for run in (comparison.BASELINE, comparison.FINETUNED)]
+    paths = nested if layout == NESTED else [path]
+    return evaluation_plan.compare(spark, paths, layout)[0]
 
 
 def compare_headline(spark: SparkSession, sf_dir: str) -> DataFrame:

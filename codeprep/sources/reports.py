@@ -19,6 +19,20 @@ REPORT_SCHEMA = """
                              `pass@1`: double, errors: array<string>>>
 """
 
+# The same content as separate tables.
+SUMMARY_SCHEMA = """
+    label string, num_problems bigint, num_samples bigint, pass_at_1 double, pass_at_10 double,
+    num_passed bigint, num_failed bigint, model_path string, timestamp string,
+    temperature double, elapsed_sec double
+"""
+PROBLEM_SCHEMA = """
+    label string, task_id string, row_idx bigint, num_correct bigint, num_samples bigint,
+    num_errors bigint, pass_at_1 double
+"""
+
+NESTED = "nested"
+TABLES = "tables"
+
 # A run with more problems or errors than this is not written as one document.
 MAX_NESTED_PROBLEMS = 100_000
 MAX_NESTED_ERRORS = 1_000_000
@@ -80,19 +94,20 @@ def fits_nested(problems: DataFrame) -> bool:
 def write_reports(
     summary: DataFrame, problems: DataFrame, errors: DataFrame, path: str
 ) -> str:
-    """Write all runs below ``path``, one folder per label; returns the layout used.
+    """Write all runs below ``path`` and return the layout used.
 
-    "nested" is one JSON document per run. "tables" holds the same content as
-    JSON lines in ``summary``, ``per_problem`` and ``errors``, for runs of any size.
+    NESTED is one JSON document per run, in a folder per label. TABLES holds
+    the same content as JSON lines in ``summary``, ``per_problem`` and
+    ``errors``, for runs of any size.
     """
     if fits_nested(problems):
         report = nested_report(summary, problems, errors)
         _write_json(report.withColumn("run", F.col(RUN)), path, "run")
-        return "nested"
+        return NESTED
     _write_json(summary, f"{path}/summary")
     _write_json(problems, f"{path}/per_problem", RUN)
     _write_json(errors, f"{path}/errors", RUN)
-    return "tables"
+    return TABLES
 
 
 def _write_json(df: DataFrame, path: str, *partitions: str) -> None:
@@ -111,6 +126,14 @@ def read_reports(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         raise FileNotFoundError(f"run all evaluations to compare first: {error}") from error
 
 
+def read_tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Summary and per-problem rows of reports written as tables."""
+    return (
+        spark.read.schema(SUMMARY_SCHEMA).json(f"{path}/summary"),
+        spark.read.schema(PROBLEM_SCHEMA).json(f"{path}/per_problem"),
+    )
+
+
 def report_summary(reports: DataFrame) -> DataFrame:
     """Stored reports in the shape of ``evaluation.run_summary``."""
     return reports.select(

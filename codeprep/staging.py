@@ -33,15 +33,21 @@ def _local_folder() -> str:
     return _LOCAL[0]
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """An unused path in the shared folder.
+
+    All paths of an application are in one folder; remove it after the run.
+    """
+    run = f"{shared_folder(spark)}/codeprep-{spark.sparkContext.applicationId}"
+    return f"{run}/{name}-{uuid.uuid4().hex}"
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet in the shared folder and return the written table.
 
     Unlike cached blocks the table outlives lost executors, and unlike a
     checkpoint it keeps column pruning and filter pushdown for its readers.
-    All tables of an application are in one folder; remove it after the run.
     """
-    spark = df.sparkSession
-    run = f"{shared_folder(spark)}/codeprep-{spark.sparkContext.applicationId}"
-    path = f"{run}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

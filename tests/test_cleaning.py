@@ -92,3 +92,19 @@ def test_funnel_and_groups(spark):
     assert sum(g.n_groups for g in groups) == len(survivors)
     assert sum(g.n_dropped for g in groups) == len(fine) - len(survivors)
     assert max(g.group_size for g in groups) == 300
+
+
+def test_cleaning_takes_a_stream(spark, tmp_path):
+    rows = [(0, i, "instruction %d</s>" % i, "", good(49 + i)) for i in range(4)]
+    samples(spark, rows).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path / "in"))
+    query = (
+        cleaning.quality_filter(cleaning.clean(stream))
+        .writeStream.format("memory")
+        .queryName("cleaned_stream")
+        .start()
+    )
+    query.processAllAvailable()
+    query.stop()
+    kept = spark.table("cleaned_stream").orderBy("row_idx").collect()
+    assert [r.instruction for r in kept] == ["instruction 1", "instruction 2", "instruction 3"]

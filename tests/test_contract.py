@@ -78,3 +78,17 @@ def test_build_dataset(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+class ClusterSession:
+    """Settings of a session that does not run locally."""
+
+    def __init__(self, **settings):
+        self.conf = {"spark.master": "yarn"} | settings
+
+
+def test_a_cluster_must_name_the_folder():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(ClusterSession())
+    named = ClusterSession(**{"spark.checkpoint.dir": "hdfs:///shared/"})
+    assert shared_folder(named) == "hdfs:///shared"

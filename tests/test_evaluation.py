@@ -197,4 +197,9 @@ def test_large_runs_become_tables(spark, runs, tmp_path, monkeypatch):
     assert spark.read.json(f"{out}/per_problem").count() == 3
     assert spark.read.json(f"{out}/summary").first()["num_passed"] == 2
     errors = spark.read.json(f"{out}/errors").select(F.sum(F.size("errors"))).first()[0]
+    both = attempts.unionByName(attempts.withColumn("label", F.lit("finetuned")).withColumn("passed", F.lit(True)))
+    assert plan.evaluate(both, runs, out + "2") == "tables"
+    metrics, changes = plan.compare(spark, [out + "2"], "tables")
+    assert [r.delta for r in metrics.orderBy("line").collect()][-2:] == [1.0, None]
+    assert [tuple(r) for r in changes.collect()] == [("fixed", "t0")]
     assert errors == evaluation.per_problem(attempts).agg(F.sum("num_errors")).first()[0]

@@ -70,6 +70,20 @@ def test_positions_in_parquet_files(spark, tmp_path):
     assert [got[i] for i in range(1000)] == list(range(1000))
 
 
+def test_positions_count_rows_before_the_filter(spark, tmp_path):
+    path = tmp_path / "filtered"
+    spark.range(100, numPartitions=3).selectExpr(
+        "cast(id as string) instruction", "if(id % 10 = 0, 'Keep', 'drop') lang"
+    ).write.parquet(str(path))
+    rows, _ = load_sources(spark, [SourceSpec("f", str(path), equals={"lang": "keep"})])
+    assert sorted((r.row_idx, int(r.instruction)) for r in rows.collect()) == [
+        (i, i) for i in range(0, 100, 10)
+    ]
+    assert "Exchange hashpartitioning(_file" not in rows._jdf.queryExecution().toString().split(
+        "BroadcastExchange"
+    )[0]
+
+
 def test_positions_in_json_lines(spark, tmp_path):
     path = tmp_path / "j"
     path.mkdir()
