@@ -129,7 +129,7 @@ def encode(
     )
     id_of = F.lit((1 << _ID_BITS) - 1)
     in_order = F.transform(
-        F.array_sort("packed"), lambda x: x.bitwiseAND(id_of).cast("int")
+        F.sort_array("packed"), lambda x: x.bitwiseAND(id_of).cast("int")
     )
     return (
         _with_ids(found, vocab)
@@ -146,8 +146,8 @@ def encode(
     )
 
 
-def shard_count(n_rows: int) -> int:
-    return max(1, -(-n_rows // ROWS_PER_SHARD))
+def shard_count(n_rows: int, rows_per_shard: int = ROWS_PER_SHARD) -> int:
+    return max(1, -(-n_rows // rows_per_shard))
 
 
 def padded_batches(

@@ -346,8 +346,9 @@ ORACLES: dict[str, str] = {
     "padded_batches": f"""WITH {encoded(f"QUALIFY id < {q.VOCAB_SIZE} + 3")},
         keyed AS (SELECT *, md5('42:' || CAST(source_rank AS VARCHAR) || ':'
             || CAST(row_idx AS VARCHAR)) AS h FROM encoded),
-        dealt AS (SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) % {q.N_SHARDS} AS shard
-            FROM keyed),
+        dealt AS (SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) 
+            % (SELECT CAST(greatest(1, ceil(count(*) / {q.ROWS_PER_SHARD})) AS BIGINT) FROM samples)
+            AS shard FROM keyed),
         grouped AS (SELECT *, (row_number() OVER (PARTITION BY shard ORDER BY h) - 1) // 4 AS batch
             FROM dealt),
         wide AS (SELECT *, CAST(ceil(max(len(input_ids)) OVER (PARTITION BY shard, batch) / 8) * 8

@@ -23,7 +23,7 @@ from codeprep.staging import new_folder, stage
 VOCAB_SIZE = 1000
 SAMPLE_SIZE = 100
 PROBLEM_LIMIT = 20
-N_SHARDS = 4
+ROWS_PER_SHARD = 250
 
 
 def source_specs(sf_dir: str) -> list[SourceSpec]:
@@ -339,7 +339,8 @@ def encode_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 def padded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = _texts(spark, sf_dir)
     encoded = tokens.encode(texts, tokens.fit_vocab(texts, VOCAB_SIZE))
-    batches = tokens.padded_batches(encoded, N_SHARDS)
+    shards = tokens.shard_count(texts.count(), ROWS_PER_SHARD)
+    batches = tokens.padded_batches(encoded, shards)
 
     def digest(c: str):
         return F.md5(F.array_join(F.col(c).cast("array<string>"), " ")).alias(f"{c}_md5")
