@@ -25,9 +25,10 @@ LABEL_PAD = -100
 # A token is a run of word characters or one other visible character.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\p{Z}\t-\r\x1c-\x1f\x85]"
 
-# Only this much of a vocabulary is broadcast: so many tokens of so many characters.
+# A vocabulary is broadcast up to this many tokens and characters. Of a larger
+# one, only its first tokens are, and of these the ones with an average length.
 MAX_BROADCAST_TOKENS = 500_000
-MAX_BROADCAST_TOKEN_CHARS = 64
+MAX_BROADCAST_CHARS = 32_000_000
 
 ROWS_PER_SHARD = 10_000
 
@@ -81,21 +82,29 @@ def fit_vocab(texts: DataFrame, max_size: int | None = None) -> DataFrame:
 def _with_ids(found: DataFrame, vocab: DataFrame) -> DataFrame:
     """Look up the id of every token; a token outside the vocabulary gets a null id.
 
-    A vocabulary that is small by count is broadcast. Of a larger one, the
-    most frequent tokens are broadcast and the others joined by shuffle: the
-    token of rank r makes up at most 1/r of the text, so none of those that
-    are left can be a hot key.
+    A vocabulary of checked size is broadcast. Of a larger one, the most
+    frequent tokens are broadcast and the others joined by shuffle: the token
+    of rank r makes up at most 1/r of the text, so a token that is left is not
+    a hot key, unless it is very long; adaptive execution splits such a join.
+    The looked-up tokens are written once, as both halves read them; only
+    unresolved ones keep their text.
     """
-    fits = (F.col("id") < FIRST_ID + MAX_BROADCAST_TOKENS) & (
-        F.length("token") <= MAX_BROADCAST_TOKEN_CHARS
-    )
     ids = vocab.select("token", "id")
-    head = F.broadcast(ids.filter(fits))
-    if ids.filter(~fits).isEmpty():
-        return found.join(head, "token", "left")
-    known = found.join(head, "token", "left")
-    rest = known.filter(F.col("id").isNull()).drop("id").join(ids.filter(~fits), "token", "left")
-    return known.filter(F.col("id").isNotNull()).unionByName(rest)
+    size = ids.agg(F.count("*").alias("n"), F.sum(F.length("token")).alias("chars")).first()
+    if size.n <= MAX_BROADCAST_TOKENS and (size.chars or 0) <= MAX_BROADCAST_CHARS:
+        return found.join(F.broadcast(ids), "token", "left").drop("token")
+    frequent = (F.col("id") < FIRST_ID + MAX_BROADCAST_TOKENS) & (
+        F.length("token") <= MAX_BROADCAST_CHARS // MAX_BROADCAST_TOKENS
+    )
+    looked_up = stage(
+        found.join(F.broadcast(ids.filter(frequent)), "token", "left").withColumn(
+            "token", F.when(F.col("id").isNull(), F.col("token"))
+        ),
+        "looked-up",
+    )
+    known, rest = (looked_up.filter(c) for c in (F.col("id").isNotNull(), F.col("id").isNull()))
+    resolved = rest.drop("id").join(ids.filter(~frequent), "token", "left")
+    return known.unionByName(resolved).drop("token")
 
 
 def encode(
@@ -107,11 +116,12 @@ def encode(
     """Token ids of the column ``text`` per row, cut on the right to ``max_tokens``.
 
     The end id is appended before the cut, so a cut row loses it. Labels repeat
-    the ids. ``ids`` identify a row; the text is not kept. ``vocab`` is read
-    twice, as ``fit_vocab`` returns it.
+    the ids. ``ids`` identify a row; the text is not kept. ``vocab`` is what
+    ``fit_vocab`` returns.
 
-    Tokens of one text never leave their map task before they are collected
-    again, so the shuffle carries one packed array per text.
+    With a broadcast vocabulary the tokens of a text stay in their map task
+    until they are collected again, and the shuffle carries one packed array
+    per text.
     """
     found = (
         texts.select(*ids, tokens(F.col("text")).alias("all"))
@@ -124,7 +134,7 @@ def encode(
     )
     token_id = F.coalesce("id", F.lit(UNKNOWN_ID).cast("bigint"))
     packed = F.when(
-        F.col("token").isNotNull(),
+        F.col("pos").isNotNull(),
         F.shiftleft(F.col("pos").cast("bigint"), _ID_BITS) + token_id,
     )
     id_of = F.lit((1 << _ID_BITS) - 1)

@@ -41,10 +41,12 @@ def test_vocab(spark, size):
     assert len(got) == len(py_vocab(texts, size))
 
 
-@pytest.mark.parametrize("size, broadcast", [(None, 500_000), (None, 5), (10, 5)])
+@pytest.mark.parametrize("size", [None, 10])
+@pytest.mark.parametrize("most, chars", [(500_000, 32_000_000), (5, 1000), (500_000, 50), (5, 10)])
 @pytest.mark.parametrize("limit", [4096, 10])
-def test_encode(spark, monkeypatch, size, broadcast, limit):
-    monkeypatch.setattr(tokens, "MAX_BROADCAST_TOKENS", broadcast)
+def test_encode(spark, monkeypatch, size, most, chars, limit):
+    monkeypatch.setattr(tokens, "MAX_BROADCAST_TOKENS", most)
+    monkeypatch.setattr(tokens, "MAX_BROADCAST_CHARS", chars)
     texts = corpus()
     vocab = tokens.fit_vocab(table(spark, texts), size)
     rows = tokens.encode(table(spark, texts), vocab, max_tokens=limit).collect()
