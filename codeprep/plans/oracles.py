@@ -18,7 +18,8 @@ WS = "concat(" + ", ".join(f"chr({ord(c)})" for c in WHITESPACE) + ")"
 
 def text(value: str) -> str:
     """A SQL literal; line breaks are spelled out."""
-    return "(" + " || chr(10) || ".join("'" + s.replace("'", "''") + "'" for s in value.split("\n")) + ")"
+    lines = ["'" + line.replace("'", "''") + "'" for line in value.split("\n")]
+    return "(" + " || chr(10) || ".join(lines) + ")"
 
 
 def strip(c: str) -> str:
@@ -302,7 +303,8 @@ ORACLES: dict[str, str] = {
         SELECT * FROM so_far WHERE n_done % 20 = 0""",
     "run_report": f"""WITH {ATTEMPTS}, {PROBLEMS}, {SUMMARY}, {RUNS}
         SELECT label, concat_ws(chr(10), 'RESULTS - ' || upper(label),
-            'pass@1: ' || CAST(pass_at_1 AS VARCHAR) || '%', 'pass@10: ' || CAST(pass_at_10 AS VARCHAR) || '%',
+            'pass@1: ' || CAST(pass_at_1 AS VARCHAR) || '%',
+            'pass@10: ' || CAST(pass_at_10 AS VARCHAR) || '%',
             printf('Passed: %d / %d', num_passed, num_problems),
             printf('Time: %.1f min', elapsed_sec / 60)) AS report FROM detailed""",
     "compare_runs": f"""WITH {ATTEMPTS}, {PROBLEMS}, {SUMMARY},

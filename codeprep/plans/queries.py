@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from codeprep.functions import prompts
 from codeprep.functions.completions import extract_code, is_code_like, marker_count, unfence
 from codeprep.functions.scores import pass_at_k
-from codeprep.functions.text import clean_text, short_label
+from codeprep.functions.text import short_label
 from codeprep.operators import chatlog, cleaning, comparison, evaluation, splitting, tokens
 from codeprep.plans import evaluation as evaluation_plan
 from codeprep.plans import views

@@ -67,8 +67,9 @@ def test_pass_at_k(spark, k):
 
 
 def test_zero_share_is_null(spark):
-    row = spark.range(1).select(percent_or_null(F.lit(0.0)).alias("a"), percent_or_null(F.lit(0.5)).alias("b")).first()
-    assert (row.a, row.b) == (None, 50.0)
+    shares = spark.createDataFrame([(0.0,), (0.5,), (0.12345,)], "share double")
+    got = [r.p for r in shares.select(percent_or_null(F.col("share")).alias("p")).collect()]
+    assert got == [None, 50.0, 12.35]
 
 
 def test_published_summary(published):
@@ -197,7 +198,8 @@ def test_large_runs_become_tables(spark, runs, tmp_path, monkeypatch):
     assert spark.read.json(f"{out}/per_problem").count() == 3
     assert spark.read.json(f"{out}/summary").first()["num_passed"] == 2
     errors = spark.read.json(f"{out}/errors").select(F.sum(F.size("errors"))).first()[0]
-    both = attempts.unionByName(attempts.withColumn("label", F.lit("finetuned")).withColumn("passed", F.lit(True)))
+    better = attempts.withColumn("label", F.lit("finetuned")).withColumn("passed", F.lit(True))
+    both = attempts.unionByName(better)
     assert plan.evaluate(both, runs, out + "2") == "tables"
     metrics, changes = plan.compare(spark, [out + "2"], "tables")
     assert [r.delta for r in metrics.orderBy("line").collect()][-2:] == [1.0, None]

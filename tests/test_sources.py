@@ -40,7 +40,10 @@ def test_filters_and_remapping(spark, tmp_path):
     path = write(
         spark,
         tmp_path / "s",
-        [(0, "Python", "p0", None), (1, "java", "p1", "s"), (2, None, "p2", "s"), (3, "PYTHON", None, "s")],
+        [
+            (0, "Python", "p0", None), (1, "java", "p1", "s"), (2, None, "p2", "s"),
+            (3, "PYTHON", None, "s"),
+        ],
         "id int, lang string, problem string, solution string",
     )
     columns = {"instruction": "problem", "output": "solution"}
