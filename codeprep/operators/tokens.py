@@ -123,15 +123,8 @@ def encode(
     until they are collected again, and the shuffle carries one packed array
     per text.
     """
-    found = (
-        texts.select(*ids, tokens(F.col("text")).alias("all"))
-        .select(
-            *ids,
-            (F.size("all") + 1 > max_tokens).alias("was_truncated"),
-            F.slice("all", 1, max_tokens).alias("kept"),
-        )
-        .select(*ids, "was_truncated", F.posexplode_outer("kept").alias("pos", "token"))
-    )
+    kept = F.slice(tokens(F.col("text")), 1, max_tokens)
+    found = texts.select(*ids, F.posexplode_outer(kept).alias("pos", "token"))
     token_id = F.coalesce("id", F.lit(UNKNOWN_ID).cast("bigint"))
     packed = F.when(
         F.col("pos").isNotNull(),
@@ -141,14 +134,16 @@ def encode(
     in_order = F.transform(
         F.sort_array("packed"), lambda x: x.bitwiseAND(id_of).cast("int")
     )
+    # The rows here are the largest data of the job: two ids and one number
+    # each, with the id that differs most in front for the aggregation's sort.
+    rows = _with_ids(found, vocab).select(*ids, packed.alias("packed"))
     return (
-        _with_ids(found, vocab)
-        .groupBy(*ids, "was_truncated")
-        .agg(F.collect_list(packed).alias("packed"))
+        rows.groupBy(*reversed(ids))
+        .agg(F.collect_list("packed").alias("packed"))
         .withColumn("input_ids", F.slice(F.array_append(in_order, F.lit(END_ID)), 1, max_tokens))
         .select(
             *ids,
-            "was_truncated",
+            (F.size("packed") >= max_tokens).alias("was_truncated"),
             "input_ids",
             F.array_repeat(F.lit(1), F.size("input_ids")).alias("attention_mask"),
             F.col("input_ids").alias("labels"),
