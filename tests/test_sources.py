@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from codeprep.sources import files, problems
+from codeprep.sources import files, instructions, problems
 from codeprep.sources.instructions import SourceSpec, load_report, load_sources
 
 
@@ -63,7 +63,9 @@ def test_numbers_become_text(spark, tmp_path):
     assert (row.instruction, row.input, row.output) == ("7", "", "1.5")
 
 
-def test_positions_in_parquet_files(spark, tmp_path):
+@pytest.mark.parametrize("splits", [10_000, 0])
+def test_positions_in_parquet_files(spark, tmp_path, monkeypatch, splits):
+    monkeypatch.setattr(instructions, "MAX_BROADCAST_SPLITS", splits)
     path = tmp_path / "many"
     spark.range(1000, numPartitions=7).selectExpr("cast(id as string) instruction").write.option(
         "maxRecordsPerFile", 60
