@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from codeprep.plans.dataset import DatasetConfig, build_dataset
-from codeprep.plans.queries import source_specs
+from codeprep.plans.oracles import ORACLES
+from codeprep.plans.queries import QUERIES, source_specs
 from codeprep.sources.instructions import SourceSpec
 from codeprep.staging import shared_folder
 
@@ -32,13 +33,15 @@ def in_name_order(columns, rows):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
-    df = contract.queries()[name](spark, SMALL)
-    result = db.execute(contract.oracle_sql()[name])
+    df = QUERIES[name](spark, SMALL)
+    result = db.execute(ORACLES[name])
     expected = in_name_order([d[0] for d in result.description], result.fetchall())
     assert in_name_order(df.columns, [tuple(r) for r in df.collect()]) == expected
 
