@@ -1,0 +1,21 @@
+"""Lets Python workers import this package where it is not installed."""
+
+from __future__ import annotations
+
+from pathlib import Path
+
+from pyspark.sql import SparkSession
+
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def reachable(spark: SparkSession) -> None:
+    """Put the folder of this package on the workers' path, for runs from a checkout.
+
+    A cluster whose machines have no such folder gets the package as usual, through
+    ``--py-files`` or an installation.
+    """
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(":") if p]
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = ":".join([*paths, ROOT])
