@@ -29,4 +29,44 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
-ORACLES = {"op1_decontamination": OP1}
+OP7 = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         substr(md5(concat_ws(':', CAST(doc_id AS VARCHAR), md5(coalesce(text, '')))), 1, 9) AS h
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS n
+  FROM d GROUP BY source
+), w AS (
+  SELECT *, (n - 1) % 3 + 1 AS weight, 3 * source_size AS stop FROM s
+), l AS (
+  SELECT *, sum(source_size) OVER () AS total, sum(weight) OVER () AS weights_all,
+         coalesce(sum(stop) OVER (ORDER BY stop / weight, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped,
+         coalesce(sum(weight) OVER (ORDER BY stop / weight, n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS weights_before,
+         row_number() OVER (ORDER BY stop / weight, n) AS place
+  FROM w
+), f AS (
+  SELECT *, CAST(total - stopped AS DOUBLE) AS rest, CAST(weights_all - weights_before AS DOUBLE) AS open,
+         min(CASE WHEN CAST(total - stopped AS DOUBLE) * weight <= stop * CAST(weights_all - weights_before AS DOUBLE) THEN place END) OVER () AS first_fit
+  FROM l
+), t AS (
+  SELECT f.source, f.source_size,
+         CASE WHEN f.place >= f.first_fit THEN f.weight * g.rest / g.open ELSE CAST(f.stop AS DOUBLE) END AS target
+  FROM f LEFT JOIN f AS g ON g.place = f.first_fit
+), e AS (
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole FROM t
+), b AS (
+  SELECT source, h, sum(size) AS words FROM d GROUP BY source, h
+), c AS (
+  SELECT b.source, b.h, words, sum(words) OVER (PARTITION BY b.source ORDER BY h) AS upto,
+         target - whole * source_size AS budget
+  FROM b JOIN e ON b.source IS NOT DISTINCT FROM e.source
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(size * (whole + CASE WHEN upto <= budget OR (upto - words <= budget AND words > 0
+         AND words - (budget - (upto - words)) < budget - (upto - words)) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source
+JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.h = c.h
+"""
+
+ORACLES = {"op7_mixing": OP7, "op1_decontamination": OP1}
