@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeprep.llm import decontamination, mixing, simhash
+from codeprep.llm import decontamination, mixing, secrets, simhash
 from codeprep.llm.workers import reachable
 
 
@@ -34,6 +34,20 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(_table(spark, sf_dir, "documents"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.with_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [
+        secrets.count_of(F.col("base_spans"), kind).alias(f"n_{kind}")
+        for kind in ("assign", "access", "hex")
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(secrets.listed(F.col("base_spans")), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -42,5 +56,6 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_simhash": op3_simhash,
+    "op5_secrets": op5_secrets,
     "op7_mixing": op7_mixing,
 }

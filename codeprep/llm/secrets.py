@@ -1,0 +1,226 @@
+"""Secrets in texts: three fixed patterns, and the Shannon entropy of sliding windows.
+
+Everything is built-in column functions. A pattern's matches and the pieces between them give
+the places of all matches, leftmost first and without overlap, counted in code points. Texts
+without a match are left after one test.
+
+A candidate string is a run of ``[A-Za-z0-9+/_=-]`` of ``WINDOW`` or more characters that holds
+a digit and a letter. For every character class that its whole alphabet fits (lower or upper
+hex, alphanumeric, base64) a window of ``WINDOW`` characters slides over it. The counts of the
+characters in the window are kept, and one step changes two of them and the running sum of
+c * log2(c); the entropy is log2(WINDOW) - sum / WINDOW. Windows above the class's threshold
+that touch are one span. Candidates on the allow list (identifiers like UUIDs, dates,
+addresses, plain words joined by signs, few different characters) are not reported; neither
+are spans inside a span of a fixed pattern. These spans are of kind ``entropy``, the fixed
+patterns' spans stay whatever the method says.
+
+Null and empty texts have no spans. Rows stay as they are, repeated or not, with a null id or
+not; further columns are kept by ``with_secrets``. Lists only grow with the matches in a text.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Fixed patterns and the length that a match must have, of group 2 for assign.
+ASSIGN = (
+    r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+ASSIGN_LENGTH = 6
+# A run of 20 or more that begins with AKIA; a run of 24 or more: the leftmost match of the
+# open pattern takes the whole run, so its length can be asked for in the pattern.
+ACCESS = r"AKIA[A-Z0-9]{16,}"
+HEX = r"[0-9a-f]{24,}"
+KINDS = ("assign", "access", "hex", "entropy")
+
+WINDOW = 20
+CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+# Class, its alphabet, bits per character above which a window is random.
+CLASSES = (
+    ("hex", "0123456789abcdef", 3.05),
+    ("upper_hex", "0123456789ABCDEF", 3.05),
+    ("alphanumeric", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 3.72),
+    ("base64", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-", 3.85),
+)
+ALLOWED = (
+    r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUID
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[0-9T_-]*$",  # date, time
+    r"^[A-Za-z]*[0-9]*([+/_=-]+([A-Za-z]+|[0-9]+))*[+/_=-]*$",  # words and numbers joined by signs
+    r"^([0-9]+[A-Za-z]?|[A-Za-z]+[0-9]{0,4})$",  # a number with a unit, a word with a number
+)
+
+_SPAN = "array<struct<start:int,stop:int,kind:int>>"
+
+
+def _none() -> Column:
+    return F.array().cast(_SPAN)
+
+
+def _places(text: Column, pattern: str) -> Column:
+    """Array of (start, match) of all matches of ``pattern``; only for texts that have one."""
+    matches = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
+    pieces = F.split(text, pattern, -1)
+    step = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(p.alias("p"), m.alias("m")))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,word:string>>").alias("found"))
+    return F.aggregate(
+        step,
+        start,
+        lambda acc, x: F.struct(
+            (acc["at"] + F.length(x["p"]) + F.length(x["m"])).alias("at"),
+            F.concat(
+                acc["found"],
+                F.array(F.struct((acc["at"] + F.length(x["p"])).alias("start"), x["m"].alias("word"))),
+            ).alias("found"),
+        ),
+        lambda acc: acc["found"],
+    )
+
+
+def _spans(text: Column, pattern: str, kind: str, keep=None) -> Column:
+    found = _places(text, pattern)
+    if keep is not None:
+        found = F.filter(found, lambda x: keep(x["word"]))
+    spans = F.transform(
+        found,
+        lambda x: F.struct(
+            x["start"].alias("start"),
+            (x["start"] + F.length(x["word"])).alias("stop"),
+            F.lit(KINDS.index(kind)).alias("kind"),
+        ),
+    )
+    return F.when(text.rlike(pattern), spans).otherwise(_none())
+
+
+def _bits(count: Column) -> Column:
+    """count * log2(count), 0 for 0."""
+    table = F.array(*[F.lit(n * math.log2(n) if n else 0.0) for n in range(WINDOW + 1)])
+    return F.get(table, count)
+
+
+def _random_stretches(word: Column, alphabet: str, threshold: float) -> Column:
+    """Array of (start, stop) inside ``word`` where windows reach the threshold.
+
+    One pass: at each character its count goes up and that of the one that leaves goes down.
+    """
+    letters = F.split(word, "")
+    size = len(alphabet)
+    state = F.struct(
+        F.array_repeat(F.lit(0), size).alias("counts"),
+        F.lit(0.0).alias("total"),
+        F.array().cast("array<struct<start:int,stop:int>>").alias("found"),
+    )
+
+    def step(acc, i):
+        entering = F.instr(F.lit(alphabet), F.get(letters, i)) - 1
+        leaves = i >= WINDOW
+        leaving = F.when(leaves, F.instr(F.lit(alphabet), F.get(letters, i - WINDOW)) - 1).otherwise(-1)
+        up, down = F.get(acc["counts"], entering), F.get(acc["counts"], leaving)
+        changed = (
+            F.when(entering == leaving, F.lit(0.0))
+            .when(leaves, _bits(up + 1) - _bits(up) + _bits(down - 1) - _bits(down))
+            .otherwise(_bits(up + 1) - _bits(up))
+        )
+        counts = F.transform(
+            acc["counts"],
+            lambda c, k: c + (k == entering).cast("int") - (k == leaving).cast("int"),
+        )
+        total = acc["total"] + changed
+        random = (i >= WINDOW - 1) & (math.log2(WINDOW) - total / WINDOW > threshold)
+        begin = i - (WINDOW - 1)
+        last = F.try_element_at(acc["found"], F.lit(-1))
+        grown = F.when(
+            last["stop"] >= begin,
+            F.concat(
+                F.slice(acc["found"], 1, F.size(acc["found"]) - 1),
+                F.array(F.struct(last["start"].alias("start"), (i + 1).alias("stop"))),
+            ),
+        ).otherwise(
+            F.concat(acc["found"], F.array(F.struct(begin.alias("start"), (i + 1).alias("stop"))))
+        )
+        return F.struct(
+            counts.alias("counts"),
+            total.alias("total"),
+            F.when(random, grown).otherwise(acc["found"]).alias("found"),
+        )
+
+    return F.aggregate(
+        F.sequence(F.lit(0), F.length(word) - 1), state, step, lambda acc: acc["found"]
+    )
+
+
+def _entropy_spans(candidate: Column) -> Column:
+    """Spans of kind entropy in one candidate (start, word); by the smallest class that it fits."""
+    word = candidate["word"]
+    stretches = F.lit(None).cast("array<struct<start:int,stop:int>>")
+    for _, alphabet, threshold in reversed(CLASSES):
+        fits = F.length(F.translate(word, alphabet, "")) == 0
+        stretches = F.when(fits, _random_stretches(word, alphabet, threshold)).otherwise(stretches)
+    return F.transform(
+        stretches,
+        lambda s: F.struct(
+            (candidate["start"] + s["start"]).alias("start"),
+            (candidate["start"] + s["stop"]).alias("stop"),
+            F.lit(KINDS.index("entropy")).alias("kind"),
+        ),
+    )
+
+
+def _is_candidate(word: Column) -> Column:
+    allowed = F.lit(False)
+    for pattern in ALLOWED:
+        allowed = allowed | word.rlike(pattern)
+    few = F.size(F.array_distinct(F.split(word, ""))) < 8
+    return word.rlike("[0-9]") & word.rlike("[A-Za-z]") & ~allowed & ~few
+
+
+def with_secrets(documents: DataFrame, text_col: str = "text", base: str = "base_spans", spans: str = "spans") -> DataFrame:
+    """Adds the spans of the fixed patterns and all spans, as sorted arrays of (start, stop, kind).
+
+    Kinds are numbers, places in ``KINDS``.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    long_enough = lambda word: F.length(F.regexp_extract(word, ASSIGN, 2)) >= ASSIGN_LENGTH
+    fixed = F.array_sort(
+        F.concat(
+            _spans(text, ASSIGN, "assign", long_enough),
+            _spans(text, ACCESS, "access"),
+            _spans(text, HEX, "hex"),
+        ),
+        _by_start_then_kind,
+    )
+    candidates = F.when(
+        text.rlike(CANDIDATE),
+        F.filter(_places(text, CANDIDATE), lambda x: _is_candidate(x["word"])),
+    ).otherwise(F.array().cast("array<struct<start:int,word:string>>"))
+    found = documents.withColumn(base, fixed).withColumn("_candidates", candidates)
+    random = F.flatten(F.transform("_candidates", _entropy_spans))
+    new = F.filter(
+        random,
+        lambda r: ~F.exists(base, lambda b: (b["start"] <= r["start"]) & (r["stop"] <= b["stop"])),
+    )
+    every = F.when(F.size("_candidates") > 0, F.array_sort(F.concat(base, new), _by_start_then_kind))
+    return found.withColumn(spans, every.otherwise(F.col(base))).drop("_candidates")
+
+
+def _by_start_then_kind(a: Column, b: Column) -> Column:
+    key = lambda x: F.struct(x["start"], x["kind"], x["stop"])
+    return F.when(key(a) < key(b), -1).when(key(a) > key(b), 1).otherwise(0)
+
+
+def listed(spans: Column) -> Column:
+    """kind:start:stop of every span, comma-joined."""
+    kinds = F.array(*map(F.lit, KINDS))
+    return F.concat_ws(
+        ",",
+        F.transform(
+            spans,
+            lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["stop"].cast("string")),
+        ),
+    )
+
+
+def count_of(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))).cast("bigint")
