@@ -158,6 +158,24 @@ def find_words(
     return Words(starts, ends, found, np.searchsorted(starts, offsets).astype(np.int64))
 
 
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of consecutive spans of bytes; of over-long spans only those up to a segment."""
+    out = np.zeros(len(starts), np.uint64)
+    a = 0
+    while a < len(starts):
+        low = int(starts[a])
+        b = max(a + 1, int(np.searchsorted(ends, low + SEGMENT_BYTES, side="right")))
+        high = min(int(ends[b - 1]), low + SEGMENT_BYTES)
+        part = data[low:high].astype(np.uint64) + np.uint64(1)
+        up, down = _power_tables(BASES[0], high - low)
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(part * up[: high - low], dtype=np.uint64, out=sums[1:])
+        s, e = starts[a:b] - low, np.minimum(ends[a:b], high) - low
+        out[a:b] = mix((sums[e] - sums[s]) * down[s])
+        a = b
+    return out
+
+
 def grams(hashes: np.ndarray, size: int, step: int = STEPS[0]) -> np.ndarray:
     """Hash of the ``size`` words that begin at each word; runs past text ends are included."""
     count = len(hashes) - size + 1

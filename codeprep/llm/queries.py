@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeprep.llm import decontamination, mixing, secrets, simhash
+from codeprep.llm import decontamination, mixing, records, secrets, simhash
 from codeprep.llm.workers import reachable
+from codeprep.staging import new_folder, stage
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,9 +54,24 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def token_records(documents: DataFrame) -> DataFrame:
+    """Documents written as records of token ids and read back."""
+    import public_tokenizers
+
+    spark = documents.sparkSession
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    shards = records.write_records(documents, new_folder(spark, "records"), path)
+    return records.written_documents(stage(shards, "shards"))
+
+
+def op9_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_records(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op3_simhash": op3_simhash,
     "op5_secrets": op5_secrets,
     "op7_mixing": op7_mixing,
+    "op9_records": op9_records,
 }
