@@ -69,4 +69,26 @@ FROM d JOIN e ON d.source IS NOT DISTINCT FROM e.source
 JOIN c ON d.source IS NOT DISTINCT FROM c.source AND d.h = c.h
 """
 
-ORACLES = {"op7_mixing": OP7, "op1_decontamination": OP1}
+OP8 = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), win AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS h FROM d, unnest(range(1, len(w) - 48)) AS t(i)
+), f AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS first_doc FROM win
+), g AS (
+  SELECT DISTINCT doc_id, p FROM f, unnest(range(i, i + 50)) AS t(p) WHERE first_doc < doc_id
+), r AS (
+  SELECT doc_id, list(p) AS ps FROM g GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN ps IS NULL THEN w
+         ELSE list_filter(w, lambda x, i: NOT list_contains(ps, i)) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN r USING (doc_id)
+"""
+
+ORACLES = {
+    "op8_substrings": OP8,
+    "op7_mixing": OP7,
+    "op1_decontamination": OP1,
+}

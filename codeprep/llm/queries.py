@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeprep.llm import decontamination, mixing, records, secrets, simhash
+from codeprep.llm import decontamination, mixing, records, secrets, simhash, substrings
 from codeprep.llm.workers import reachable
 from codeprep.staging import new_folder, stage
 
@@ -54,6 +54,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def token_records(documents: DataFrame) -> DataFrame:
     """Documents written as records of token ids and read back."""
     import public_tokenizers
@@ -73,5 +77,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op5_secrets": op5_secrets,
     "op7_mixing": op7_mixing,
+    "op8_substrings": op8_substrings,
     "op9_records": op9_records,
 }
