@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeprep.llm import chatformat, decontamination, mixing, records, secrets, simhash, substrings
+from codeprep.llm import chatformat, credentials, decontamination, mixing, nearest, records, simhash, substrings
 from codeprep.llm.workers import reachable
 from codeprep.staging import new_folder, stage
 
@@ -31,21 +31,25 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(_table(spark, sf_dir, "documents"))
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.with_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = credentials.with_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [
-        secrets.count_of(F.col("base_spans"), kind).alias(f"n_{kind}")
+        credentials.count_of(F.col("base_spans"), kind).alias(f"n_{kind}")
         for kind in ("assign", "access", "hex")
     ]
     return found.select(
         "doc_id",
         *counts,
-        F.sha2(secrets.listed(F.col("base_spans")), 256).alias("base_sha256"),
-        secrets.listed(F.col("spans")).alias("spans"),
+        F.sha2(credentials.listed(F.col("base_spans")), 256).alias("base_sha256"),
+        credentials.listed(F.col("spans")).alias("spans"),
     )
 
 
@@ -86,6 +90,7 @@ def op9_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
+    "op2_nearest": op2_nearest,
     "op3_simhash": op3_simhash,
     "op5_secrets": op5_secrets,
     "op6_chat_format": op6_chat_format,
