@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeprep.llm import chatformat, credentials, decontamination, mixing, nearest, records, simhash, substrings
+from codeprep.llm import chatformat, credentials, decontamination, mixing, nearest, records, simhash, substrings, toxicity
 from codeprep.llm.workers import reachable
 from codeprep.staging import new_folder, stage
 
@@ -39,6 +39,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = credentials.with_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = [
@@ -92,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_nearest": op2_nearest,
     "op3_simhash": op3_simhash,
+    "op4_toxicity": op4_toxicity,
     "op5_secrets": op5_secrets,
     "op6_chat_format": op6_chat_format,
     "op7_mixing": op7_mixing,
