@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeprep.llm import chatformat, credentials, decontamination, mixing, nearest, records, simhash, substrings, toxicity
+from codeprep.llm import chatformat, credentials, decontamination, langid, mixing, nearest, records, simhash, substrings, toxicity
 from codeprep.llm.workers import reachable
 from codeprep.staging import new_folder, stage
 
@@ -92,6 +92,10 @@ def op9_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records(_table(spark, sf_dir, "documents"))
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_language(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_nearest": op2_nearest,
@@ -102,4 +106,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixing": op7_mixing,
     "op8_substrings": op8_substrings,
     "op9_records": op9_records,
+    "op10_langid": op10_langid,
 }
