@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -48,6 +49,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     Unlike cached blocks the table outlives lost executors, and unlike a
     checkpoint it keeps column pruning and filter pushdown for its readers.
     """
-    path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    kept = spark.conf.get(SHUFFLE_CLEANUP)
+    # The written table replaces the shuffles that led to it; else they stay on disk.
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, kept)
+    return spark.read.schema(df.schema).parquet(path)
