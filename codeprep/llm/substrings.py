@@ -9,10 +9,11 @@ missed, with a fifth of all places hashed.
 
 Anchors whose hash occurs under two or more ids are extended: every window around them is
 hashed, with 128 bits, and windows of one hash are compared by document. The smallest document
-of each such window keeps it; in the others its words go. A window is a row once per place, so
-work follows the text, not the pairs of documents that share it; a passage in a third of all
-documents has one row per document. Rows with equal hashes stand together in sorted partitions
-and are read as a stream, so no group is held in memory.
+of each such window keeps it; in the others its words go. A document has one row per different
+anchor or window, told by its first place; the others are found again by their hash. So work
+follows the text, not the pairs of documents that share it, and a passage in a third of all
+documents has one row in each. Rows with equal hashes stand together in sorted partitions and
+are read as a stream, so no group is held in memory.
 
 Whole copies need no anchors: of documents with one text all but the smallest id lose the words
 of all their windows, which is every word if there are ``WINDOW`` of them. Only texts with
@@ -54,20 +55,51 @@ def _documents(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hash and place of every anchor of texts that have a window."""
+def _anchors_of(words: arrays.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, hash and word at which it begins, of every anchor of texts that have a window."""
     cover = np.zeros(PERIOD, bool)
     cover[list(COVER)] = True
+    hashes = arrays.grams(words.hashes[0], ANCHOR)
+    owner = words.owners()[: len(hashes)]
+    pos = np.arange(len(hashes)) - words.first[owner]
+    count = words.counts[owner]
+    at = np.flatnonzero(cover[pos % PERIOD] & (pos + ANCHOR <= count) & (count >= WINDOW))
+    return owner[at], hashes[at], at
+
+
+def _firsts(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places of the first use of each hash in each text."""
+    if not len(owner):
+        return np.zeros(0, np.int64)
+    order = np.lexsort((hashes, owner))
+    o, h = owner[order], hashes[order]
+    new = np.ones(len(o), bool)
+    new[1:] = (o[1:] != o[:-1]) | (h[1:] != h[:-1])
+    # lexsort is stable, so the first of equals is the earliest.
+    return np.sort(order[new])
+
+
+def _like(owner: np.ndarray, hashes: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Which entries have the hash of a chosen entry of their text."""
+    key = arrays.mix(hashes ^ arrays.mix(owner.astype(np.uint64) + np.uint64(1)))
+    return np.isin(key, key[chosen])
+
+
+def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hash and first place of every anchor."""
     for rows, data, offsets in arrays.slices(batches, "text"):
         words = arrays.find_words(data, offsets, arrays.NON_SPACE)
-        hashes = arrays.grams(words.hashes[0], ANCHOR)
-        if not len(hashes):
-            continue
-        owner = words.owners()[: len(hashes)]
-        pos = np.arange(len(hashes)) - words.first[owner]
-        count = words.counts[owner]
-        at = np.flatnonzero(cover[pos % PERIOD] & (pos + ANCHOR <= count) & (count >= WINDOW))
-        yield _rows(rows, owner[at], hashes[at], pos[at])
+        owner, hashes, at = _anchors_of(words)
+        first = _firsts(owner, hashes)
+        owner = owner[first]
+        yield _rows(rows, owner, hashes[first], at[first] - words.first[owner])
+
+
+def _places(column: pa.Array, words: arrays.Words) -> np.ndarray:
+    """Words at which the places in a list column lie."""
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = np.diff(column.offsets.to_numpy())
+    return flat + np.repeat(words.first[:-1], sizes)
 
 
 def _rows(rows, owner, hashes, pos, more=()) -> pa.RecordBatch:
@@ -141,26 +173,23 @@ def _shared(rows: DataFrame, keys: list[str], later_only: bool) -> DataFrame:
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two hashes and place of every window that holds an anchor in ``places``."""
+    """Two hashes and first place of every window that holds an anchor like those in ``places``."""
     for rows, data, offsets in arrays.slices(batches, "text"):
         words = arrays.find_words(data, offsets, arrays.NON_SPACE, 2)
-        if len(words.starts) < WINDOW:
+        owner, hashes, at = _anchors_of(words)
+        if not len(at):
             continue
-        places = rows.column("places")
-        flat = places.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        sizes = np.diff(places.offsets.to_numpy())
-        text_of = np.repeat(np.arange(rows.num_rows), sizes)
+        anchors = at[_like(owner, hashes, np.searchsorted(at, _places(rows.column("places"), words)))]
+        begins = words.first[words.owners()[anchors]]
         # An anchor is in the windows that begin up to WINDOW - ANCHOR words before it.
-        low = np.maximum(flat - (WINDOW - ANCHOR), 0) + words.first[text_of]
-        high = flat + words.first[text_of] + 1
         change = np.zeros(len(words.starts) + 1, np.int64)
-        np.add.at(change, low, 1)
-        np.add.at(change, high, -1)
-        wanted = (np.cumsum(change[:-1]) > 0) & (words.left() >= WINDOW)
-        at = np.flatnonzero(wanted[: len(words.starts) - WINDOW + 1])
+        np.add.at(change, np.maximum(anchors - (WINDOW - ANCHOR), begins), 1)
+        np.add.at(change, anchors + 1, -1)
+        at = np.flatnonzero((np.cumsum(change[:-1]) > 0) & (words.left() >= WINDOW))
         owner = words.owners()[at]
         one, two = (arrays.grams(h, WINDOW)[at] for h in words.hashes)
-        yield _rows(rows, owner, one, at - words.first[owner], [two])
+        first = _firsts(owner, one)
+        yield _rows(rows, owner[first], one[first], (at - words.first[owner])[first], [two[first]])
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,10 +199,22 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ``places`` and without ``starts`` are still to be decided and pass with their text.
     """
     for rows, data, offsets in arrays.slices(batches, "text"):
-        words = arrays.find_words(data, offsets, arrays.NON_SPACE, 0)
+        copy, starts = rows.column("copy").to_pylist(), rows.column("starts")
+        some = len(starts.flatten()) > 0
+        words = arrays.find_words(data, offsets, arrays.NON_SPACE, int(some))
         flat = data.tobytes()
         removed, digests = [], []
-        copy, starts = rows.column("copy").to_pylist(), rows.column("starts")
+        gone_from = np.zeros(0, np.int64)
+        if some:
+            # The windows like those that begin at ``starts``.
+            whole = np.flatnonzero(words.left() >= WINDOW)
+            hashes = arrays.grams(words.hashes[0], WINDOW)[whole]
+            chosen = np.searchsorted(whole, _places(starts, words))
+            gone_from = whole[_like(words.owners()[whole], hashes, chosen)]
+        change = np.zeros(len(words.starts) + 1, np.int64)
+        np.add.at(change, gone_from, 1)
+        np.add.at(change, gone_from + WINDOW, -1)
+        goes = np.cumsum(change[:-1]) > 0
         decided = [c or s.is_valid or not p.is_valid for c, s, p in zip(copy, starts, rows.column("places"))]
         for i in range(rows.num_rows):
             a, b = words.first[i], words.first[i + 1]
@@ -181,13 +222,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 removed.append(None)
                 digests.append(None)
                 continue
-            gone = np.full(b - a, copy[i] and b - a >= WINDOW)
-            if not copy[i] and starts[i].is_valid and len(starts[i].values):
-                change = np.zeros(b - a + 1, np.int64)
-                at = starts[i].values.to_numpy()
-                np.add.at(change, at, 1)
-                np.add.at(change, at + WINDOW, -1)
-                gone = np.cumsum(change[:-1]) > 0
+            gone = np.full(b - a, b - a >= WINDOW) if copy[i] else goes[a:b]
             n = int(gone.sum())
             removed.append(n)
             s, e = words.starts[a:b], words.ends[a:b]
