@@ -1,0 +1,81 @@
+import hashlib
+import random
+
+import pytest
+
+from codeprep.llm.decontamination import find_contamination, remove_contaminated
+from codeprep.llm.oracles import OP1
+
+DOCS = "doc_id bigint, text string, item_id string, row int"
+ITEMS = "item_id bigint, text string, doc_id int"
+
+
+def as_query(rows):
+    return sorted(
+        (
+            r.doc_id,
+            r.n_words,
+            r.n_hit,
+            len(r["items"]),
+            hashlib.sha256(",".join(r["items"]).encode()).hexdigest(),
+            r.contaminated,
+        )
+        for r in rows
+    )
+
+
+def oracle(duck, docs, items):
+    rows = duck(
+        OP1,
+        documents=("doc_id BIGINT, text VARCHAR", [d[:2] for d in docs]),
+        benchmark=("item_id BIGINT, text VARCHAR", [i[:2] for i in items]),
+    )
+    names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    return sorted(tuple(r[n] for n in names) for r in rows)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_against_sql(spark, duck, seed):
+    """Passages, short items, repeated words and ties, with few different words."""
+    rng = random.Random(seed)
+    words = ["the", "a", "Ö", "of", "to", "Cat", "dog", "7"][: 3 + 2 * seed]
+    text = lambda n: "".join(rng.choice(words) + rng.choice([" ", ", ", "-", "\n"]) for _ in range(n))
+    items = [(i, text(rng.choice([1, 4, 12, 13, 14, 30]) + 5 * (seed == 0)), 1) for i in range(8)]
+    items += [(8, items[0][1], 1), (9, "", 1), (10, None, 1), (11, " ,. ", 1)]
+    docs = []
+    for i in range(25):
+        passage = rng.choice(items)[1] or ""
+        docs.append((i, text(rng.choice([0, 1, 5, 13, 40, 300])) + passage.upper() + text(3), "x", 1))
+    docs += [(25, None, "x", 1), (26, "", "x", 1), (27, "?!", None, 1)]
+    got = find_contamination(
+        spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    ).collect()
+    assert as_query(got) == oracle(duck, docs, items)
+
+
+def test_nulls_repeats_and_empty_tables(spark):
+    passage = " ".join(f"w{i}" for i in range(20))
+    items = spark.createDataFrame([(1, passage, 0), (1, passage + " x", 0), (None, passage, 0)], ITEMS)
+    docs = spark.createDataFrame(
+        [(5, passage, "a", 1), (5, passage, "a", 1), (5, "other", "a", 1), (None, passage, "a", 1)], DOCS
+    )
+    got = find_contamination(docs, items).collect()
+    assert sorted((r.doc_id or 0, r.n_hit, r["items"]) for r in got) == [
+        (0, 20, ["1"]), (5, 0, []), (5, 20, ["1"]), (5, 20, ["1"]),
+    ]
+    kept = remove_contaminated(docs, items).collect()
+    assert [(r.doc_id, r.text, r.item_id) for r in kept] == [(5, "other", "a")]
+    assert find_contamination(docs.limit(0), items).count() == 0
+    clean = find_contamination(docs, items.limit(0)).collect()
+    assert len(clean) == 4 and not any(r.contaminated for r in clean)
+
+
+def test_a_twentieth_of_the_words(spark):
+    passage = " ".join(f"w{i}" for i in range(13))
+    items = spark.createDataFrame([(1, passage, 0)], ITEMS)
+    filler = lambda n: " ".join(f"f{i}" for i in range(n))
+    docs = spark.createDataFrame(
+        [(1, f"{passage} {filler(247)}", "a", 1), (2, f"{passage} {filler(248)}", "a", 1)], DOCS
+    )
+    got = {r.doc_id: (r.n_words, r.n_hit, r.contaminated) for r in find_contamination(docs, items).collect()}
+    assert got == {1: (260, 13, True), 2: (261, 13, False)}
