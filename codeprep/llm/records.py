@@ -171,8 +171,10 @@ def written_documents(shards: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     starts = shards.select("shard", F.coalesce(F.sum("ids").over(before), F.lit(0)).alias("first"))
+    # A task per shard; rows this small would else be read by one task.
+    dealt = shards.repartition(max(1, shards.count()))
     return (
-        read_records(shards.repartition(F.col("shard")))
+        read_records(dealt)
         .join(F.broadcast(starts), "shard")
         .select(
             F.col("id").alias(id_col),
