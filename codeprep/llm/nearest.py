@@ -42,8 +42,10 @@ SAMPLE = 4096
 PER_LIST = 64  # sampled vectors per centre
 MOST_LISTS = 64
 BLOCK = 2048
-QUERIES = 1024
+QUERIES = 512
 COLUMNS = 16
+FEW = 0.1  # share of pairs below which they are followed one by one
+PAIRS = 1 << 15
 EPSILON = 3.0
 RECALL = 0.99
 SEED = 20240229
@@ -188,27 +190,33 @@ def scan_block(
     k, dims = index.k, vectors.shape[1]
     q, x = unit(queries) @ index.rotation, unit(vectors) @ index.rotation
     bound = index.bounds(query_ids, q)
-    own = query_ids[:, None] == ids[None, :]
-    so_far = np.where(own, np.inf, 0.0)
-    alive_q, alive_x = np.nonzero(~own)
-    partial = so_far[alive_q, alive_x]
+    alive = query_ids[:, None] != ids[None, :]
+    so_far = np.zeros(alive.shape)
+    pairs = None  # places of queries and vectors still alive, once they are few
     for low in range(0, dims, COLUMNS):
         high = min(low + COLUMNS, dims)
-        if low == 0:
-            # All pairs are alive: one product.
-            a, b = q[:, low:high], x[:, low:high]
-            block = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T
-            partial = np.maximum(block[alive_q, alive_x], 0)
+        a, b = q[:, low:high], x[:, low:high]
+        if pairs is None and np.count_nonzero(alive) <= FEW * alive.size:
+            pairs = np.nonzero(alive)
+            partial = so_far[pairs]
+        allowance = 1 + EPSILON / np.sqrt(high) if high < dims else 1.0
+        most = bound * allowance**2 * (high / dims) + 1e-9
+        if pairs is None:
+            # Most pairs are alive: one product for all.
+            so_far += (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T
+            alive &= so_far <= most[:, None]
         else:
-            difference = q[alive_q, low:high] - x[alive_x, low:high]
-            partial = partial + (difference * difference).sum(axis=1)
-        if high < dims:
-            allowance = 1 + EPSILON / np.sqrt(high)
-            stay = partial * (dims / high) <= bound[alive_q] * allowance**2 + 1e-9
-        else:
-            stay = partial <= bound[alive_q] + 1e-9
-        alive_q, alive_x, partial = alive_q[stay], alive_x[stay], partial[stay]
-    score = cosine(queries[alive_q], vectors[alive_x])
+            for i in range(0, len(partial), PAIRS):
+                some = slice(i, i + PAIRS)
+                difference = a[pairs[0][some]] - b[pairs[1][some]]
+                partial[some] += (difference * difference).sum(axis=1)
+            stay = partial <= most[pairs[0]]
+            pairs, partial = (pairs[0][stay], pairs[1][stay]), partial[stay]
+    alive_q, alive_x = np.nonzero(alive) if pairs is None else pairs
+    score = np.empty(len(alive_q))
+    for i in range(0, len(score), PAIRS):
+        some = slice(i, i + PAIRS)
+        score[some] = cosine(queries[alive_q[some]], vectors[alive_x[some]])
     order = np.lexsort((ids[alive_x], -score, alive_q))
     alive_q, alive_x, score = alive_q[order], alive_x[order], score[order]
     # Rows that repeat an id are one candidate.
