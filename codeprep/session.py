@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -16,6 +17,7 @@ def local_session(cores: str | None = None) -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", str(Path.cwd() / "spark-warehouse/checkpoints"))
         # Arrays of this many texts are collected in memory before a task sorts instead.
         .config("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "2048")
         .getOrCreate()

@@ -2,44 +2,39 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+_REMOVED_AT_END: set[str] = set()
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names for intermediate data.
+    """The folder that the session names for intermediate data, which all executors reach.
 
-    A cluster must name one that all executors reach. Only a local session
-    without the setting gets a temporary folder.
+    A session that names none uses its warehouse, which they reach as well.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    return _local_folder()
-
-
-_LOCAL: list[str] = []
-
-
-def _local_folder() -> str:
-    if not _LOCAL:
-        _LOCAL.append(tempfile.mkdtemp(prefix="codeprep-"))
-    return _LOCAL[0]
+    if not folder:
+        folder = f"{spark.conf.get(WAREHOUSE_DIR)}/checkpoints"
+        spark.conf.set(CHECKPOINT_DIR, folder)
+    return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """An unused path in the shared folder.
 
-    All paths of an application are in one folder; remove it after the run.
+    All paths of an application are in one folder, which is removed when it ends.
     """
     run = f"{shared_folder(spark)}/codeprep-{spark.sparkContext.applicationId}"
+    if run not in _REMOVED_AT_END:
+        path = spark._jvm.org.apache.hadoop.fs.Path(run)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+        _REMOVED_AT_END.add(run)
     return f"{run}/{name}-{uuid.uuid4().hex}"
 
 
