@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from codeprep.functions.text import strip
+from codeprep.functions.prompts import generate_prompt
+from codeprep.functions.text import computed_once, strip
 
 # The chat commands, matched whole and without regard to case.
 QUIT_COMMANDS = ("/quit", "/exit", "/q")
@@ -59,7 +60,7 @@ def replay(log: DataFrame) -> DataFrame:
         .withColumn("block", F.floor(asked_at / BLOCK_TURNS))
         .withColumn("response", F.when(is_answer, F.lead("text").over(in_order)))
         .filter(is_user)
-        .withColumn("command", classify(F.col("text")))
+        .transform(lambda rows: computed_once(rows, {"command": classify(F.col("text"))}))
         .filter(F.col("command") != "blank")
         .withColumn("answer", F.when(is_answered, F.col("response")))
         .withColumn("answered", is_answered.cast("bigint"))
@@ -115,6 +116,18 @@ def replay(log: DataFrame) -> DataFrame:
     )
 
 
+def asked_prompts(log: DataFrame) -> DataFrame:
+    """The prompt of every ask in a session, as (conv_id, turn, prompt).
+
+    Asks after the end of a session, blank turns and commands have none.
+    """
+    asks = replay(log).filter(F.col("command") == "ask").select("conv_id", "turn")
+    said = log.filter(F.col("role") == "user").select("conv_id", "turn", "text")
+    return asks.join(said, ["conv_id", "turn"]).select(
+        "conv_id", "turn", generate_prompt(F.col("text")).alias("prompt")
+    )
+
+
 def saves(states: DataFrame) -> DataFrame:
     """What each save command writes, with a file name per conversation and turn."""
     has_answer = F.col("last_response") != ""

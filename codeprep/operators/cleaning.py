@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
@@ -59,14 +60,14 @@ def quality_rejects(cleaned: DataFrame) -> DataFrame:
     return counts.unpivot([], list(failed), "reason", "n_rejected")
 
 
-def first_wins(samples: DataFrame) -> DataFrame:
+def first_wins(samples: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
     """Keep, per dedup key, the first row in source order.
 
     Every map task keeps one row per key before the shuffle (a partial group
     limit in the plan), so a key that holds a third of the rows reaches its
     reducer as one row per map task.
     """
-    in_order = Window.partitionBy("key").orderBy(*ORDER)
+    in_order = Window.partitionBy("key").orderBy(*order)
     return (
         samples.withColumn("key", dedup_key(F.col("instruction")))
         .withColumn("rn", F.row_number().over(in_order))
@@ -112,3 +113,15 @@ def funnel(samples: DataFrame) -> DataFrame:
             F.count_if("survives").alias("n_dedup"),
         )
     )
+
+
+def last_steps(encoded: DataFrame) -> DataFrame:
+    """Rows per source after encoding, and how many are for training and for evaluation.
+
+    ``encoded`` has ``split`` besides the source rank.
+    """
+    return encoded.groupBy("source_rank").agg(
+        F.count("*").alias("n_tokenised"),
+        F.count_if(F.col("split") == "train").alias("n_train"),
+        F.count_if(F.col("split") == "eval").alias("n_eval"),
+    )

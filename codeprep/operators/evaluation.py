@@ -6,13 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from codeprep.functions.scores import pass_at_k, percent, percent_or_null
+from codeprep.operators.ranking import number_rows
 
 # Sample count from which pass@10 is defined, problems per progress line.
 PASS_10_SAMPLES = 10
 PROGRESS_STEP = 20
 
-# Errors of one problem are listed in pieces of at most this many samples.
-ERROR_CHUNK = 1000
 # Progress steps whose running sum one task forms.
 STEPS_PER_BLOCK = 4096
 
@@ -43,18 +42,8 @@ def has_error(error: Column) -> Column:
 
 
 def problem_errors(attempts: DataFrame) -> DataFrame:
-    """Non-empty errors per problem in sample order, as a list cut into chunks.
-
-    Chunks follow the sample number, so no list outgrows ``ERROR_CHUNK``
-    however many samples failed; joined in chunk order they are the whole list.
-    """
-    in_order = F.array_sort(F.collect_list(F.struct("sample_idx", "error")))
-    return (
-        attempts.filter(has_error(F.col("error")))
-        .groupBy(*PROBLEM, F.floor(F.col("sample_idx") / ERROR_CHUNK).alias("chunk"))
-        .agg(in_order.alias("listed"))
-        .select(*PROBLEM, "chunk", F.col("listed.error").alias("errors"))
-    )
+    """Non-empty errors, a row each; ``sample_idx`` gives their order in a problem."""
+    return attempts.filter(has_error(F.col("error"))).select(*PROBLEM, "sample_idx", "error")
 
 
 def run_summary(problems: DataFrame) -> DataFrame:
@@ -86,13 +75,21 @@ def run_summary(problems: DataFrame) -> DataFrame:
 
 
 def with_run_details(summary: DataFrame, runs: DataFrame) -> DataFrame:
-    """Add what is known about each run: model_path, timestamp, temperature, elapsed_sec."""
-    details = runs.select(
-        RUN,
-        "model_path",
-        "timestamp",
-        "temperature",
-        F.round("elapsed_sec", 1).alias("elapsed_sec"),
+    """Add what is known about each run: model_path, timestamp, temperature, elapsed_sec.
+
+    Of several rows for one run the one with the latest timestamp counts.
+    """
+    newest = F.max(F.struct("timestamp", "model_path", "temperature", "elapsed_sec")).alias("run")
+    details = (
+        runs.groupBy(RUN)
+        .agg(newest)
+        .select(
+            RUN,
+            "run.model_path",
+            "run.timestamp",
+            "run.temperature",
+            F.round("run.elapsed_sec", 1).alias("elapsed_sec"),
+        )
     )
     return summary.join(details, RUN, "left")
 
@@ -105,14 +102,19 @@ def failed_tasks(problems: DataFrame) -> DataFrame:
 def running_pass1(problems: DataFrame) -> DataFrame:
     """Mean pass@1 of the problems so far, at every 20th problem of a run.
 
-    ``row_idx`` must count from 0 without gaps. Scores are first summed per
-    step of 20; the running sum is formed inside blocks of steps, and a second
-    one over block totals gives each block its start. No task sees more than
-    one block, or the block totals of one run. Both read the same shuffle.
+    Problems are counted in ``row_idx`` order, whatever their numbers. Scores
+    are first summed per step of 20; the running sum is formed inside blocks
+    of steps, and a second one over block totals gives each block its start.
+    No task sees more than one block, or the block totals of one run. Both
+    read the same shuffle.
     """
-    step = F.floor(F.col("row_idx") / PROGRESS_STEP)
+    named = problems.filter(F.col(RUN).isNotNull()).select(*PROBLEM, "row_idx", "pass_at_1")
+    order = [F.col(RUN), F.col("row_idx"), F.col("task_id"), F.col("pass_at_1")]
+    numbered = number_rows(named, order, "place")
+    first = numbered.groupBy(F.col(RUN).alias("run")).agg(F.min("place").alias("first"))
+    step = F.floor((F.col("place") - F.col("first")) / PROGRESS_STEP)
     steps = (
-        problems.filter(F.col(RUN).isNotNull())
+        numbered.join(first, numbered[RUN] == first["run"])
         .groupBy(RUN, step.alias("step"))
         .agg(F.sum("pass_at_1").alias("score"), F.count("*").alias("n"))
         .withColumn("block", F.floor(F.col("step") / STEPS_PER_BLOCK))

@@ -1,9 +1,11 @@
 """Seeded exact-size sample and train/eval split.
 
-Rows are ordered by a hash of the seed and the row's order columns, which no
-partitioning can change. Both operators only look for the hash value at the
-wanted position and then filter, so no rows are sorted or moved. They read
-their input more than once: pass a written table, see ``codeprep.staging``.
+Rows are ordered by a hash of the seed and the row's order columns, and rows of
+equal order columns by a hash of their texts, which no partitioning can change.
+Both operators only look for the hash value at the wanted position and then
+filter, so no rows are sorted or moved. They read their input more than once:
+pass a written table, see ``codeprep.staging``. Sizes are exact unless whole
+rows repeat, which the removal of copies prevents.
 """
 
 from __future__ import annotations
@@ -26,13 +28,20 @@ def shuffle_key(seed: int = SEED, ids: Sequence[str] = ORDER) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *ids))
 
 
+def full_key(df: DataFrame, seed: int, ids: Sequence[str]) -> Column:
+    """The hash of a row, then one of its other text columns."""
+    texts = [c for c, kind in df.dtypes if kind == "string" and c not in ids]
+    key = shuffle_key(seed, ids)
+    return F.concat(key, F.md5(F.concat_ws("\0", *texts))) if texts else key
+
+
 def sample_exact(
     df: DataFrame, max_samples: int | None, seed: int = SEED, ids: Sequence[str] = ORDER
 ) -> DataFrame:
     """Exactly ``max_samples`` rows by hash order; all rows when not set or not exceeded."""
     if not max_samples:
         return df
-    key = shuffle_key(seed, ids)
+    key = full_key(df, seed, ids)
     cutoff = smallest_cutoff(df.select(key.alias("key")), max_samples)
     return df.filter(F.coalesce(key <= cutoff.scalar(), F.lit(True)))
 
@@ -44,7 +53,7 @@ def split_exact(
     ids: Sequence[str] = ORDER,
 ) -> DataFrame:
     """Add ``split``: the first ceil(share * rows) rows by hash order are "eval", the rest "train"."""
-    key = shuffle_key(seed, ids)
+    key = full_key(df, seed, ids)
     cutoff = smallest_cutoff(
         df.select(key.alias("key")), F.ceil(F.lit(float(eval_share)) * F.col("total"))
     )

@@ -25,8 +25,7 @@ LABEL_PAD = -100
 # A token is a run of word characters or one other visible character.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\p{Z}\t-\r\x1c-\x1f\x85]"
 
-# A vocabulary is broadcast up to this many tokens and characters. Of a larger
-# one, only its first tokens are, and of these the ones with an average length.
+# The first tokens of a vocabulary are broadcast, up to this many tokens and characters.
 MAX_BROADCAST_TOKENS = 500_000
 MAX_BROADCAST_CHARS = 32_000_000
 
@@ -79,32 +78,18 @@ def fit_vocab(texts: DataFrame, max_size: int | None = None) -> DataFrame:
     return vocab.filter(F.col("id") < FIRST_ID + max_size) if max_size else vocab
 
 
-def _with_ids(found: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Look up the id of every token; a token outside the vocabulary gets a null id.
+def _frequent(vocab: DataFrame) -> DataFrame:
+    """First tokens of the vocabulary, as many as the limits for a broadcast allow.
 
-    A vocabulary of checked size is broadcast. Of a larger one, the most
-    frequent tokens are broadcast and the others joined by shuffle: the token
-    of rank r makes up at most 1/r of the text, so a token that is left is not
-    a hot key, unless it is very long; adaptive execution splits such a join.
-    The looked-up tokens are written once, as both halves read them; only
-    unresolved ones keep their text.
+    They are ``MAX_BROADCAST_TOKENS`` at most, and so is what the running sum sees.
     """
-    ids = vocab.select("token", "id")
-    size = ids.agg(F.count("*").alias("n"), F.sum(F.length("token")).alias("chars")).first()
-    if size.n <= MAX_BROADCAST_TOKENS and (size.chars or 0) <= MAX_BROADCAST_CHARS:
-        return found.join(F.broadcast(ids), "token", "left").drop("token")
-    frequent = (F.col("id") < FIRST_ID + MAX_BROADCAST_TOKENS) & (
-        F.length("token") <= MAX_BROADCAST_CHARS // MAX_BROADCAST_TOKENS
-    )
-    looked_up = stage(
-        found.join(F.broadcast(ids.filter(frequent)), "token", "left").withColumn(
-            "token", F.when(F.col("id").isNull(), F.col("token"))
-        ),
-        "looked-up",
+    upto = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        vocab.filter(F.col("id") < FIRST_ID + MAX_BROADCAST_TOKENS)
+        .select("token", "id", F.sum(F.length("token")).over(upto).alias("chars"))
+        .filter(F.col("chars") <= MAX_BROADCAST_CHARS)
+        .drop("chars")
     )
-    known, rest = (looked_up.filter(c) for c in (F.col("id").isNotNull(), F.col("id").isNull()))
-    resolved = rest.drop("id").join(ids.filter(~frequent), "token", "left")
-    return known.unionByName(resolved).drop("token")
 
 
 def encode(
@@ -119,35 +104,58 @@ def encode(
     the ids. ``ids`` identify a row; the text is not kept. ``vocab`` is what
     ``fit_vocab`` returns.
 
-    With a broadcast vocabulary the tokens of a text stay in their map task
-    until they are collected again, and the shuffle carries one packed array
-    per text.
+    The most frequent tokens of the vocabulary are broadcast. The tokens of a
+    text are collected again in their map task: the known ones as one packed
+    array, the few others with their place. Only these are dealt out by token
+    and joined with the rest of the vocabulary; a token past rank r makes up
+    at most 1/r of the text, so none of them is a hot key.
     """
     kept = F.slice(tokens(F.col("text")), 1, max_tokens)
     found = texts.select(*ids, F.posexplode_outer(kept).alias("pos", "token"))
-    token_id = F.coalesce("id", F.lit(UNKNOWN_ID).cast("bigint"))
-    packed = F.when(
-        F.col("pos").isNotNull(),
-        F.shiftleft(F.col("pos").cast("bigint"), _ID_BITS) + token_id,
+    place = F.shiftleft(F.col("pos").cast("bigint"), _ID_BITS)
+    frequent = stage(_frequent(vocab), "frequent-tokens")
+    # Of checked size: the limits of ``_frequent``.
+    looked_up = found.join(F.broadcast(frequent), "token", "left")
+    # The rows here are the largest data of the job. They are grouped with the
+    # id that differs most in front, for the aggregation's sort.
+    per_text = stage(
+        looked_up.groupBy(*reversed(ids)).agg(
+            F.count("pos").alias("n"),
+            F.collect_list(F.when(F.col("id").isNotNull(), place + F.col("id"))).alias("known"),
+            F.collect_list(
+                F.when(
+                    F.col("pos").isNotNull() & F.col("id").isNull(),
+                    F.struct(place.alias("place"), "token"),
+                )
+            ).alias("rest"),
+        ),
+        "token-ids",
     )
-    id_of = F.lit((1 << _ID_BITS) - 1)
-    in_order = F.transform(
-        F.sort_array("packed"), lambda x: x.bitwiseAND(id_of).cast("int")
+    rare = vocab.select("token", "id").join(frequent.select("id"), "id", "left_anti")
+    resolved = (
+        per_text.select(*ids, F.explode("rest").alias("r"))
+        .select(*ids, "r.place", "r.token")
+        .join(rare, "token", "left")
+        .groupBy(*[F.col(c).alias(f"_{c}") for c in reversed(ids)])
+        .agg(
+            F.collect_list(
+                F.col("place") + F.coalesce("id", F.lit(UNKNOWN_ID).cast("bigint"))
+            ).alias("more")
+        )
     )
-    # The rows here are the largest data of the job: two ids and one number
-    # each, with the id that differs most in front for the aggregation's sort.
-    rows = _with_ids(found, vocab).select(*ids, packed.alias("packed"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ids]
+    packed = F.when(F.col("more").isNull(), F.col("known")).otherwise(F.concat("known", "more"))
+    id_of = F.lit((1 << _ID_BITS) - 1)
+    in_order = F.transform(F.sort_array(packed), lambda x: x.bitwiseAND(id_of).cast("int"))
     return (
-        rows.groupBy(*reversed(ids))
-        .agg(F.collect_list("packed").alias("packed"))
-        .withColumn("input_ids", F.slice(F.array_append(in_order, F.lit(END_ID)), 1, max_tokens))
+        per_text.join(resolved, same, "left")
         .select(
             *ids,
-            (F.size("packed") >= max_tokens).alias("was_truncated"),
-            "input_ids",
-            F.array_repeat(F.lit(1), F.size("input_ids")).alias("attention_mask"),
-            F.col("input_ids").alias("labels"),
+            (F.col("n") >= max_tokens).alias("was_truncated"),
+            F.slice(F.array_append(in_order, F.lit(END_ID)), 1, max_tokens).alias("input_ids"),
         )
+        .withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
+        .withColumn("labels", F.col("input_ids"))
     )
 
 

@@ -12,7 +12,7 @@ from codeprep.functions.prompts import training_prompt
 from codeprep.operators.cleaning import clean, first_wins, quality_filter
 from codeprep.operators.splitting import EVAL_SHARE, SEED, sample_exact, split_exact, write_split
 from codeprep.operators.tokens import MAX_TOKENS, encode, fit_vocab
-from codeprep.sources.instructions import ORDER, SourceSpec, SourceStatus, load_sources
+from codeprep.sources.instructions import ORDER, SOURCE_ORDER, SourceSpec, SourceStatus, load_sources
 from codeprep.staging import stage
 
 
@@ -25,15 +25,18 @@ class DatasetConfig:
     max_vocab: int | None = None
 
 
-def prepared(samples: DataFrame) -> DataFrame:
+def prepared(samples: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
     """Cleaned, quality-filtered rows without copies."""
-    return first_wins(quality_filter(clean(samples)))
+    return first_wins(quality_filter(clean(samples)), order)
 
 
 def training_texts(samples: DataFrame, *keep: str) -> DataFrame:
-    """Training prompt per row without its end marker, which ``encode`` adds as an id."""
+    """Training prompt per row without its end marker, which ``encode`` adds as an id.
+
+    ``keep`` names the columns that identify a row, ``ORDER`` if it is empty.
+    """
     prompt = training_prompt(F.col("instruction"), F.col("input"), F.col("output"), "")
-    return samples.select(*ORDER, *keep, prompt.alias("text"))
+    return samples.select(*(keep or ORDER), prompt.alias("text"))
 
 
 def build_dataset(
@@ -50,11 +53,12 @@ def build_dataset(
     the encoded arrays go straight to their place.
     """
     raw, statuses = load_sources(spark, specs)
-    samples = stage(prepared(raw), "prepared")
+    samples = stage(prepared(raw, SOURCE_ORDER), "prepared")
     if config.max_samples:
-        samples = stage(sample_exact(samples, config.max_samples, config.seed), "sampled")
-    split = split_exact(samples, config.eval_share, config.seed)
+        sample = sample_exact(samples, config.max_samples, config.seed, SOURCE_ORDER)
+        samples = stage(sample, "sampled")
+    split = split_exact(samples, config.eval_share, config.seed, SOURCE_ORDER)
+    ids = (*SOURCE_ORDER, "split")
     vocab = fit_vocab(training_texts(samples), config.max_vocab)
-    texts = training_texts(split, "split")
-    write_split(encode(texts, vocab, (*ORDER, "split"), config.max_tokens), path)
+    write_split(encode(training_texts(split, *ids), vocab, ids, config.max_tokens), path)
     return statuses

@@ -8,23 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codeprep.functions.completions import assemble_solution, extract_code
-from codeprep.operators.comparison import fixed_and_broken, metric_table
+from codeprep.operators.comparison import BASELINE, FINETUNED, fixed_and_broken, metric_table
 from codeprep.operators.evaluation import (
+    RUN,
     failed_tasks,
     per_problem,
     problem_errors,
     run_summary,
     with_run_details,
 )
-from codeprep.sources.reports import (
-    NESTED,
-    TABLES,
-    read_reports,
-    read_tables,
-    report_failed,
-    report_summary,
-    write_reports,
-)
+from codeprep.sources.reports import read_problems, read_summary, write_reports
 from codeprep.staging import stage
 
 
@@ -36,22 +29,27 @@ def solutions(completions: DataFrame) -> DataFrame:
     )
 
 
-def evaluate(attempts: DataFrame, runs: DataFrame, path: str) -> str:
-    """Score all runs in ``attempts`` and write their reports; returns the layout."""
+def evaluate(attempts: DataFrame, runs: DataFrame, path: str) -> None:
+    """Score all runs in ``attempts`` and write their reports below ``path``.
+
+    Runs of other calls stay as they are; a run that is evaluated again is replaced.
+    """
     problems = stage(per_problem(attempts), "problems")
     summary = with_run_details(run_summary(problems), runs)
-    return write_reports(summary, problems, problem_errors(attempts), path)
+    write_reports(summary, problems, problem_errors(attempts), path)
 
 
 def compare(
-    spark: SparkSession, paths: Sequence[str], layout: str = NESTED
+    spark: SparkSession,
+    paths: Sequence[str],
+    baseline: str = BASELINE,
+    finetuned: str = FINETUNED,
 ) -> tuple[DataFrame, DataFrame]:
-    """Metric table, and fixed and broken problems, of two stored runs.
-
-    ``paths`` are the nested reports, or the one folder of reports written as tables.
-    """
-    if layout == TABLES:
-        summary, problems = read_tables(spark, *paths)
-        return metric_table(summary), fixed_and_broken(failed_tasks(problems))
-    reports = read_reports(spark, paths)
-    return metric_table(report_summary(reports)), fixed_and_broken(report_failed(reports))
+    """Metric table, and fixed and broken problems, of two runs stored in one or more folders."""
+    summary = read_summary(spark, paths, [baseline, finetuned])
+    failed = failed_tasks(read_problems(spark, paths))
+    chosen = failed.filter(F.col(RUN).isin(baseline, finetuned))
+    return (
+        metric_table(summary, baseline, finetuned),
+        fixed_and_broken(chosen, baseline, finetuned),
+    )

@@ -57,12 +57,13 @@ kept AS (SELECT * FROM good
     QUALIFY row_number() OVER (PARTITION BY key ORDER BY source_rank, row_idx) = 1)
 """
 HASHED = f"""{KEPT},
-hashed AS (SELECT source_rank, row_idx,
+hashed AS (SELECT source_rank, row_idx, instruction, input, output,
+    md5(instruction || '|' || input || '|' || output) AS texts_md5,
     md5('42:' || CAST(source_rank AS VARCHAR) || ':' || CAST(row_idx AS VARCHAR)) AS h FROM kept),
 placed AS (SELECT *, row_number() OVER (ORDER BY h) AS rn, count(*) OVER () AS n FROM hashed)
 """
 SPLIT = f"""{HASHED},
-split AS (SELECT source_rank, row_idx,
+split AS (SELECT source_rank, row_idx, texts_md5, instruction, input, output,
     CASE WHEN rn <= ceil(CAST(0.02 AS DOUBLE) * n) THEN 'eval' ELSE 'train' END AS split FROM placed)
 """
 
@@ -138,6 +139,21 @@ detailed AS (SELECT s.*, 'models/' || s.label AS model_path, r.timestamp,
     CAST(0.2 AS DOUBLE) AS temperature, r.elapsed_sec FROM summary s JOIN runs r USING (label))
 """
 
+CHANGES = """
+b AS (SELECT task_id FROM problems WHERE label = 'baseline' AND num_correct = 0),
+f AS (SELECT task_id FROM problems WHERE label = 'finetuned' AND num_correct = 0)
+SELECT 'fixed' AS change, task_id FROM (SELECT * FROM b EXCEPT SELECT * FROM f)
+UNION ALL SELECT 'broken', task_id FROM (SELECT * FROM f EXCEPT SELECT * FROM b)
+"""
+GAPPED = f"attempts AS ({views.as_duckdb(views.GAPPED_ATTEMPTS)})"
+PROGRESS = """
+so_far AS (SELECT label, row_number() OVER w AS n_done,
+    round(avg(pass_at_1) OVER w, 6) AS pass_at_1_so_far
+    FROM problems WINDOW w AS (PARTITION BY label ORDER BY row_idx
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT * FROM so_far WHERE n_done % 20 = 0
+"""
+
 CHAT = f"""
 log AS ({views.as_duckdb(views.CHAT_LOG)}),
 follow AS (SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text
@@ -166,19 +182,19 @@ states AS (SELECT conv_id, turn, command,
 TOKEN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\p{Z}\t-\r\x1c-\x1f\x{85}]"
 
 
-def vocab(source: str, limit: str = "") -> str:
+def vocab(source: str) -> str:
     return f"""
     found AS (SELECT unnest(regexp_extract_all(text, '{TOKEN}')) AS token FROM {source}),
     tally AS (SELECT token, count(*) AS n FROM found GROUP BY token),
     vocab AS (SELECT token, n, row_number() OVER (ORDER BY n DESC, token) + 2 AS id
-        FROM tally {limit})
+        FROM tally)
     """
 
 
-def encoded(limit: str = "") -> str:
+def encoded() -> str:
     return f"""{SAMPLES},
     texts AS (SELECT source_rank, row_idx, {training('')} AS text FROM triples),
-    {vocab('texts', limit)},
+    {vocab('texts')},
     lists AS (SELECT source_rank, row_idx, regexp_extract_all(text, '{TOKEN}') AS l FROM texts),
     each_token AS (SELECT source_rank, row_idx, unnest(l) AS token,
         unnest(range(len(l))) AS pos FROM lists),
@@ -219,6 +235,13 @@ ORACLES: dict[str, str] = {
         SELECT l.source, l.source_rank, l.source <> 'missing' AS loaded, count(c.source) AS n_rows
         FROM listed l LEFT JOIN combined c USING (source_rank) GROUP BY l.source, l.source_rank""",
     "concat_sources": f"WITH {COMBINED} SELECT * FROM combined",
+    "source_positions": f"""WITH every AS (
+            SELECT 'documents' AS source, 0 AS source_rank, row_number() OVER () AS pos,
+                source AS instruction, text AS output FROM documents
+            UNION ALL SELECT 'pages', 1, row_number() OVER (), url, html FROM pages),
+        keyed AS (SELECT *, lower({strip('substr(instruction, 1, 100)')}) AS key FROM every)
+        SELECT source, source_rank, key, md5(output) AS output_md5 FROM keyed
+        QUALIFY row_number() OVER (PARTITION BY key ORDER BY source_rank, pos) = 1""",
     "normalize_triples": f"WITH {SAMPLES} SELECT * FROM triples",
     "source_lang_filter": "SELECT doc_id, lang, text FROM documents WHERE lower(lang) = 'en'",
     "source_remap": """SELECT doc_id, source AS instruction, '' AS input, text AS output
@@ -247,8 +270,13 @@ ORACLES: dict[str, str] = {
             (SELECT count(*) FROM kept k WHERE k.source_rank = r.source_rank) AS n_dedup
         FROM rules r GROUP BY source_rank""",
     "sample_exact": f"""WITH {HASHED}
-        SELECT source_rank, row_idx FROM placed WHERE rn <= {q.SAMPLE_SIZE}""",
-    "split_exact": f"WITH {SPLIT} SELECT * FROM split",
+        SELECT source_rank, row_idx, texts_md5 FROM placed WHERE rn <= {q.SAMPLE_SIZE}""",
+    "split_exact": f"WITH {SPLIT} SELECT source_rank, row_idx, split, texts_md5 FROM split",
+    "split_written": f"WITH {SPLIT} SELECT source_rank, row_idx, split, texts_md5 FROM split",
+    "funnel_last_steps": f"""WITH {SPLIT}
+        SELECT source_rank, count(*) AS n_tokenised,
+            count(*) FILTER (WHERE split = 'train') AS n_train,
+            count(*) FILTER (WHERE split = 'eval') AS n_eval FROM split GROUP BY source_rank""",
     "split_sizes": f"WITH {SPLIT} SELECT split, count(*) AS n_rows FROM split GROUP BY split",
     "render_training_prompt": f"""WITH {CLEAN}, t AS (
             SELECT source_rank, row_idx, {training(p.END_OF_TEXT)} AS prompt FROM clean)
@@ -273,6 +301,20 @@ ORACLES: dict[str, str] = {
             {over_code(text(p.FIX_TASK + p.REVIEW_FIX_ERROR), 'code')} AS fix FROM c)
         SELECT source_name, CAST(length(explain) AS INTEGER) AS n_chars,
             md5(explain) AS explain_md5, md5(review) AS review_md5, md5(fix) AS fix_md5 FROM r""",
+    "code_file_scan": f"""WITH f AS (SELECT concat('part_', page_id % 7, '/_page_', page_id, '/',
+                CASE page_id % 3 WHEN 0 THEN '__init__.py' WHEN 1 THEN '_own.py' ELSE 'main.py' END)
+                AS source_path,
+            CASE WHEN page_id % 17 = 0 THEN ' ' ELSE 'x' || chr(10) || 'y' || chr(10)
+                || replace(replace(html, chr(13) || chr(10), chr(10)), chr(13), chr(10)) END AS code
+            FROM pages),
+        c AS (SELECT source_path, CASE WHEN length(code) > 3000
+            THEN substr(code, 1, 3000) || chr(10) || '# ... (truncated)' ELSE code END AS code
+            FROM f WHERE {strip('code')} <> ''),
+        r AS (SELECT source_path, {over_code(text(p.EXPLAIN_TASK), 'code')} AS explain,
+            {over_code(text(p.REVIEW_TASK), 'code')} AS review,
+            {over_code(text(p.FIX_TASK + p.REVIEW_FIX_ERROR), 'code')} AS fix FROM c)
+        SELECT source_path, md5(explain) AS explain_md5, md5(review) AS review_md5,
+            md5(fix) AS fix_md5 FROM r""",
     "extract_code": f"""WITH {EXTRACT}
         SELECT task_id, sample_idx, code, prompt || chr(10) || code AS solution FROM codes""",
     "unfence_answer": f"""WITH {COMPLETIONS}, s AS (
@@ -289,18 +331,12 @@ ORACLES: dict[str, str] = {
     "per_problem_results": f"""WITH {ATTEMPTS}, {PROBLEMS}
         SELECT * REPLACE (round(pass_at_1, 6) AS pass_at_1) FROM problems""",
     "problem_errors": f"""WITH {ATTEMPTS}
-        SELECT label, task_id, sample_idx // 1000 AS chunk,
-            string_agg(error, '|' ORDER BY sample_idx) AS errors
-        FROM attempts WHERE error <> '' GROUP BY ALL""",
+        SELECT label, task_id, sample_idx, error FROM attempts WHERE error <> ''""",
     "run_summary": f"""WITH {ATTEMPTS}, {PROBLEMS}, {SUMMARY}, {RUNS} SELECT * FROM detailed""",
     "failed_tasks": f"""WITH {SINGLE}, {PROBLEMS}
         SELECT label, row_idx, task_id FROM problems WHERE num_correct = 0""",
-    "running_pass1": f"""WITH {SINGLE}, {PROBLEMS},
-        so_far AS (SELECT label, row_number() OVER w AS n_done,
-            round(avg(pass_at_1) OVER w, 6) AS pass_at_1_so_far
-            FROM problems WINDOW w AS (PARTITION BY label ORDER BY row_idx
-                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
-        SELECT * FROM so_far WHERE n_done % 20 = 0""",
+    "running_pass1": f"WITH {SINGLE}, {PROBLEMS}, {PROGRESS}",
+    "running_pass1_gaps": f"WITH {GAPPED}, {PROBLEMS}, {PROGRESS}",
     "run_report": f"""WITH {ATTEMPTS}, {PROBLEMS}, {SUMMARY}, {RUNS}
         SELECT label, concat_ws(chr(10), 'RESULTS - ' || upper(label),
             'pass@1: ' || CAST(pass_at_1 AS VARCHAR) || '%',
@@ -321,17 +357,20 @@ ORACLES: dict[str, str] = {
     "compare_headline": f"""WITH {ATTEMPTS}, {PROBLEMS}, {SUMMARY},
         o AS (SELECT max(pass_at_1) FILTER (WHERE label = 'baseline') AS b,
             max(pass_at_1) FILTER (WHERE label = 'finetuned') AS f FROM summary)
-        SELECT 'Fine-tuned a model on 84042 Python samples, improving pass@1 from '
+        SELECT 'Fine-tuned a model on ' || (SELECT count(*) FROM documents)
+            || ' Python samples, improving pass@1 from '
             || CAST(b AS VARCHAR) || '% -> ' || CAST(f AS VARCHAR) || '% (+'
             || printf('%.1f', f - b) || '%)' AS headline FROM o""",
-    "fixed_broken": f"""WITH {SINGLE}, {PROBLEMS},
-        b AS (SELECT task_id FROM problems WHERE label = 'baseline' AND num_correct = 0),
-        f AS (SELECT task_id FROM problems WHERE label = 'finetuned' AND num_correct = 0)
-        SELECT 'fixed' AS change, task_id FROM (SELECT * FROM b EXCEPT SELECT * FROM f)
-        UNION ALL SELECT 'broken', task_id FROM (SELECT * FROM f EXCEPT SELECT * FROM b)""",
+    "fixed_broken": f"WITH {SINGLE}, {PROBLEMS}, {CHANGES}",
+    "compare_changes": f"WITH {SINGLE}, {PROBLEMS}, {CHANGES}",
     "chat_commands": f"""WITH {CHAT}
         SELECT command, count(*) AS n_turns FROM commands GROUP BY command""",
     "chat_replay": f"WITH {REPLAY} SELECT * FROM states",
+    "chat_prompts": f"""WITH {REPLAY}
+        SELECT s.conv_id, s.turn, md5({text(p.INSTRUCTION_HEADER)} || {strip('l.text')}
+            || {text(p.RESPONSE_HEADER)}) AS prompt_md5
+        FROM states s JOIN log l ON s.conv_id = l.conv_id AND s.turn = l.turn AND l.role = 'user'
+        WHERE s.command = 'ask'""",
     "chat_saves": f"""WITH {REPLAY}
         SELECT conv_id, turn,
             CASE WHEN last_response <> '' THEN 'chat_' || conv_id || '_' || turn || '.py' END
@@ -344,8 +383,8 @@ ORACLES: dict[str, str] = {
         SELECT * FROM vocab ORDER BY id LIMIT {q.VOCAB_SIZE}""",
     "encode_lengths": f"""WITH {encoded()}
         SELECT source_rank, row_idx, was_truncated, CAST(len(input_ids) AS INTEGER) AS n_tokens,
-            {list_md5('input_ids')} AS ids_md5 FROM encoded""",
-    "padded_batches": f"""WITH {encoded(f"QUALIFY id < {q.VOCAB_SIZE} + 3")},
+            {list_md5('input_ids')} AS ids_md5, {list_md5('input_ids')} AS labels_md5 FROM encoded""",
+    "padded_batches": f"""WITH {encoded()},
         keyed AS (SELECT *, md5('42:' || CAST(source_rank AS VARCHAR) || ':'
             || CAST(row_idx AS VARCHAR)) AS h FROM encoded),
         dealt AS (SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow import fs
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codeprep.functions import prompts
@@ -17,8 +18,8 @@ from codeprep.plans import views
 from codeprep.plans.dataset import prepared, training_texts
 from codeprep.sources import files, instructions, problems
 from codeprep.sources.instructions import ORDER, TEXT_COLUMNS, SourceSpec
-from codeprep.sources.reports import NESTED
 from codeprep.staging import new_folder, stage
+from codeprep.workers import reachable
 
 VOCAB_SIZE = 1000
 SAMPLE_SIZE = 100
@@ -67,8 +68,12 @@ def _samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row ids of the prepared samples, written once: sample and split read them repeatedly."""
-    return stage(prepared(_samples(spark, sf_dir)).select(*ORDER), "prepared-ids")
+    """Prepared samples, written once: sample and split read them repeatedly."""
+    return stage(prepared(_samples(spark, sf_dir)), "prepared")
+
+
+def _texts_md5() -> Column:
+    return F.md5(F.concat_ws("|", *TEXT_COLUMNS)).alias("texts_md5")
 
 
 def _problems(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +118,24 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def concat_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return instructions.load_sources(spark, source_specs(sf_dir))[0]
+    return instructions.load_sources(spark, source_specs(sf_dir))[0].drop("file")
+
+
+def source_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources in the order of their files: parquet, and pages written as JSON lines.
+
+    Prepared like a data set: the first row in source order of each key is kept.
+    """
+    path = new_folder(spark, "json-pages")
+    views.read(spark, sf_dir, "pages").write.json(path)
+    columns = {"instruction": "source", "output": "text"}
+    specs = [
+        SourceSpec("documents", f"{sf_dir}/documents.parquet", columns=columns),
+        SourceSpec("pages", path, format="json", columns={"instruction": "url", "output": "html"}),
+    ]
+    combined, _ = instructions.load_sources(spark, specs)
+    kept = cleaning.first_wins(combined, instructions.SOURCE_ORDER)
+    return kept.select("source", "source_rank", "key", F.md5("output").alias("output_md5"))
 
 
 def normalize_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,15 +194,35 @@ def funnel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sample_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return splitting.sample_exact(_prepared(spark, sf_dir), SAMPLE_SIZE)
+    sample = splitting.sample_exact(_prepared(spark, sf_dir), SAMPLE_SIZE)
+    return sample.select(*ORDER, _texts_md5())
 
 
 def split_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return splitting.split_exact(_prepared(spark, sf_dir))
+    return splitting.split_exact(_prepared(spark, sf_dir)).select(*ORDER, "split", _texts_md5())
 
 
 def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return splitting.split_sizes(split_exact(spark, sf_dir))
+    return splitting.split_sizes(splitting.split_exact(_prepared(spark, sf_dir)))
+
+
+def split_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split as it was written, one folder per part, and read back."""
+    path = new_folder(spark, "split")
+    splitting.write_split(splitting.split_exact(_prepared(spark, sf_dir)), path)
+    parts = [
+        spark.read.parquet(f"{path}/split={part}").withColumn("split", F.lit(part))
+        for part in ("eval", "train")
+    ]
+    return parts[0].unionByName(parts[1]).select(*ORDER, "split", _texts_md5())
+
+
+def funnel_last_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each source that are tokenised, and how they are split."""
+    split = splitting.split_exact(_prepared(spark, sf_dir))
+    texts = training_texts(split, *ORDER, "split")
+    encoded = tokens.encode(texts, tokens.fit_vocab(texts), (*ORDER, "split"))
+    return cleaning.last_steps(encoded)
 
 
 # Prompts.
@@ -209,6 +251,43 @@ def cli_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def code_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as files by the executors, below folders and under names with an
+    underscore, scanned and put in prompts.
+    """
+    reachable(spark)
+    path = new_folder(spark, "code-files")
+    page = F.col("page_id")
+    name = F.concat_ws(
+        "/",
+        F.concat(F.lit("part_"), (page % 7).cast("string")),
+        F.concat(F.lit("_page_"), page.cast("string")),
+        F.when(page % 3 == 0, "__init__.py").when(page % 3 == 1, "_own.py").otherwise("main.py"),
+    )
+    code = F.when(page % 17 == 0, " ").otherwise(F.concat(F.lit("x\r\ny\r"), "html"))
+    rows = views.read(spark, sf_dir, "pages").select(name.alias("name"), code.alias("code"))
+    stage(rows.mapInArrow(_write_files(path), "name string"), "written-names")
+    with_code, _ = files.split_blank(files.scan_code_files(spark, path))
+    names = ("explain", "review", "fix")
+    return files.code_prompts(with_code, "source_path").select(
+        "source_path", *[F.md5(name).alias(f"{name}_md5") for name in names]
+    )
+
+
+def _write_files(path: str):
+    def run(batches):
+        for batch in batches:
+            for name, code in zip(batch.column("name").to_pylist(), batch.column("code").to_pylist()):
+                store, place = fs.FileSystem.from_uri(files.address(path))
+                target = f"{place}/{name}"
+                store.create_dir(target.rpartition("/")[0], recursive=True)
+                with store.open_output_stream(target) as out:
+                    out.write((code or "").encode())
+            yield batch.select(["name"])
+
+    return run
+
+
 def code_files_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_code, _ = files.split_blank(views.view(spark, sf_dir, views.CODE_FILES))
     names = ("explain", "review", "fix")
@@ -255,8 +334,7 @@ def per_problem_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def problem_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = evaluation.problem_errors(views.view(spark, sf_dir, views.ATTEMPTS))
-    return lists.withColumn("errors", F.array_join("errors", "|"))
+    return evaluation.problem_errors(views.view(spark, sf_dir, views.ATTEMPTS))
 
 
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -273,23 +351,39 @@ def running_pass1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.withColumn("pass_at_1_so_far", F.round("pass_at_1_so_far", 6))
 
 
+def running_pass1_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress over problems whose numbers have gaps."""
+    problems_ = evaluation.per_problem(views.view(spark, sf_dir, views.GAPPED_ATTEMPTS))
+    lines = evaluation.running_pass1(problems_)
+    return lines.withColumn("pass_at_1_so_far", F.round("pass_at_1_so_far", 6))
+
+
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.report_lines(run_summary(spark, sf_dir))
 
 
-def compare_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Through stored reports: both runs are written as JSON and read back."""
+def _stored(spark: SparkSession, sf_dir: str, attempts: DataFrame) -> str:
+    """Both runs, evaluated one after the other into one folder."""
     path = new_folder(spark, "reports")
-    attempts = views.view(spark, sf_dir, views.ATTEMPTS)
-    layout = evaluation_plan.evaluate(attempts, _runs(spark, sf_dir), path)
-    nested = [f"{path}/run={run}" for run in (comparison.BASELINE, comparison.FINETUNED)]
-    paths = nested if layout == NESTED else [path]
-    return evaluation_plan.compare(spark, paths, layout)[0]
+    runs = _runs(spark, sf_dir)
+    for run in (comparison.BASELINE, comparison.FINETUNED):
+        evaluation_plan.evaluate(attempts.filter(F.col("label") == run), runs, path)
+    return path
+
+
+def compare_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _stored(spark, sf_dir, views.view(spark, sf_dir, views.ATTEMPTS))
+    return evaluation_plan.compare(spark, [path])[0]
+
+
+def compare_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _stored(spark, sf_dir, views.view(spark, sf_dir, views.SINGLE_ATTEMPTS))
+    return evaluation_plan.compare(spark, [path])[1]
 
 
 def compare_headline(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = evaluation.run_summary(_problems(spark, sf_dir))
-    return comparison.headline(summary, "a model", 84042)
+    return comparison.headline(summary, "a model", _samples(spark, sf_dir).count())
 
 
 def fixed_broken(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -310,6 +404,12 @@ def chat_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _chat(spark, sf_dir)
 
 
+def chat_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prompt of every ask that a session answers to."""
+    log = views.view(spark, sf_dir, views.CHAT_LOG)
+    return chatlog.asked_prompts(log).select("conv_id", "turn", F.md5("prompt").alias("prompt_md5"))
+
+
 def chat_saves(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chatlog.saves(_chat(spark, sf_dir))
 
@@ -318,11 +418,11 @@ def chat_saves(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vocab_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.fit_vocab(views.documents(spark, sf_dir))
+    return tokens.fit_vocab(views.read(spark, sf_dir, "documents"))
 
 
 def vocab_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tokens.fit_vocab(views.documents(spark, sf_dir), VOCAB_SIZE)
+    return tokens.fit_vocab(views.read(spark, sf_dir, "documents"), VOCAB_SIZE)
 
 
 def encode_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,13 +432,16 @@ def encode_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
         *ORDER,
         "was_truncated",
         F.size("input_ids").alias("n_tokens"),
-        F.md5(F.array_join(F.col("input_ids").cast("array<string>"), " ")).alias("ids_md5"),
+        *[
+            F.md5(F.array_join(F.col(c).cast("array<string>"), " ")).alias(name)
+            for c, name in (("input_ids", "ids_md5"), ("labels", "labels_md5"))
+        ],
     )
 
 
 def padded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = _texts(spark, sf_dir)
-    encoded = tokens.encode(texts, tokens.fit_vocab(texts, VOCAB_SIZE))
+    encoded = tokens.encode(texts, tokens.fit_vocab(texts))
     shards = tokens.shard_count(texts.count(), ROWS_PER_SHARD)
     batches = tokens.padded_batches(encoded, shards)
 
@@ -358,6 +461,7 @@ def padded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_report": load_report,
     "concat_sources": concat_sources,
+    "source_positions": source_positions,
     "normalize_triples": normalize_triples,
     "source_lang_filter": source_lang_filter,
     "source_remap": source_remap,
@@ -372,10 +476,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sample_exact": sample_exact,
     "split_exact": split_exact,
     "split_sizes": split_sizes,
+    "split_written": split_written,
+    "funnel_last_steps": funnel_last_steps,
     "render_training_prompt": render_training_prompt,
     "render_completion_prompt": render_completion_prompt,
     "cli_prompts": cli_prompts,
     "code_files_prompts": code_files_prompts,
+    "code_file_scan": code_file_scan,
     "extract_code": extract_code_query,
     "unfence_answer": unfence_answer,
     "code_like_answers": code_like_answers,
@@ -385,12 +492,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_summary": run_summary,
     "failed_tasks": failed_tasks,
     "running_pass1": running_pass1,
+    "running_pass1_gaps": running_pass1_gaps,
     "run_report": run_report,
     "compare_runs": compare_runs,
+    "compare_changes": compare_changes,
     "compare_headline": compare_headline,
     "fixed_broken": fixed_broken,
     "chat_commands": chat_commands,
     "chat_replay": chat_replay,
+    "chat_prompts": chat_prompts,
     "chat_saves": chat_saves,
     "vocab_fit": vocab_fit,
     "vocab_topk": vocab_topk,

@@ -62,6 +62,9 @@ SINGLE_ATTEMPTS = """
     FROM {events}
 """
 
+# The same with every seventh problem left out, so that positions and numbers differ.
+GAPPED_ATTEMPTS = f"SELECT * FROM ({SINGLE_ATTEMPTS}) AS a WHERE row_idx % 7 <> 3"
+
 CODE_FILES = """
     SELECT concat('page_', CAST(page_id AS STRING), '.py') AS source_name,
         CASE WHEN page_id % 17 = 0 THEN ' ' ELSE html END AS code
@@ -87,33 +90,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-# Tasks that share the rows of one split of a small table.
-TASKS_PER_SPLIT = 8
-
-
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Deal a small table out to more tasks before costly text work.
-
-    A scan with fewer splits than cores holds a few megabytes per core at
-    most, often in one row group that only one task can read. Larger tables
-    come back as they are: their splits keep every core busy.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    splits = scan.rdd.getNumPartitions()
-    if splits >= cores:
-        return scan
-    return scan.repartition(min(cores, TASKS_PER_SPLIT * max(splits, 1)), key)
-
-
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The largest table, dealt out to all cores if it comes in few splits."""
-    return spread(read(spark, sf_dir, "documents"), "doc_id")
-
-
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     used = {t: read(spark, sf_dir, t) for t in TABLES if f"{{{t}}}" in sql}
-    if "documents" in used:
-        used["documents"] = documents(spark, sf_dir)
     return spark.sql(sql, **used)
 
 

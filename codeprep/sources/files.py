@@ -2,32 +2,124 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codeprep.functions import prompts
 from codeprep.functions.text import is_blank, truncate_code
+from codeprep.staging import stage
+from codeprep.workers import reachable
 
+_ENTRIES = "path string, source_path string, is_folder boolean, size bigint"
+_FILES = "source_path string, source_name string, code string, error string"
 
-def scan_code_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per file: base name and whole text. A missing path is an error."""
-    files = spark.read.text(path, wholetext=True)
-    return files.select(
-        F.col("_metadata.file_name").alias("source_name"), F.col("value").alias("code")
+# Bytes of files that a task opens together, and files per task.
+GROUP_BYTES = 64 << 20
+GROUP_FILES = 1000
+
+
+def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    types = {"is_folder": pa.bool_(), "size": pa.int64()}
+    columns = zip(*rows) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), types.get(n, pa.string())) for n, c in zip(names, columns)], names=names
     )
 
 
+def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Children of every folder."""
+    names = ["path", "source_path", "is_folder", "size"]
+    for batch in batches:
+        for path, relative in zip(batch.column("path").to_pylist(), batch.column("source_path").to_pylist()):
+            store, folder = fs.FileSystem.from_uri(path)
+            prefix = f"{relative}/" if relative else ""
+            yield _batch(
+                [
+                    (f"{path}/{i.base_name}", prefix + i.base_name, i.type == fs.FileType.Directory, i.size or 0)
+                    for i in store.get_file_info(fs.FileSelector(folder))
+                ],
+                names,
+            )
+
+
+def address(path: str) -> str:
+    """A path with the file system it is on; without one it is a local path."""
+    return path if ":/" in path else f"file://{path}"
+
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, source_path, size)`` of all files below a folder, or of one file.
+
+    Whatever their names, at any depth. Folders are listed by tasks, one level after the
+    other; file names never come to the driver. A missing path is an error.
+    """
+    reachable(spark)
+    path = address(path).rstrip("/")
+    store, place = fs.FileSystem.from_uri(path)
+    root = store.get_file_info(place)
+    if root.type == fs.FileType.NotFound:
+        raise FileNotFoundError(f"no such file or folder: {path}")
+    if root.type == fs.FileType.File:
+        return spark.createDataFrame(
+            [(path, root.base_name, root.size)], "path string, source_path string, size bigint"
+        )
+    level = spark.createDataFrame([(path, "", True, 0)], _ENTRIES)
+    found = None
+    while True:
+        children = stage(
+            level.repartition("path").mapInArrow(_list_folders, _ENTRIES), "listing"
+        )
+        files = children.filter(~F.col("is_folder")).drop("is_folder")
+        found = files if found is None else found.unionByName(files)
+        level = children.filter("is_folder")
+        if level.isEmpty():
+            return found
+
+
+def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Text of every file, or why it could not be read."""
+    names = ["source_path", "source_name", "code", "error"]
+    for batch in batches:
+        for path, relative in zip(batch.column("path").to_pylist(), batch.column("source_path").to_pylist()):
+            code = error = None
+            try:
+                store, place = fs.FileSystem.from_uri(path)
+                with store.open_input_stream(place) as source:
+                    code = source.read().decode("utf-8")
+            except (OSError, ValueError) as problem:
+                error = f"{type(problem).__name__}: {problem}".splitlines()[0]
+            yield _batch([(relative, relative.rpartition("/")[2], code, error)], names)
+
+
+def scan_code_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per file: relative path, base name, text, and an error if it could not be read.
+
+    As in text mode every line end is a line feed. Files are dealt to tasks in groups of about
+    ``GROUP_BYTES`` bytes and ``GROUP_FILES`` files.
+    """
+    listed = list_files(spark, path)
+    total = listed.agg(F.count("*").alias("n"), F.sum("size").alias("size")).first()
+    groups = max(1, -(-total.n // GROUP_FILES), -(-(total.size or 0) // GROUP_BYTES))
+    texts = listed.repartition(groups, "path").mapInArrow(_read_files, _FILES)
+    return texts.withColumn("code", F.regexp_replace("code", "\r\n?", "\n"))
+
+
 def split_blank(files: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Files with code, and the rejected ones that hold only whitespace."""
-    return files.filter(~is_blank(F.col("code"))), files.filter(is_blank(F.col("code")))
+    """Files with code, and the rejected ones: only whitespace, or not read."""
+    has_code = F.coalesce(~is_blank(F.col("code")), F.lit(False))
+    return files.filter(has_code), files.filter(~has_code)
 
 
-def code_prompts(files: DataFrame) -> DataFrame:
+def code_prompts(files: DataFrame, name: str = "source_name") -> DataFrame:
     """Explain, review and fix prompts per file, over code cut to the prompt limit."""
     code = F.col("code")
     cut = files.withColumn("code", truncate_code(code))
     return cut.select(
-        "source_name",
+        name,
         prompts.explain_prompt(code).alias("explain"),
         prompts.review_prompt(code).alias("review"),
         prompts.fix_prompt(code).alias("fix"),

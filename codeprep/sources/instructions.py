@@ -9,7 +9,7 @@ from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codeprep.functions.text import or_empty
@@ -18,12 +18,9 @@ from codeprep.staging import stage
 logger = logging.getLogger(__name__)
 
 TEXT_COLUMNS = ("instruction", "input", "output")
+# What orders rows that are numbered inside their source, and loaded rows of any source.
 ORDER = ("source_rank", "row_idx")
-
-# A scan of at most this many splits has few enough files to broadcast their
-# offsets: with Spark's default split size and opening cost a split holds at
-# most 32 files.
-MAX_BROADCAST_SPLITS = 10_000
+SOURCE_ORDER = ("source_rank", "file", "row_idx")
 
 
 @dataclass(frozen=True)
@@ -33,8 +30,9 @@ class SourceSpec:
     ``columns`` maps a triple column to the source column that feeds it; a
     triple column that is not mapped, or whose source column is absent, is "".
     ``equals`` and ``contains`` keep rows by case-insensitive match on a source
-    column. ``order_col`` is the row number inside the source; without it the
-    position in the files is used.
+    column. ``order_col`` is the row number inside the source and should not
+    repeat; without it rows stand by file name and place in the file, so what a
+    seeded sample takes depends on the file names, too.
     """
 
     name: str
@@ -80,60 +78,44 @@ def to_triples(df: DataFrame, columns: Mapping[str, str], *keep: str) -> DataFra
 
 
 def with_file_position(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """Read a source and number its rows from 0 in file order, without moving them.
+    """Read a source with ``file`` and ``row_idx``, which order its rows as they are stored.
 
-    Parquet knows the row number inside a file. Other formats are written once
-    as parquet, so that the numbers cannot change when a task is repeated.
+    No rows are moved, counted or joined. Parquet knows the row number inside a
+    file. Other formats are written once as parquet, so that the numbers cannot
+    change when a task is repeated; there a file is a stretch of a file.
     """
     read = spark.read.format(spec.format).options(**spec.options).load(spec.path)
     if spec.format == "parquet":
-        rows = read.select(
+        return read.select(
             "*",
-            F.col("_metadata.file_path").alias("_file"),
-            F.lit(0).cast("bigint").alias("_block"),
-            F.col("_metadata.row_index").alias("_pos"),
-        )
-    else:
-        rows = stage(
-            read.select(
-                "*",
-                F.col("_metadata.file_path").alias("_file"),
-                F.col("_metadata.file_block_start").alias("_block"),
-                F.monotonically_increasing_id().alias("_pos"),
-            ),
-            "positions",
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.row_index").alias("row_idx"),
         )
-    # One row per file or file block. The running sum over them is the only
-    # single-task step, and its input is as small as the file listing.
-    blocks = rows.groupBy("_file", "_block").agg(
-        F.min("_pos").alias("_first"), F.count("*").alias("_rows")
-    )
-    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = blocks.select(
-        "_file",
-        "_block",
-        (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_offset"),
-    )
-    if spec.format == "parquet" and rows.rdd.getNumPartitions() <= MAX_BROADCAST_SPLITS:
-        offsets = F.broadcast(offsets)
-    return (
-        rows.join(offsets, ["_file", "_block"])
-        .withColumn("row_idx", F.col("_pos") + F.col("_offset"))
-        .drop("_file", "_block", "_pos", "_offset")
+    stretch = F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0")
+    return stage(
+        read.select(
+            "*",
+            F.concat_ws("#", F.col("_metadata.file_path"), stretch).alias("file"),
+            F.monotonically_increasing_id().alias("row_idx"),
+        ),
+        "positions",
     )
 
 
 def read_source(spark: SparkSession, spec: SourceSpec, source_rank: int) -> DataFrame:
     if spec.order_col:
         read = spark.read.format(spec.format).options(**spec.options).load(spec.path)
-        rows = read.withColumn("row_idx", F.col(spec.order_col).cast("bigint"))
+        rows = read.withColumns(
+            {"file": F.lit(""), "row_idx": F.col(spec.order_col).cast("bigint")}
+        )
     else:
         rows = with_file_position(spark, spec)
     rows = keep_rows(rows, spec)
-    triples = to_triples(rows, spec.columns, "row_idx")
+    triples = to_triples(rows, spec.columns, "file", "row_idx")
     return triples.select(
         F.lit(spec.name).alias("source"),
         F.lit(source_rank).alias("source_rank"),
+        "file",
         "row_idx",
         *TEXT_COLUMNS,
     )
@@ -144,7 +126,7 @@ def load_sources(
 ) -> tuple[DataFrame, list[SourceStatus]]:
     """Union all sources that can be opened; warn about the others and go on.
 
-    Row order is (source_rank, row_idx). A source fails here when its path or
+    Row order is (source_rank, file, row_idx). A source fails here when its path or
     schema cannot be resolved; rows are not read yet.
     """
     frames, statuses = [], []

@@ -5,19 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from codeprep.operators.ranking import smallest_cutoff
-
-# Up to this many rows every task may keep its own best rows and one task merges them.
-MAX_TOP_ROWS = 10_000
+from codeprep.operators.ranking import number_rows
 
 
 def first_problems(problems: DataFrame, max_problems: int | None) -> DataFrame:
-    """The first ``max_problems`` problems in ``row_idx`` order; all when not set or fewer."""
+    """The first ``max_problems`` problems in ``row_idx`` order; all when not set or fewer.
+
+    Problems of one ``row_idx`` stand in order of their other columns, so there are never more
+    or fewer than asked for, and rows that still tie are equal.
+    """
     if not max_problems:
         return problems
-    if max_problems <= MAX_TOP_ROWS:
-        return problems.orderBy("row_idx").limit(max_problems)
-    # Zero-padded so that text order is number order; row_idx counts from 0.
-    key = F.lpad(F.col("row_idx").cast("string"), 20, "0")
-    cutoff = smallest_cutoff(problems.select(key.alias("key")), max_problems, prefix=16)
-    return problems.filter(F.coalesce(key <= cutoff.scalar(), F.lit(True)))
+    order = ["row_idx", *[c for c in problems.columns if c != "row_idx"]]
+    numbered = number_rows(problems, [F.col(c) for c in order], "_place")
+    return numbered.filter(F.col("_place") < max_problems).select(problems.columns)

@@ -1,8 +1,9 @@
-"""Run reports as JSON: one nested document per run, or two tables for large runs."""
+"""Run reports: three JSON tables per run, and one nested document as an export."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from codeprep.operators.evaluation import RUN
 
-# Keys of a report and of its per-problem entries.
+# Keys of a nested report and of its per-problem entries.
 REPORT_SCHEMA = """
     label string, model_path string, timestamp string, num_problems bigint,
     num_samples bigint, temperature double, `pass@1` double, `pass@10` double,
@@ -19,35 +20,79 @@ REPORT_SCHEMA = """
                              `pass@1`: double, errors: array<string>>>
 """
 
-# The same content as separate tables.
-SUMMARY_SCHEMA = """
-    label string, num_problems bigint, num_samples bigint, pass_at_1 double, pass_at_10 double,
-    num_passed bigint, num_failed bigint, model_path string, timestamp string,
-    temperature double, elapsed_sec double
-"""
-PROBLEM_SCHEMA = """
-    label string, task_id string, row_idx bigint, num_correct bigint, num_samples bigint,
-    num_errors bigint, pass_at_1 double
-"""
+# The store: one folder per table, in it one folder per run.
+TABLES = {
+    "summary": """label string, num_problems bigint, num_samples bigint, pass_at_1 double,
+        pass_at_10 double, num_passed bigint, num_failed bigint, model_path string,
+        timestamp string, temperature double, elapsed_sec double""",
+    "per_problem": """label string, task_id string, row_idx bigint, num_correct bigint,
+        num_samples bigint, num_errors bigint, pass_at_1 double""",
+    "errors": "label string, task_id string, sample_idx bigint, error string",
+}
+
+
+def write_reports(summary: DataFrame, problems: DataFrame, errors: DataFrame, path: str) -> None:
+    """Write the runs below ``path``; runs that are there already are replaced, others stay.
+
+    A run that has no errors any more loses those of an earlier evaluation, too: every run
+    writes a marker row, which readers leave out.
+    """
+    marked = errors.unionByName(
+        summary.select(RUN), allowMissingColumns=True
+    )
+    for name, table in (("summary", summary), ("per_problem", problems), ("errors", marked)):
+        rows = table.withColumn("run", F.col(RUN))
+        # Null fields are written: a report always has the key pass@10.
+        (
+            rows.write.partitionBy("run")
+            .option("ignoreNullFields", False)
+            .option("partitionOverwriteMode", "dynamic")
+            .mode("overwrite")
+            .json(f"{path}/{name}")
+        )
+
+
+def read_table(spark: SparkSession, paths: Sequence[str], name: str) -> DataFrame:
+    """One table of the runs in one or several folders; a folder without reports is an error."""
+    parts = []
+    for path in paths:
+        try:
+            parts.append(spark.read.schema(TABLES[name]).json(f"{path}/{name}"))
+        except AnalysisException as error:
+            raise FileNotFoundError(f"run all evaluations to compare first: {error}") from error
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_summary(spark: SparkSession, paths: Sequence[str], runs: Sequence[str] = ()) -> DataFrame:
+    """Summaries of all runs, or of the wanted ones, which all must be there."""
+    summary = read_table(spark, paths, "summary")
+    if runs:
+        summary = summary.filter(F.col(RUN).isin(*runs))
+        found = {r[RUN] for r in summary.select(RUN).distinct().collect()}
+        if missing := set(runs) - found:
+            raise FileNotFoundError(f"run all evaluations to compare first: {sorted(missing)}")
+    return summary
+
+
+def read_problems(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    return read_table(spark, paths, "per_problem")
 
-NESTED = "nested"
-TABLES = "tables"
 
-# A run with more problems or errors than this is not written as one document.
-MAX_NESTED_PROBLEMS = 100_000
-MAX_NESTED_ERRORS = 1_000_000
+def read_errors(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    return read_table(spark, paths, "errors").filter(F.col("task_id").isNotNull())
 
 
 def nested_report(summary: DataFrame, problems: DataFrame, errors: DataFrame) -> DataFrame:
     """One row per run in the report layout, problems in problem-set order.
 
-    For runs within the nested limits only: all problems of a run meet in one row.
+    All problems and errors of a run meet in one row: for runs that fit in memory, by the
+    caller's choice. A run without problems has empty lists.
     """
-    chunks = F.array_sort(F.collect_list(F.struct("chunk", "errors")))
+    listed = F.array_sort(F.collect_list(F.struct("sample_idx", "error")))
     lists = (
         errors.groupBy(RUN, "task_id")
-        .agg(chunks.alias("chunks"))
-        .select(RUN, "task_id", F.flatten("chunks.errors").alias("errors"))
+        .agg(listed.alias("listed"))
+        .select(RUN, "task_id", F.col("listed.error").alias("errors"))
     )
     entry = F.struct(
         "task_id",
@@ -64,7 +109,11 @@ def nested_report(summary: DataFrame, problems: DataFrame, errors: DataFrame) ->
         .select(RUN, F.col("placed.entry").alias("per_problem"))
     )
     failed = F.filter("per_problem", lambda p: p["pass@1"] == 0)
-    return summary.join(details, RUN).select(
+    none = "cast(array() as array<struct<task_id: string, num_correct: bigint, num_samples: bigint, `pass@1`: double, errors: array<string>>>)"
+    whole = summary.join(details, RUN, "left").withColumn(
+        "per_problem", F.coalesce("per_problem", F.expr(none))
+    )
+    return whole.select(
         RUN,
         "model_path",
         "timestamp",
@@ -81,42 +130,26 @@ def nested_report(summary: DataFrame, problems: DataFrame, errors: DataFrame) ->
     )
 
 
-def fits_nested(problems: DataFrame) -> bool:
-    """Whether every run is small enough to be one document; checked on counts."""
-    too_large = (
-        problems.groupBy(RUN)
-        .agg(F.count("*").alias("n"), F.sum("num_errors").alias("n_errors"))
-        .filter((F.col("n") > MAX_NESTED_PROBLEMS) | (F.col("n_errors") > MAX_NESTED_ERRORS))
+def export_nested(spark: SparkSession, paths: Sequence[str], runs: Sequence[str], out: str) -> None:
+    """Write stored runs as one JSON document each, in a folder per run below ``out``."""
+    chosen = F.col(RUN).isin(*runs)
+    report = nested_report(
+        read_summary(spark, paths, runs),
+        read_problems(spark, paths).filter(chosen),
+        read_errors(spark, paths).filter(chosen),
+    )
+    (
+        report.withColumn("run", F.col(RUN))
+        .write.partitionBy("run")
+        .option("ignoreNullFields", False)
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .json(out)
     )
-    return too_large.isEmpty()
-
-
-def write_reports(
-    summary: DataFrame, problems: DataFrame, errors: DataFrame, path: str
-) -> str:
-    """Write all runs below ``path`` and return the layout used.
-
-    NESTED is one JSON document per run, in a folder per label. TABLES holds
-    the same content as JSON lines in ``summary``, ``per_problem`` and
-    ``errors``, for runs of any size.
-    """
-    if fits_nested(problems):
-        report = nested_report(summary, problems, errors)
-        _write_json(report.withColumn("run", F.col(RUN)), path, "run")
-        return NESTED
-    _write_json(summary, f"{path}/summary")
-    _write_json(problems, f"{path}/per_problem", RUN)
-    _write_json(errors, f"{path}/errors", RUN)
-    return TABLES
-
-
-def _write_json(df: DataFrame, path: str, *partitions: str) -> None:
-    # Null fields are written: a report always has the key pass@10.
-    df.write.partitionBy(*partitions).option("ignoreNullFields", False).json(path)
 
 
-def read_reports(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Read nested reports; every path must exist.
+def read_nested(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """Read nested documents; every path must exist.
 
     The schema is given because an all-null pass@10 would be inferred as text.
     """
@@ -126,16 +159,8 @@ def read_reports(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         raise FileNotFoundError(f"run all evaluations to compare first: {error}") from error
 
 
-def read_tables(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Summary and per-problem rows of reports written as tables."""
-    return (
-        spark.read.schema(SUMMARY_SCHEMA).json(f"{path}/summary"),
-        spark.read.schema(PROBLEM_SCHEMA).json(f"{path}/per_problem"),
-    )
-
-
-def report_summary(reports: DataFrame) -> DataFrame:
-    """Stored reports in the shape of ``evaluation.run_summary``."""
+def nested_summary(reports: DataFrame) -> DataFrame:
+    """Nested documents in the shape of ``evaluation.run_summary``."""
     return reports.select(
         RUN,
         "num_problems",
@@ -147,8 +172,8 @@ def report_summary(reports: DataFrame) -> DataFrame:
     )
 
 
-def report_problems(reports: DataFrame) -> DataFrame:
-    """Per-problem rows of stored reports in the shape of ``evaluation.per_problem``."""
+def nested_problems(reports: DataFrame) -> DataFrame:
+    """Per-problem rows of nested documents in the shape of ``evaluation.per_problem``."""
     return reports.select(RUN, F.posexplode("per_problem").alias("row_idx", "p")).select(
         RUN,
         "p.task_id",
@@ -158,8 +183,3 @@ def report_problems(reports: DataFrame) -> DataFrame:
         F.size("p.errors").cast("bigint").alias("num_errors"),
         F.col("p.`pass@1`").alias("pass_at_1"),
     )
-
-
-def report_failed(reports: DataFrame) -> DataFrame:
-    """Failed problems as stored, in the shape of ``evaluation.failed_tasks``."""
-    return reports.select(RUN, F.posexplode("failed_tasks").alias("row_idx", "task_id"))
