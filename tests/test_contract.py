@@ -83,15 +83,14 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
-class ClusterSession:
-    """Settings of a session that does not run locally."""
+def test_a_session_without_the_setting_uses_its_warehouse():
+    class Conf(dict):
+        set = dict.__setitem__
 
-    def __init__(self, **settings):
-        self.conf = {"spark.master": "yarn"} | settings
+    class Session:
+        conf = Conf({"spark.sql.warehouse.dir": "hdfs:///warehouse"})
 
-
-def test_a_cluster_must_name_the_folder():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(ClusterSession())
-    named = ClusterSession(**{"spark.checkpoint.dir": "hdfs:///shared/"})
-    assert shared_folder(named) == "hdfs:///shared"
+    assert shared_folder(Session()) == "hdfs:///warehouse/checkpoints"
+    assert Session.conf["spark.checkpoint.dir"] == "hdfs:///warehouse/checkpoints"
+    Session.conf["spark.checkpoint.dir"] = "hdfs:///shared/"
+    assert shared_folder(Session()) == "hdfs:///shared"

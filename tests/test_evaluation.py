@@ -127,24 +127,36 @@ def many_samples(spark, n=12):
     return spark.createDataFrame(rows, SCHEMA).repartition(4)
 
 
-def test_errors_in_sample_order(spark, monkeypatch):
+def test_errors_in_sample_order(spark):
     attempts = many_samples(spark)
     problems = {r.task_id: r for r in evaluation.per_problem(attempts).collect()}
     expected = {
         "t0": ["E: a", "E: b"] * 3,
         "t2": [e for i in range(12) if i % 3 and (e := ["E: a", "", None, "E: b"][i % 4])],
     }
-    for size in (1000, 5):
-        monkeypatch.setattr(evaluation, "ERROR_CHUNK", size)
-        chunks = evaluation.problem_errors(attempts).orderBy("task_id", "chunk").collect()
-        assert all(len(r.errors) <= size for r in chunks)
-        joined = {}
-        for r in chunks:
-            joined.setdefault(r.task_id, []).extend(r.errors)
-        assert joined == expected
+    listed = {}
+    for r in evaluation.problem_errors(attempts).orderBy("task_id", "sample_idx").collect():
+        listed.setdefault(r.task_id, []).append(r.error)
+    assert listed == expected
     assert {t: r.num_errors for t, r in problems.items()} == {"t0": 6, "t1": 0, "t2": len(expected["t2"])}
 
 
+def test_many_errors_of_one_sample_stay_rows(spark):
+    rows = [("run", "t", 0, 5, False, f"E: {i}") for i in range(3000)]
+    errors = evaluation.problem_errors(spark.createDataFrame(rows, SCHEMA))
+    assert errors.columns == ["label", "task_id", "sample_idx", "error"]
+    assert errors.count() == 3000
+
+
+@pytest.mark.parametrize("first, step", [(1, 1), (7, 13), (-5, 1)])
+def test_progress_counts_problems_whatever_their_numbers(spark, first, step):
+    rows = [("run", f"t{i}", first + step * i, 0, i % 2 == 0, None) for i in range(60)]
+    lines = evaluation.running_pass1(
+        evaluation.per_problem(spark.createDataFrame(rows, SCHEMA))
+    ).collect()
+    assert sorted((r.n_done, r.pass_at_1_so_far) for r in lines) == [(20, 0.5), (40, 0.5), (60, 0.5)]
+
+
 def test_pass_10_needs_ten_samples(spark):
     enough = evaluation.run_summary(evaluation.per_problem(many_samples(spark, 12))).first()
     mean = (0 + 1 + exact_pass(12, 4, 10)) / 3
@@ -165,10 +177,50 @@ def test_report_lines(published, runs):
     )
 
 
-def test_report_round_trip(spark, published, runs, tmp_path):
+def test_reports_of_separate_evaluations(spark, published, runs, tmp_path):
     out = str(tmp_path / "reports")
-    assert plan.evaluate(published, runs, out) == "nested"
-    paths = [f"{out}/run=baseline", f"{out}/run=finetuned"]
+    for run in ("baseline", "finetuned"):
+        plan.evaluate(published.filter(F.col("label") == run), runs, out)
+    metrics, changes = plan.compare(spark, [out])
+    assert metrics.filter("line = 1").first().delta == 4.88
+    assert changes.count() == 26
+    stored = reports.read_problems(spark, [out])
+    assert evaluation.running_pass1(stored).count() == 16
+    errors = reports.read_errors(spark, [out])
+    assert errors.groupBy("label").count().orderBy("label").collect() == [("baseline", 33), ("finetuned", 25)]
+    with pytest.raises(FileNotFoundError):
+        plan.compare(spark, [out], "baseline", "other")
+    with pytest.raises(FileNotFoundError):
+        plan.compare(spark, [out, str(tmp_path / "none")])
+
+
+def test_a_repeated_evaluation_replaces_its_run_only(spark, published, runs, tmp_path):
+    out = str(tmp_path / "reports")
+    plan.evaluate(published, runs, out)
+    better = published.filter("label = 'baseline'").withColumns(
+        {"passed": F.lit(True), "error": F.lit(None).cast("string")}
+    )
+    plan.evaluate(better, runs, out)
+    summary = {r.label: r.num_passed for r in reports.read_summary(spark, [out]).collect()}
+    assert summary == {"baseline": 164, "finetuned": 139}
+    assert {r.label for r in reports.read_errors(spark, [out]).collect()} == {"finetuned"}
+
+
+def test_runs_in_two_folders_and_details_given_twice(spark, published, runs, tmp_path):
+    folders = [str(tmp_path / run) for run in ("baseline", "finetuned")]
+    older = runs.withColumns({"timestamp": F.lit("2020"), "model_path": F.lit("old")})
+    for folder, run in zip(folders, ("baseline", "finetuned")):
+        plan.evaluate(published.filter(F.col("label") == run), runs.unionByName(older), folder)
+    assert [r.delta for r in plan.compare(spark, folders)[0].orderBy("line").collect()] == [4.88, 8.0, None]
+    assert {r.model_path for r in reports.read_summary(spark, folders).collect()} == {"m/a", "m/b"}
+
+
+def test_nested_export(spark, published, runs, tmp_path):
+    out, nested = str(tmp_path / "reports"), str(tmp_path / "nested")
+    plan.evaluate(published, runs, out)
+    reports.export_nested(spark, [out], ["baseline", "finetuned"], nested)
+    reports.export_nested(spark, [out], ["finetuned"], nested)
+    paths = [f"{nested}/run=baseline", f"{nested}/run=finetuned"]
     document = json.loads(next(Path(paths[0]).glob("*.json")).read_text())
     assert document["pass@10"] is None and document["elapsed_sec"] == 522.7
     assert list(document) == [
@@ -181,27 +233,10 @@ def test_report_round_trip(spark, published, runs, tmp_path):
         "task_id": "Task/26", "num_correct": 0, "num_samples": 1, "pass@1": 0.0, "errors": ["E: x"],
     }
     assert document["per_problem"][0]["errors"] == []
-    metrics, changes = plan.compare(spark, paths)
-    assert metrics.filter("line = 1").first().delta == 4.88
-    assert changes.count() == 26
-    stored = reports.report_problems(reports.read_reports(spark, paths))
-    assert evaluation.running_pass1(stored).count() == 16
+    read = reports.read_nested(spark, paths)
+    assert evaluation.running_pass1(reports.nested_problems(read)).count() == 16
+    assert {r.label: r.pass_at_1 for r in reports.nested_summary(read).collect()} == {
+        "baseline": 79.88, "finetuned": 84.76,
+    }
     with pytest.raises(FileNotFoundError):
-        plan.compare(spark, [paths[0], f"{out}/run=other"])
-
-
-def test_large_runs_become_tables(spark, runs, tmp_path, monkeypatch):
-    monkeypatch.setattr(reports, "MAX_NESTED_ERRORS", 3)
-    attempts = many_samples(spark).withColumn("label", F.lit("baseline"))
-    out = str(tmp_path / "tables")
-    assert plan.evaluate(attempts, runs, out) == "tables"
-    assert spark.read.json(f"{out}/per_problem").count() == 3
-    assert spark.read.json(f"{out}/summary").first()["num_passed"] == 2
-    errors = spark.read.json(f"{out}/errors").select(F.sum(F.size("errors"))).first()[0]
-    better = attempts.withColumn("label", F.lit("finetuned")).withColumn("passed", F.lit(True))
-    both = attempts.unionByName(better)
-    assert plan.evaluate(both, runs, out + "2") == "tables"
-    metrics, changes = plan.compare(spark, [out + "2"], "tables")
-    assert [r.delta for r in metrics.orderBy("line").collect()][-2:] == [1.0, None]
-    assert [tuple(r) for r in changes.collect()] == [("fixed", "t0")]
-    assert errors == evaluation.per_problem(attempts).agg(F.sum("num_errors")).first()[0]
+        reports.export_nested(spark, [out], ["other"], nested)

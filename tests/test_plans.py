@@ -2,11 +2,16 @@
 
 import pytest
 
+from codeprep.operators import ranking, tokens
+from codeprep.plans import dataset, queries
+from codeprep.plans import evaluation as evaluation_plan
 from codeprep.plans.queries import QUERIES
+from codeprep.sources import instructions
+from codeprep.staging import stage
 
 SMALL = "/root/testdata/sf0.001"
-# Queries that write an intermediate table; the others are only planned here.
-PLANNED = sorted(set(QUERIES) - {"vocab_fit", "vocab_topk", "encode_lengths", "padded_batches"})
+# Writes and reads files through Python.
+PLANNED = sorted(set(QUERIES) - {"code_file_scan"})
 
 
 def plan(df):
@@ -14,8 +19,13 @@ def plan(df):
 
 
 @pytest.mark.parametrize("name", PLANNED)
-def test_no_cross_join_and_no_python(spark, name):
-    text = plan(QUERIES[name](spark, SMALL))
+def test_no_cross_join_and_no_python(spark, name, monkeypatch):
+    """Neither in the plan of the result nor in those of the tables written on the way."""
+    plans = []
+    for module in (dataset, evaluation_plan, queries, instructions, ranking, tokens):
+        if hasattr(module, "stage"):
+            monkeypatch.setattr(module, "stage", lambda df, name: plans.append(plan(df)) or stage(df, name))
+    text = plan(QUERIES[name](spark, SMALL)) + "".join(plans)
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "ArrowEval", "MapIn"):
         assert word not in text
 
@@ -33,6 +43,16 @@ def test_only_needed_columns_are_read(spark):
     assert "html" not in text and "n_chars" not in text
 
 
+def test_the_tokens_of_a_text_meet_once(spark, monkeypatch):
+    """Encoding: a broadcast of the frequent tokens, then one exchange with a row per text."""
+    plans = {}
+    monkeypatch.setattr(tokens, "stage", lambda df, name: plans.update({name: plan(df)}) or stage(df, name))
+    QUERIES["encode_lengths"](spark, SMALL)
+    text = plans["token-ids"]
+    assert "BroadcastHashJoin" in text and "Generate posexplode" in text
+    assert text.count("Exchange hashpartitioning(row_idx") == 1
+
+
 @pytest.mark.parametrize("name", ["chat_replay", "running_pass1"])
 def test_both_levels_share_the_shuffle(spark, name):
     df = QUERIES[name](spark, SMALL)

@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from codeprep.sources import files, instructions, problems
+from codeprep.sources import files, problems
 from codeprep.sources.instructions import SourceSpec, load_report, load_sources
 
 
@@ -24,7 +24,7 @@ def test_broken_sources_are_skipped(spark, tmp_path):
     assert [(s.name, s.loaded) for s in statuses] == [
         ("garbage", False), ("absent", False), ("good", True),
     ]
-    assert [tuple(r) for r in rows.collect()] == [("good", 2, 0, "i", "", "o")]
+    assert [tuple(r) for r in rows.drop("file").collect()] == [("good", 2, 0, "i", "", "o")]
     report = {r.source: (r.loaded, r.n_rows) for r in load_report(spark, rows, statuses).collect()}
     assert report == {"garbage": (False, 0), "absent": (False, 0), "good": (True, 1)}
 
@@ -48,7 +48,7 @@ def test_filters_and_remapping(spark, tmp_path):
     )
     columns = {"instruction": "problem", "output": "solution"}
     spec = SourceSpec("s", path, columns=columns, equals={"lang": "python"}, order_col="id")
-    rows = load_sources(spark, [spec])[0].orderBy("row_idx").collect()
+    rows = load_sources(spark, [spec])[0].drop("file").orderBy("row_idx").collect()
     assert [tuple(r)[2:] for r in rows] == [(0, "p0", "", ""), (3, "", "", "s")]
     spec = SourceSpec("s", path, columns=columns, contains={"lang": "yth"}, order_col="id")
     assert load_sources(spark, [spec])[0].count() == 2
@@ -63,30 +63,30 @@ def test_numbers_become_text(spark, tmp_path):
     assert (row.instruction, row.input, row.output) == ("7", "", "1.5")
 
 
-@pytest.mark.parametrize("splits", [10_000, 0])
-def test_positions_in_parquet_files(spark, tmp_path, monkeypatch, splits):
-    monkeypatch.setattr(instructions, "MAX_BROADCAST_SPLITS", splits)
+def in_file_order(rows):
+    return [r.instruction for r in sorted(rows, key=lambda r: (r.file, r.row_idx))]
+
+
+def test_positions_in_parquet_files(spark, tmp_path):
     path = tmp_path / "many"
     spark.range(1000, numPartitions=7).selectExpr("cast(id as string) instruction").write.option(
         "maxRecordsPerFile", 60
     ).parquet(str(path))
     rows, _ = load_sources(spark, [SourceSpec("many", str(path))])
-    got = {r.row_idx: int(r.instruction) for r in rows.collect()}
-    assert [got[i] for i in range(1000)] == list(range(1000))
+    assert in_file_order(rows.collect()) == [str(i) for i in range(1000)]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
 
 
 def test_positions_count_rows_before_the_filter(spark, tmp_path):
     path = tmp_path / "filtered"
-    spark.range(100, numPartitions=3).selectExpr(
+    spark.range(100, numPartitions=1).selectExpr(
         "cast(id as string) instruction", "if(id % 10 = 0, 'Keep', 'drop') lang"
     ).write.parquet(str(path))
     rows, _ = load_sources(spark, [SourceSpec("f", str(path), equals={"lang": "keep"})])
     assert sorted((r.row_idx, int(r.instruction)) for r in rows.collect()) == [
         (i, i) for i in range(0, 100, 10)
     ]
-    assert "Exchange hashpartitioning(_file" not in rows._jdf.queryExecution().toString().split(
-        "BroadcastExchange"
-    )[0]
 
 
 def test_positions_in_json_lines(spark, tmp_path):
@@ -99,31 +99,53 @@ def test_positions_in_json_lines(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
     try:
         rows, _ = load_sources(spark, [SourceSpec("j", str(path), format="json")])
-        got = {r.row_idx: r.instruction for r in rows.collect()}
+        got = rows.collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert [got[i] for i in range(12000)] == [f"{f}-{i:05d}" for f in range(3) for i in range(4000)]
+    assert in_file_order(got) == [f"{f}-{i:05d}" for f in range(3) for i in range(4000)]
+    assert len({(r.file, r.row_idx) for r in got}) == 12000
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_first_problems(spark, monkeypatch, small):
-    if not small:
-        monkeypatch.setattr(problems, "MAX_TOP_ROWS", 0)
-    table = spark.range(50).selectExpr("50 - id as row_idx")
+def test_first_problems(spark):
+    table = spark.range(50).selectExpr("50 - id as row_idx", "cast(id as string) as task_id")
     for wanted, count in [(None, 50), (0, 50), (7, 7), (50, 50), (90, 50)]:
-        got = sorted(r.row_idx for r in problems.first_problems(table, wanted).collect())
-        assert got == list(range(1, count + 1))
+        rows = problems.first_problems(table, wanted)
+        assert rows.columns == table.columns
+        assert sorted(r.row_idx for r in rows.collect()) == list(range(1, count + 1))
+
+
+@pytest.mark.parametrize("wanted", [1, 7, 8, 20])
+def test_first_problems_of_tied_positions(spark, wanted):
+    rows = [(i // 5, f"t{i:02d}", None if i % 2 else "p") for i in range(20)]
+    table = spark.createDataFrame(rows, "row_idx long, task_id string, prompt string")
+    got = problems.first_problems(table.repartition(4), wanted).collect()
+    assert sorted(tuple(r) for r in got) == rows[:wanted] if wanted < 20 else len(got) == 20
 
 
 def test_code_files(spark, tmp_path):
-    (tmp_path / "a.py").write_text("x = 1\ny = 2\n")
-    (tmp_path / "b.py").write_text(" \n\t　\n")
-    (tmp_path / "c.py").write_text("z" * 3001)
-    scanned = files.scan_code_files(spark, str(tmp_path))
+    folder = tmp_path / "code"
+    deep = folder / "_inner" / ".hidden"
+    deep.mkdir(parents=True)
+    (folder / "empty").mkdir()
+    (folder / "a.py").write_text("x = 1\ny = 2\n")
+    (folder / "b.py").write_text(" \n\t　\n")
+    (folder / "c.py").write_text("z" * 3001)
+    (deep / "__init__.py").write_bytes(b"one\r\ntwo\rthree\n")
+    (folder / "_private.py").write_bytes(b"\xff\xfe")
+    scanned = files.scan_code_files(spark, str(folder))
     kept, rejected = files.split_blank(scanned)
-    assert [r.source_name for r in rejected.collect()] == ["b.py"]
+    bad = {r.source_path: r.error for r in rejected.collect()}
+    assert set(bad) == {"b.py", "_private.py"} and bad["b.py"] is None
+    assert bad["_private.py"].startswith("UnicodeDecodeError")
+    by_path = {r.source_path: r for r in kept.collect()}
+    assert set(by_path) == {"a.py", "c.py", "_inner/.hidden/__init__.py"}
+    assert by_path["_inner/.hidden/__init__.py"].code == "one\ntwo\nthree\n"
+    assert by_path["_inner/.hidden/__init__.py"].source_name == "__init__.py"
     by_name = {r.source_name: r for r in files.code_prompts(kept).collect()}
     assert by_name["a.py"].explain.endswith("### Input:\nx = 1\ny = 2\n\n### Response:\n")
     assert "z" * 3000 + "\n# ... (truncated)\n\n###" in by_name["c.py"].review
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+    alone = files.scan_code_files(spark, str(deep / "__init__.py")).collect()
+    assert [(r.source_path, r.code) for r in alone] == [("__init__.py", "one\ntwo\nthree\n")]
+    assert files.scan_code_files(spark, str(folder / "empty")).count() == 0
+    with pytest.raises(FileNotFoundError):
         files.scan_code_files(spark, str(tmp_path / "none"))

@@ -27,6 +27,16 @@ def test_sample(spark, parts, k):
     assert {r.row_idx for r in got} == set(by_hash(500, 7)[:k]) and len(got) == k
 
 
+def test_sizes_are_exact_for_tied_ids(spark):
+    tied = spark.range(40).selectExpr(
+        "0 as source_rank", "id div 10 as row_idx", "cast(id as string) as output"
+    )
+    for k in (1, 9, 10, 11, 39):
+        assert splitting.sample_exact(tied, k).count() == k
+    sizes = {r.split: r.n_rows for r in splitting.split_sizes(splitting.split_exact(tied, 0.1)).collect()}
+    assert sizes == {"eval": 4, "train": 36}
+
+
 def test_sample_not_needed(spark):
     table = rows(spark, 50)
     assert [splitting.sample_exact(table, k).count() for k in (None, 0, 51)] == [50, 50, 50]

@@ -1,11 +1,11 @@
-"""Column functions against short Python definitions, on awkward strings."""
+"""Column functions on cases written out, and properties on awkward strings."""
 
 import random
-import re
 
 import pytest
 
 from codeprep.functions import completions, text
+from codeprep.operators import cleaning
 
 PIECES = [
     "a", "Z", "é", "İ", "Σ", "😀", "中", "²", "_", "0", " ", "  ", "\t", "\n", "\r\n", "\r",
@@ -21,57 +21,114 @@ def strings(n, seed, longest=12):
     return ["".join(rng.choice(PIECES) for _ in range(rng.randrange(longest))) for _ in range(n)]
 
 
-def py_clean(s):
-    for marker in ("<EOS_TOKEN>", "</s>", "<eos>", "<|endoftext|>", "<|eot_id|>"):
-        s = "".join(s.split(marker))
-    return s.strip()
+def test_whitespace_is_pythons():
+    every = {chr(i) for i in range(0x110000) if chr(i).isspace()}
+    assert set(text.WHITESPACE) == every and len(text.WHITESPACE) == 29
 
 
-def py_extract(s):
-    """Fence, function, block: each found by position instead of by line loops."""
-    for fence in ("```python", "```"):
-        start = s.find(fence)
-        if start >= 0:
-            inside = s[start + len(fence):].partition(fence)[0]
-            s = inside.partition("```")[0]
-            break
-    header = re.compile(r"def\s+\w+\s*\(").search(s)
-    lines = (s[header.start():] if header else s).splitlines()
-    stops = [i for i, line in enumerate(lines) if i and line[:1].isascii() and line[:1].isalpha()]
-    return "\n".join(lines[: stops[0]] if stops else lines).strip()
+def test_strip_is_pythons(apply):
+    values = strings(4000, 1) + strings(200, 2, 80)
+    assert apply(text.strip, values) == [v.strip() for v in values]
 
 
-def py_unfence(s):
-    s = s.strip()
-    block = re.fullmatch(r"```(?:python)?(.*)```", s, re.S)
-    return block.group(1).strip() if block else s
+def test_cleaning_leaves_no_marker_and_is_done_after_one_pass_on_plain_text(apply):
+    values = strings(3000, 3)
+    once = apply(text.clean_text, values)
+    assert all(c == c.strip() for c in once)
+    # The last marker taken out can not come back; earlier ones may form anew.
+    assert not any("<|eot_id|>" in c for c in once)
+    plain = [c for c in once if "<" not in c]
+    assert apply(text.clean_text, plain) == plain
 
 
-def test_whitespace_is_pythons():
-    every = {chr(i) for i in range(0x110000) if chr(i).isspace()}
-    assert set(text.WHITESPACE) == every and len(text.WHITESPACE) == 29
+@pytest.mark.parametrize(
+    "value, cleaned",
+    [
+        ("a<EOS_TOKEN>b", "ab"),
+        ("</s></s>x", "x"),
+        ("<eos> x <|endoftext|>", "x"),
+        ("<|eot_<eos>id|>", ""),
+        ("<EOS_</s>TOKEN>", "<EOS_TOKEN>"),
+        ("<EOS>", "<EOS>"),
+        ("\u3000x\x1c", "x"),
+    ],
+)
+def test_clean_cases(apply, value, cleaned):
+    assert apply(text.clean_text, [value]) == [cleaned]
 
 
 @pytest.mark.parametrize(
-    "ours, python",
+    "value, key",
     [
-        (text.strip, str.strip),
-        (text.clean_text, py_clean),
-        (text.dedup_key, lambda s: s[:100].strip().lower()),
-        (completions.extract_code, py_extract),
-        (completions.unfence, py_unfence),
-        (
-            completions.is_code_like,
-            lambda s: sum(m in s for m in ("def ", "class ", "import ", "return ", "    ")) > 1,
-        ),
+        ("  Sort A List ", "sort a list"),
+        ("ΣΑΣ", "σας"),
+        (" " * 99 + "ab", "a"),
+        ("", ""),
+        ("É" * 101, "é" * 100),
     ],
-    ids=["strip", "clean", "key", "extract", "unfence", "code_like"],
 )
-def test_matches_python(apply, ours, python):
-    values = strings(4000, 1) + strings(200, 2, 80)
-    got = apply(ours, values)
-    wrong = [(v, g, python(v)) for v, g in zip(values, got) if g != python(v)]
-    assert not wrong, wrong[:3]
+def test_dedup_key_cases(apply, value, key):
+    assert apply(text.dedup_key, [value]) == [key]
+
+
+def test_extracted_code_is_stripped_and_has_no_fence(apply):
+    values = strings(3000, 4)
+    for value, code in zip(values, apply(completions.extract_code, values)):
+        assert code == code.strip()
+        assert "```" not in code or value.count("```") == 0 or "def" in value
+        # Without fence, function or line break, text stays as it is.
+        if "```" not in value and "def" not in value and value.splitlines() in ([], [value]):
+            assert code == value.strip()
+
+
+@pytest.mark.parametrize(
+    "answer, plain",
+    [
+        ("```python\nx = 1\n```", "x = 1"),
+        (" ```\nx\n``` ", "x"),
+        ("```js\nx\n```", "js\nx"),
+        ("```pythonx```", "x"),
+        ("a ```\nx\n```", "a ```\nx\n```"),
+        ("```x", "```x"),
+        ("```a```b```", "a```b"),
+        ("``````", ""),
+        ("", ""),
+    ],
+)
+def test_unfence_cases(apply, answer, plain):
+    assert apply(completions.unfence, [answer]) == [plain]
+
+
+@pytest.mark.parametrize(
+    "answer, markers, code_like",
+    [
+        ("def f(): return 1", 2, True),
+        ("import os", 1, False),
+        ("class A:\n    x", 2, True),
+        ("def def def ", 1, False),
+        ("Return x", 0, False),
+        ("", 0, False),
+    ],
+)
+def test_code_like_cases(apply, answer, markers, code_like):
+    assert apply(completions.marker_count, [answer]) == [markers]
+    assert apply(completions.is_code_like, [answer]) == [code_like]
+
+
+def test_fixed_values():
+    """What results must agree on, written out; the SQL counterparts import these."""
+    assert text.END_TOKENS == ("<EOS_TOKEN>", "</s>", "<eos>", "<|endoftext|>", "<|eot_id|>")
+    assert cleaning.CODE_KEYWORDS == (
+        "def ", "import ", "class ", "return ", "print(", "for ", "if ",
+    )
+    assert completions.CODE_MARKERS == ("def ", "class ", "import ", "return ", "    ")
+    assert (cleaning.MIN_OUTPUT, cleaning.MAX_OUTPUT, cleaning.MIN_INSTRUCTION) == (50, 4000, 10)
+
+
+@pytest.mark.parametrize("keyword", ["def ", "import ", "class ", "return ", "print(", "for ", "if "])
+def test_each_keyword_alone_makes_an_output_good(apply, keyword):
+    filler = "x" * 60
+    assert apply(cleaning.has_keyword, [filler + keyword, filler + keyword[:-1]]) == [True, False]
 
 
 def test_end_markers(apply):

@@ -86,6 +86,24 @@ def test_batches(spark, n_shards):
         assert sizes[:-1] == [4] * (len(sizes) - 1) and 1 <= sizes[-1] <= 4
 
 
+def test_only_rare_tokens_move(spark, monkeypatch):
+    """No table has a row per token: frequent tokens stay with their text."""
+    written = {}
+    stage = tokens.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(tokens, "stage", counted)
+    texts = corpus()
+    vocab = tokens.fit_vocab(table(spark, texts))
+    tokens.encode(table(spark, texts), vocab).collect()
+    assert written["token-ids"] == len(texts)
+    assert sum(written.values()) < sum(len(TOKEN.findall(t)) for t in texts)
+
+
 def test_shard_count():
     assert [tokens.shard_count(n) for n in (0, 1, 10_000, 10_001)] == [1, 1, 1, 2]
 
