@@ -173,10 +173,13 @@ def fit_labels(votes: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tu
         toxic = (w1 @ votes + 0.5 * prior) / (w1.sum() + 1)
         clean = (w0 @ votes + 0.05) / (w0.sum() + 1)
         toxic, clean = np.clip(toxic, 1e-6, 1 - 1e-6), np.clip(clean, 1e-6, 1 - 1e-6)
-        # What is left of the votes once the hidden label is known.
-        rest = votes - posterior[:, None] * toxic - (1 - posterior)[:, None] * clean
-        scaled = rest * np.sqrt(weights)[:, None]
-        covariance = scaled.T @ scaled
+        # How the votes vary together among toxic and among clean texts.
+        covariance = (
+            (votes * w1[:, None]).T @ votes
+            + (votes * w0[:, None]).T @ votes
+            - w1.sum() * np.outer(toxic, toxic)
+            - w0.sum() * np.outer(clean, clean)
+        )
         deviation = np.sqrt(np.maximum(np.diag(covariance), 1e-9))
         correlation = np.abs(covariance / np.outer(deviation, deviation))
         correlation[correlation < 0.2] = 0
@@ -227,16 +230,14 @@ def _ids_and_labels(documents: DataFrame, labels: DataFrame, id_col: str) -> Dat
     ids = documents.filter(learnt).select(F.col(id_col).alias("id")).distinct()
     others = ids.join(given, "id", "left_anti").withColumn("label", F.lit(-1))
     by_hash = [F.xxhash64("id"), F.col("id")]
-    parts = []
-    for rows, most in (
-        (given.filter("label = 1"), TOXIC),
-        (given.filter("label = 0"), CLEAN),
-        (others, UNLABELLED),
-    ):
+    sample = others.orderBy(*by_hash).limit(UNLABELLED).withColumn("weight", F.lit(1.0))
+    for label, most in ((1, TOXIC), (0, CLEAN)):
+        rows = given.filter(F.col("label") == label)
         total = rows.count()
-        part = rows.orderBy(*by_hash).limit(most)
-        parts.append(part.withColumn("weight", F.lit(total / max(1, min(total, most))) if most != UNLABELLED else F.lit(1.0)))
-    return stage(parts[0].unionByName(parts[1]).unionByName(parts[2]), "sample-ids")
+        # Each label keeps the share that it has among all labels.
+        weight = F.lit(total / max(1, min(total, most)))
+        sample = sample.unionByName(rows.orderBy(*by_hash).limit(most).withColumn("weight", weight))
+    return stage(sample, "sample-ids")
 
 
 def _text_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
