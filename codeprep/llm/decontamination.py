@@ -29,12 +29,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from codeprep.llm import arrays
+from codeprep.llm import arrays, bitmaps
 from codeprep.staging import stage
 
 WINDOW = 13
 GRAM = 5
-FILTER_BITS = 24
 
 _GRAM_TYPE = pa.struct(
     [
@@ -67,15 +66,6 @@ def kept_grams(words: arrays.Words, window: int, gram: int) -> tuple[np.ndarray,
     return np.flatnonzero(chosen), hashes
 
 
-def _bit(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
-
-def _in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    at = _bit(hashes)
-    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 != 0
-
-
 def _emit(
     batches: Iterator[pa.RecordBatch],
     id_col: str,
@@ -96,7 +86,7 @@ def _emit(
         begins, sizes, hashes = [], [], []
         at, all_grams = kept_grams(words, window, gram)
         if bits is not None:
-            at = at[_in_filter(bits, all_grams[at])]
+            at = at[bitmaps.held(bits, all_grams[at])]
         begins.append(at)
         sizes.append(np.full(len(at), gram))
         hashes.append(all_grams[at])
@@ -111,7 +101,7 @@ def _emit(
                 ok &= words.counts[owners[: len(short)]] == n
             at = np.flatnonzero(ok)
             if bits is not None:
-                at = at[_in_filter(bits, short[at])]
+                at = at[bitmaps.held(bits, short[at])]
             begins.append(at)
             sizes.append(np.full(len(at), -n))
             hashes.append(short[at])
@@ -165,20 +155,6 @@ def _texts_with_grams(df, id_col, text_col, window, gram, shorter=None, bits=Non
     return df.select(id_col, text_col).mapInArrow(run, schema)
 
 
-def _filter_bits(items: DataFrame) -> np.ndarray:
-    """Bitmap of the items' hashes; at most 2^18 rows of 64 bits come to the driver."""
-    bit = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
-    rows = (
-        items.groupBy(F.shiftright(bit, 5).alias("place"))
-        .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - FILTER_BITS}) & 31 as int))")).alias("bits"))
-        .collect()
-    )
-    words = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
-    for row in rows:
-        words[row.place] = row.bits
-    return words.astype("<u4").view(np.uint8)
-
-
 def _extend(window: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pairs in batches:
@@ -237,7 +213,7 @@ def find_contamination(
     )
     # Lengths below the window: fewer than ``window`` numbers.
     shorter = [-r[0] for r in fingerprints.filter("size < 0").select("size").distinct().collect()]
-    bits = spark.sparkContext.broadcast(_filter_bits(fingerprints))
+    bits = spark.sparkContext.broadcast(bitmaps.bitmap(fingerprints, "hash"))
     texts = stage(
         _texts_with_grams(documents, id_col, text_col, window, gram, sorted(shorter), bits)
         .withColumn("row", F.monotonically_increasing_id()),
@@ -284,18 +260,9 @@ def find_contamination(
 
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """Documents without the contaminated ones; rows are told apart by id and text.
-
-    Only ids and digests of contaminated rows are joined with the documents.
-    """
-    mark = F.xxhash64(F.col(text_col))
-    marked = documents.select(
-        F.struct(F.col(id_col).alias("id"), mark.alias("mark")).alias("key"), F.col(text_col).alias("body")
-    )
-    bad = (
-        find_contamination(marked, benchmark, "key", "body")
-        .filter("contaminated")
-        .select(F.xxhash64("key.id", "key.mark").alias("_bad"))
-        .distinct()
-    )
-    return documents.join(bad, F.xxhash64(F.col(id_col), mark) == F.col("_bad"), "left_anti")
+    """Documents without the contaminated ones; rows are told apart by a hash of id and text."""
+    key = F.xxhash64(F.col(id_col), F.xxhash64(F.col(text_col)))
+    named = F.struct(key.alias("_bad"), F.col(id_col).alias("_id")).alias("key")
+    found = find_contamination(documents.select(named, F.col(text_col).alias("body")), benchmark, "key", "body")
+    bad = stage(found.filter("contaminated").select("key.*").distinct(), "contaminated")
+    return bitmaps.without(documents, key, bad, id_col)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from codeprep.llm import arrays
+from codeprep.llm import arrays, bitmaps
 from codeprep.llm.components import connected_components
 from codeprep.staging import stage
 
@@ -222,11 +222,12 @@ def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row of each group of near copies: the one with the smallest id.
 
     Of rows that repeat this id the one with the smallest text stays. Rows without an id
-    cannot be named as copies and stay. Only the ids that go are joined with the documents.
+    cannot be named as copies and stay.
     """
     places = stage(near_copies(documents, id_col, text_col), "near-copies")
-    gone = places.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    kept = documents.join(gone, id_col, "left_anti")
+    key = F.when(F.col(id_col).isNotNull(), F.xxhash64(id_col))
+    gone = places.filter(F.col(id_col) != F.col("component_id")).select(key.alias("_bad"), F.col(id_col).alias("_id"))
+    kept = bitmaps.without(documents, key, stage(gone.distinct(), "copies"), id_col)
     repeated = places.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1")
     if not repeated.isEmpty():
         place = Window.partitionBy(id_col, F.col(id_col).isNull()).orderBy(text_col)
