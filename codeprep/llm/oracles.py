@@ -29,6 +29,61 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
+# \x27 is the single quote, which would end the literal.
+ASSIGN = r"(?i:password|passwd|secret|token|api_?key)[\"\x27]?\x20*[:=]\x20*[\"\x27]?([A-Za-z0-9+/_.=-]+)"
+ACCESS, HEX, CANDIDATE = "AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}", "[A-Za-z0-9+/_=-]{20,}"
+
+OP5 = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), m AS (
+  SELECT doc_id, 0 AS kind, regexp_extract_all(text, '{ASSIGN}') AS ms, regexp_extract_all(text, '{ASSIGN}', 1) AS g,
+         string_split_regex(text, '{ASSIGN}') AS ps FROM d
+  UNION ALL SELECT doc_id, 1, regexp_extract_all(text, '{ACCESS}'), [], string_split_regex(text, '{ACCESS}') FROM d
+  UNION ALL SELECT doc_id, 2, regexp_extract_all(text, '{HEX}'), [], string_split_regex(text, '{HEX}') FROM d
+  UNION ALL SELECT doc_id, 3, regexp_extract_all(text, '{CANDIDATE}'), [], string_split_regex(text, '{CANDIDATE}') FROM d
+), p AS (
+  SELECT doc_id, kind, ms[i] AS word, g[i] AS secret,
+         CAST(list_sum(list_transform(ps[1:i], lambda x: length(x)))
+           + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS a
+  FROM m, unnest(range(1, len(ms) + 1)) AS t(i)
+), base AS (
+  SELECT doc_id, kind, a, a + length(word) AS b FROM p WHERE kind IN (1, 2) OR (kind = 0 AND length(secret) >= 6)
+), cand AS (
+  SELECT doc_id, a, word,
+         CASE WHEN regexp_full_match(word, '[0-9a-f]+') OR regexp_full_match(word, '[0-9A-F]+') THEN 3.05
+              WHEN regexp_full_match(word, '[0-9A-Za-z]+') THEN 3.72 ELSE 3.85 END AS threshold
+  FROM p WHERE kind = 3 AND regexp_matches(word, '[0-9]') AND regexp_matches(word, '[A-Za-z]')
+    AND NOT regexp_full_match(word, '[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}')
+    AND NOT regexp_full_match(word, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[0-9T_-]*')
+    AND NOT regexp_full_match(word, '[A-Za-z]*[0-9]*([+/_=-]+([A-Za-z]+|[0-9]+))*[+/_=-]*')
+    AND NOT regexp_full_match(word, '[0-9]+[A-Za-z]?|[A-Za-z]+[0-9]{{0,4}}')
+    AND len(list_distinct(string_split(word, ''))) >= 8
+), win AS (
+  SELECT doc_id, a, i, i - lag(i) OVER (PARTITION BY doc_id, a ORDER BY i) AS step
+  FROM cand, unnest(range(0, length(word) - 19)) AS t(i)
+  WHERE list_aggregate(string_split(substr(word, i + 1, 20), ''), 'entropy') > threshold
+), isles AS (
+  SELECT doc_id, a, i, count(CASE WHEN step > 20 THEN 1 END) OVER (PARTITION BY doc_id, a ORDER BY i) AS isle FROM win
+), random AS (
+  SELECT doc_id, 3 AS kind, a + min(i) AS a, a + max(i) + 20 AS b FROM isles AS s GROUP BY doc_id, s.a, isle
+), every AS (
+  SELECT *, true AS fixed FROM base
+  UNION ALL SELECT *, false FROM random AS r
+  WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.doc_id = r.doc_id AND base.a <= r.a AND r.b <= base.b)
+), named AS (
+  SELECT *, concat(['assign', 'access', 'hex', 'entropy'][kind + 1], ':', a, ':', b) AS span FROM every
+), per AS (
+  SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+         count(*) FILTER (kind = 2) AS n_hex, string_agg(span, ',' ORDER BY a, kind, b) FILTER (fixed) AS fixed,
+         string_agg(span, ',' ORDER BY a, kind, b) AS spans
+  FROM named GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(fixed, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN per USING (doc_id)
+"""
+
 OP7 = r"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
@@ -107,6 +162,7 @@ FROM e GROUP BY conv_id
 """
 
 ORACLES = {
+    "op5_secrets": OP5,
     "op6_chat_format": OP6,
     "op8_substrings": OP8,
     "op7_mixing": OP7,

@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 import re
@@ -5,6 +6,7 @@ import re
 from pyspark.sql import functions as F
 
 from codeprep.llm import credentials
+from codeprep.llm.oracles import OP5
 
 DOCS = "doc_id bigint, text string, spans string, start int"
 
@@ -70,6 +72,26 @@ def test_against_brute_force(spark):
     assert any("entropy" in spans for _, spans in got.values())
 
 
+def test_against_sql(spark, duck):
+    rng = random.Random(8)
+    letters = "ABCDEFabcdef0123456789xyzXYZ+/_=-"
+    docs = []
+    for i in range(80):
+        kinds = [letters[:22], letters, "0123456789abcdef", "0123456789ABCDEF", "AKIA" + letters[:6]]
+        parts = [
+            rng.choice(["é ", "Token='", "passwd: ", "AKIA", ",", "\n"])
+            + "".join(rng.choice(rng.choice(kinds)) for _ in range(rng.randint(3, 70)))
+            for _ in range(rng.randint(0, 4))
+        ]
+        docs.append((i, rng.choice([" ", "'", ""]).join(parts), "", 0))
+    docs += [(90, None, "", 0), (91, "", "", 0)]
+    rows = duck(OP5, documents=("doc_id BIGINT, text VARCHAR", [d[:2] for d in docs]))
+    got = scan(spark, docs)
+    assert {r["doc_id"]: r["spans"] for r in rows} == {i: spans for i, (_, spans) in got.items()}
+    digest = lambda base: hashlib.sha256(base.encode()).hexdigest()
+    assert {r["doc_id"]: r["base_sha256"] for r in rows} == {i: digest(b) for i, (b, _) in got.items()}
+
+
 def test_fixed_patterns(spark):
     texts = [
         None,

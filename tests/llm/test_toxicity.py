@@ -61,9 +61,9 @@ def test_label_model_estimates_accuracies_and_shares():
     votes = np.concatenate([votes, votes[:, 1:2]], axis=1).astype(float)  # the second voter twice
     labels = np.where(rng.random(4000) < 0.5, truth, -1)
     model, posterior = toxicity.fit_labels(votes, labels, np.ones(4000))
-    assert model.toxic[0] == pytest.approx(0.9, abs=0.1) and model.clean[0] == pytest.approx(0.01, abs=0.04)
+    assert model.toxic[0] == pytest.approx(0.9, abs=0.05) and model.clean[0] == pytest.approx(0.01, abs=0.02)
     assert model.share[1] == pytest.approx(0.5, abs=0.05) == model.share[3]
-    assert model.share[0] > 0.6 and model.share[2] > 0.9
+    assert model.share[0] > 0.9 and model.share[2] > 0.9
     assert np.mean((posterior > 0.5) == truth) > 0.97
 
 
