@@ -33,7 +33,10 @@ def new_folder(spark: SparkSession, name: str) -> str:
     run = f"{shared_folder(spark)}/codeprep-{spark.sparkContext.applicationId}"
     if run not in _REMOVED_AT_END:
         path = spark._jvm.org.apache.hadoop.fs.Path(run)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+        store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        # Only what is there already can be marked for removal.
+        store.mkdirs(path)
+        store.deleteOnExit(path)
         _REMOVED_AT_END.add(run)
     return f"{run}/{name}-{uuid.uuid4().hex}"
 
