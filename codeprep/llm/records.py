@@ -117,6 +117,9 @@ def write_records(
             out.close()
             index.close()
             for kind in ("idx", "rec"):
+                # A task that is repeated finds the same shard of its lost attempt.
+                if store.get_file_info(f"{name}.{kind}").type != fs.FileType.NotFound:
+                    store.delete_file(f"{name}.{kind}")
                 store.move(f"{attempt}.{kind}", f"{name}.{kind}")
             yield pa.RecordBatch.from_pydict(
                 {"shard": [shard], "path": [f"{folder}/shard-{shard:05d}"], "records": [count], "ids": [before]}

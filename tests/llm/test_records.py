@@ -88,6 +88,14 @@ def test_documents_round_trip(spark, tokenizer):
     assert got == expected
 
 
+def test_a_repeated_run_replaces_its_shards(spark, tokenizer):
+    docs = spark.createDataFrame([(i, f"text {i}", "p", 1) for i in range(20)], DOCS)
+    folder = new_folder(spark, "records")
+    for _ in range(2):
+        shards = stage(records.write_records(docs, folder, PATH, partitions=3), "shards")
+    assert records.written_documents(shards).count() == 20
+
+
 def test_empty_table(spark):
     shards = stage(
         records.write_records(spark.createDataFrame([], DOCS), new_folder(spark, "records"), PATH), "shards"
