@@ -36,6 +36,8 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "entropy")
 
+RUN = 256
+
 WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 # Class, its alphabet, bits per character above which a window is random.
@@ -60,23 +62,56 @@ def _none() -> Column:
 
 
 def _places(text: Column, pattern: str) -> Column:
-    """Array of (start, match) of all matches of ``pattern``; only for texts that have one."""
+    """Array of (start, word) of all matches of ``pattern``; only for texts that have one.
+
+    Starts are running sums, first inside runs of ``RUN`` matches, then over the runs, so that
+    no long array is copied for each match.
+    """
     matches = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
     pieces = F.split(text, pattern, -1)
-    step = F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(p.alias("p"), m.alias("m")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,word:string>>").alias("found"))
-    return F.aggregate(
-        step,
-        start,
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["p"]) + F.length(x["m"])).alias("at"),
-            F.concat(
-                acc["found"],
-                F.array(F.struct((acc["at"] + F.length(x["p"])).alias("start"), x["m"].alias("word"))),
-            ).alias("found"),
-        ),
-        lambda acc: acc["found"],
+    steps = F.zip_with(
+        F.slice(pieces, 1, F.size(matches)),
+        matches,
+        lambda p, m: F.struct(F.length(p).alias("gap"), m.alias("word")),
     )
+    none = F.array().cast("array<struct<start:int,word:string>>")
+
+    def sums(steps_of, begin):
+        return F.aggregate(
+            F.slice(steps_of, begin + 1, RUN),
+            F.struct(F.lit(0).alias("at"), none.alias("found")),
+            lambda acc, x: F.struct(
+                (acc["at"] + x["gap"] + F.length(x["word"])).alias("at"),
+                F.concat(
+                    acc["found"],
+                    F.array(F.struct((acc["at"] + x["gap"]).alias("start"), x["word"].alias("word"))),
+                ).alias("found"),
+            ),
+        )
+
+    def after(acc, one):
+        moved = F.transform(
+            one["found"],
+            lambda x: F.struct((acc["at"] + x["start"]).alias("start"), x["word"].alias("word")),
+        )
+        return F.struct(
+            (acc["at"] + one["at"]).alias("at"),
+            F.concat(acc["found"], F.array(moved)).alias("found"),
+        )
+
+    nothing = F.array().cast("array<array<struct<start:int,word:string>>>")
+
+    def all_runs(bound):
+        begins = F.sequence(F.lit(0), F.size(bound) - 1, F.lit(RUN))
+        return F.aggregate(
+            F.transform(begins, lambda begin: sums(bound, begin)),
+            F.struct(F.lit(0).alias("at"), nothing.alias("found")),
+            after,
+            lambda acc: F.flatten(acc["found"]),
+        )
+
+    # The one-element array names the steps, so that they are computed once.
+    return F.get(F.transform(F.array(steps), all_runs), F.lit(0))
 
 
 def _spans(text: Column, pattern: str, kind: str, keep=None) -> Column:

@@ -109,6 +109,14 @@ def test_fixed_patterns(spark):
     assert got[7] == ("", "")
 
 
+def test_many_matches_in_one_text(spark):
+    rng = random.Random(6)
+    text = "".join(f"é{i} token=abc{i:06d} {'%032x' % rng.getrandbits(128)}, " for i in range(4000))
+    got = scan(spark, [(1, text, "", 0)])
+    assert got[1] == brute(text)
+    assert got[1][0].count("assign") == 4000
+
+
 def test_empty_table(spark):
     assert scan(spark, [(1, "x", "", 0)][:0]) == {}
 
