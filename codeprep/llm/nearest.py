@@ -14,10 +14,10 @@ vectors have equal scores.
 
 A list of any size is dealt out in blocks of about ``BLOCK`` vectors, and the queries that probe
 it in chunks of ``QUERIES``; a task holds one block and one chunk and keeps ``k`` candidates per
-query. What is sent to all tasks is bounded: the sample of at most ``SAMPLE`` vectors, its centres
+query. What is sent to all tasks is bounded: the sample of at most ``SAMPLE`` ids, a vector each, its centres
 and the rotation. How many lists are probed is fitted on the sample: enough that ``RECALL`` of its
 vectors' neighbours within the sample, which lie farther than those among all, are in them, and
-always enough to hold ``4 * k`` vectors.
+always enough to hold ``4 * k`` ids.
 
 Vectors that are null, empty, zero, or hold a null or a non-finite number take no part, nor do
 rows without an id. Vectors compare with those of the most frequent length; others take no
@@ -135,17 +135,26 @@ class Index:
         return np.partition(distance, self.k - 1, axis=1)[:, self.k - 1]
 
     def probed(self, point: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Nearest lists, at least ``probes`` and enough for ``4 * k`` vectors."""
+        """Nearest lists, at least ``probes`` and enough for ``4 * k`` ids."""
         order = np.argsort(-(self.centres @ point), kind="stable")
         enough = int(np.searchsorted(np.cumsum(sizes[order]), 4 * self.k + 1)) + 1
         return order[: max(self.probes, enough)]
 
 
 def fit(rows: DataFrame, k: int) -> Index | None:
-    """Index over the ``SAMPLE`` rows of smallest id hash; they alone come to the driver."""
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "vector").limit(SAMPLE).collect()
+    """Index over the ``SAMPLE`` ids of smallest hash, each with the smallest of its vectors.
+
+    They alone come to the driver. As no id is there twice, the k-th smallest distance to them
+    is never below that of the k-th nearest id.
+    """
+    ids = rows.select("vec_id").distinct().orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE)
+    sample = (
+        rows.join(F.broadcast(ids), "vec_id").groupBy("vec_id").agg(F.min("vector").alias("vector"))
+        .withColumn("hash", F.xxhash64("vec_id")).collect()
+    )
     if not sample:
         return None
+    sample.sort(key=lambda r: (r.hash, r.vec_id))
     return Index(
         np.array([r.vec_id for r in sample], np.int64),
         np.array([r.vector for r in sample], np.float64),
@@ -286,20 +295,23 @@ def nearest(
     if fitted is None:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     index = spark.sparkContext.broadcast(fitted)
+    # A row that is there several times is one candidate, whatever the number.
     listed = stage(
-        rows.mapInArrow(_to_lists(index), "vec_id bigint, vector array<double>, list int"), "listed"
+        rows.distinct().mapInArrow(_to_lists(index), "vec_id bigint, vector array<double>, list int"),
+        "listed",
     )
-    # One number per list, at most MOST_LISTS.
-    sizes = np.zeros(len(fitted.centres), np.int64)
-    for row in listed.groupBy("list").count().collect():
-        sizes[row["list"]] = row["count"]
+    # Two numbers per list, at most MOST_LISTS.
+    sizes, members = np.zeros(len(fitted.centres), np.int64), np.zeros(len(fitted.centres), np.int64)
+    per_id = listed.groupBy("list", "vec_id").count()
+    for row in per_id.groupBy("list").agg(F.sum("count").alias("rows"), F.count("*").alias("ids")).collect():
+        sizes[row["list"]], members[row["list"]] = row["rows"], row["ids"]
     queries = listed.filter(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector"))
     queries = stage(queries, "queries")
     chunks = max(1, -(-queries.count() // QUERIES))
     blocks = F.array(*[F.lit(int(max(1, -(-n // BLOCK)))) for n in sizes])
     probes = (
         queries.mapInArrow(
-            _to_probes(index, sizes), "query_id bigint, vector array<double>, list int"
+            _to_probes(index, members), "query_id bigint, vector array<double>, list int"
         )
         .withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("list")) - 1)))

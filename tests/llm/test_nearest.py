@@ -75,6 +75,29 @@ def test_blocks_and_chunks_change_nothing(spark, monkeypatch):
     assert got == expected
 
 
+@pytest.mark.parametrize("sample", [4096, 40])
+def test_repeated_rows_change_nothing(spark, monkeypatch, sample):
+    rng = np.random.default_rng(4)
+    vectors = rng.normal(size=(200, 20))
+    ids = list(range(200))
+    times = [5] * 199 + [300]
+    monkeypatch.setattr(nearest, "SAMPLE", sample)
+    df = table(spark, np.repeat(ids, times).tolist(), np.repeat(vectors, times, axis=0)).repartition(4)
+    got = found(nearest.nearest(df, F.col("vec_id") % 10 == 0).collect())
+    assert got == brute(ids, vectors, lambda i: i % 10 == 0, 5)
+
+
+def test_an_id_with_many_vectors_leaves_room_for_others(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(60, 8))
+    vectors[1:31] = vectors[0] + 1e-3 * rng.normal(size=(30, 8))
+    ids = [0] + [1] * 30 + list(range(2, 31))
+    got = found(nearest.nearest(table(spark, ids, vectors), F.col("vec_id") == 0).collect())
+    units = vectors / np.sqrt((vectors**2).sum(axis=1, keepdims=True))
+    best = sorted(range(2, 31), key=lambda i: -(units[ids.index(i)] @ units[0]))
+    assert got == {0: [1, *best[:4]]}
+
+
 def test_recall_on_the_given_table(spark):
     folder = "/root/testdata/sf0.1"
     rows = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
