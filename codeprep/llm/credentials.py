@@ -14,6 +14,11 @@ addresses, plain words joined by signs, few different characters) are not report
 are spans inside a span of a fixed pattern. These spans are of kind ``entropy``, the fixed
 patterns' spans stay whatever the method says.
 
+A secret glued to a name, a path or ``0x`` shares its candidate with them and often fits no
+class. With ``glued`` the longest runs of each class's alphabet inside a candidate, if they are
+candidates themselves, are scanned with that class's threshold as well; touching spans of a
+candidate are one. Nothing found without it is lost. Off, the spans are those of the SQL.
+
 Null and empty texts have no spans. Rows stay as they are, repeated or not, with a null id or
 not; further columns are kept by ``with_secrets``. Lists only grow with the matches in a text.
 """
@@ -203,6 +208,44 @@ def _entropy_spans(candidate: Column) -> Column:
     )
 
 
+def _glued_spans(candidate: Column) -> Column:
+    """Spans of kind entropy in one candidate (start, word), over the runs of every class in it."""
+    none = F.array().cast("array<struct<start:int,stop:int>>")
+
+    def of_class(alphabet, threshold):
+        word, pattern = candidate["word"], f"[{alphabet}]{{{WINDOW},}}"
+        places = F.when(word.rlike(pattern), _places(word, pattern))
+        runs = F.filter(
+            F.coalesce(places, F.array().cast("array<struct<start:int,word:string>>")),
+            lambda x: _is_candidate(x["word"]),
+        )
+
+        def in_run(run):
+            return F.transform(
+                _random_stretches(run["word"], alphabet, threshold),
+                lambda s: F.struct(
+                    (candidate["start"] + run["start"] + s["start"]).alias("start"),
+                    (candidate["start"] + run["start"] + s["stop"]).alias("stop"),
+                ),
+            )
+
+        return F.flatten(F.transform(runs, in_run))
+
+    found = [of_class(alphabet, threshold) for _, alphabet, threshold in CLASSES]
+
+    def merge(acc, s):
+        last = F.try_element_at(acc, F.lit(-1))
+        both = F.struct(last["start"].alias("start"), F.greatest(last["stop"], s["stop"]).alias("stop"))
+        return F.when(
+            last["stop"] >= s["start"], F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(both))
+        ).otherwise(F.concat(acc, F.array(s)))
+
+    return F.transform(
+        F.aggregate(F.array_sort(F.concat(*found)), none, merge),
+        lambda s: F.struct(s["start"], s["stop"], F.lit(KINDS.index("entropy")).alias("kind")),
+    )
+
+
 def _is_candidate(word: Column) -> Column:
     allowed = F.lit(False)
     for pattern in ALLOWED:
@@ -211,10 +254,10 @@ def _is_candidate(word: Column) -> Column:
     return word.rlike("[0-9]") & word.rlike("[A-Za-z]") & ~allowed & ~few
 
 
-def with_secrets(documents: DataFrame, text_col: str = "text", base: str = "base_spans", spans: str = "spans") -> DataFrame:
+def with_secrets(documents: DataFrame, text_col: str = "text", base: str = "base_spans", spans: str = "spans", glued: bool = False) -> DataFrame:
     """Adds the spans of the fixed patterns and all spans, as sorted arrays of (start, stop, kind).
 
-    Kinds are numbers, places in ``KINDS``.
+    Kinds are numbers, places in ``KINDS``. ``glued`` finds secrets inside longer candidates too.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     long_enough = lambda word: F.length(F.regexp_extract(word, ASSIGN, 2)) >= ASSIGN_LENGTH
@@ -231,7 +274,7 @@ def with_secrets(documents: DataFrame, text_col: str = "text", base: str = "base
         F.filter(_places(text, CANDIDATE), lambda x: _is_candidate(x["word"])),
     ).otherwise(F.array().cast("array<struct<start:int,word:string>>"))
     found = documents.withColumn(base, fixed).withColumn("_candidates", candidates)
-    random = F.flatten(F.transform("_candidates", _entropy_spans))
+    random = F.flatten(F.transform("_candidates", _glued_spans if glued else _entropy_spans))
     new = F.filter(
         random,
         lambda r: ~F.exists(base, lambda b: (b["start"] <= r["start"]) & (r["stop"] <= b["stop"])),

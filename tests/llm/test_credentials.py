@@ -117,6 +117,44 @@ def test_many_matches_in_one_text(spark):
     assert got[1][0].count("assign") == 4000
 
 
+def test_secrets_glued_to_names_and_paths(spark):
+    key = "9F86D081884C7D659A2FEAA0C55AD015"
+    texts = {
+        f"sig={key}": "entropy:4:36",
+        f"a X-Auth={key} b": "entropy:2:41",  # X-Auth=9F86D081884C7 is random as base64: 3.92 bits
+        f"/{key}": "entropy:1:33",
+        f"é 0x{key}.": "entropy:4:36",
+        key: "entropy:0:32",
+        f"{key}/{key}=": "entropy:0:32,entropy:33:65",
+        "x_9f86d081884c7d659a2f": "entropy:2:22",
+        "name_of_a_variable/and_a_path_2024": "",
+        "id=123e4567-e89b-12d3": "",
+        "12345678901234567890/abcdefghijklmnopqrst": "",
+    }
+    docs = spark.createDataFrame([(i, t, "", 0) for i, t in enumerate(texts)], DOCS).drop("spans")
+    found = credentials.with_secrets(docs, glued=True)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    rows = found.select("text", credentials.listed(F.col("spans"))).collect()
+    assert {r[0]: r[1] for r in rows} == texts
+
+
+def test_glued_loses_nothing(spark):
+    rng = random.Random(9)
+    letters = "ABCDEFabcdef0123456789xyzXYZ+/_=-"
+    kinds = [letters, letters[:28], "0123456789ABCDEF", "0123456789abcdef"]
+    docs = [
+        (i, "".join("".join(rng.choices(rng.choice(kinds), k=rng.randint(1, 50))) for _ in range(4)), "", 0)
+        for i in range(60)
+    ]
+    found = credentials.with_secrets(spark.createDataFrame(docs, DOCS).drop("spans"), glued=True)
+    got = {r.doc_id: r.spans for r in found.select("doc_id", "spans").collect()}
+    for i, text, _, _ in docs:
+        for span in filter(None, brute(text)[1].split(",")):
+            _, a, b = span.split(":")
+            assert any(s.start <= int(a) and int(b) <= s.stop for s in got[i])
+
+
 def test_empty_table(spark):
     assert scan(spark, [(1, "x", "", 0)][:0]) == {}
 
