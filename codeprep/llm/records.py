@@ -14,13 +14,15 @@ Numbers are little-endian. A checksum is CRC-32, rotated right by 15 bits plus 0
 that checksums of data that hold checksums stay sound. The index is enough to read records in
 any order, or to know how many ids lie before one, without reading the shards.
 
-Texts are range-partitioned by document id and sorted in their task, then encoded and written
+Texts are range-partitioned by document id and, for rows of one id or of none, by the first
+``PREFIX`` characters of the text, then sorted in their task by id and text, encoded and written
 batch by batch through the file system that the folder's address names. A shard is written under
 a name of its attempt and renamed at its end, so a lost or repeated task leaves no half shard.
 
 Null and empty texts have only the end id. Documents without an id come last. Rows that share
-an id follow each other by text; rows that repeat wholly are all written. An empty table gives
-no shards and an empty result. Further columns are not looked at.
+an id follow each other by text, over as many shards as they need; rows that repeat wholly are all
+written. Rows of one id whose texts begin alike up to ``PREFIX`` are in one shard. An empty table
+gives no shards and an empty result. Further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ from pyspark.sql import functions as F
 from codeprep.llm.encoding import Encoder
 
 END_ID = 2
+PREFIX = 128
 INDEX_ROW = np.dtype([("offset", "<u8"), ("before", "<u8"), ("id", "<i8"), ("has_id", "u1")])
 _HEAD = "<QI"
 _BODY = "<BBqQ"
@@ -90,10 +93,9 @@ def write_records(
     """Encodes and writes all documents; ``(shard, path, records, ids)`` per shard when run."""
     order = [F.col(id_col).asc_nulls_last(), F.col(text_col)]
     texts = documents.select(F.col(id_col).cast("bigint").alias(id_col), text_col)
-    if partitions:
-        dealt = texts.repartitionByRange(partitions, F.col(id_col).asc_nulls_last())
-    else:
-        dealt = texts.repartitionByRange(F.col(id_col).asc_nulls_last())
+    # Beginnings are ordered as the texts are, and few of them are sampled to the driver.
+    ranges = [F.col(id_col).asc_nulls_last(), F.substring(text_col, 1, PREFIX)]
+    dealt = texts.repartitionByRange(*([partitions] if partitions else []), *ranges)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, store, out = TaskContext.get().partitionId(), None, None

@@ -96,6 +96,26 @@ def test_a_repeated_run_replaces_its_shards(spark, tokenizer):
     assert records.written_documents(shards).count() == 20
 
 
+def test_rows_of_one_id_are_dealt_to_many_shards(spark, tokenizer):
+    rng = random.Random(7)
+    words = lambda: " ".join(rng.choice(["the", "é", "😀", "x\n", "Of"]) for _ in range(rng.randint(1, 30)))
+    docs = [(i, None if i is None else 7, words()) for i in [None, 1] for _ in range(600)]
+    docs = [(doc_id, text, "p", 1) for _, doc_id, text in docs] + [(1, "first", "p", 1)]
+    rng.shuffle(docs)
+    folder = new_folder(spark, "records")
+    df = spark.createDataFrame(docs, DOCS).repartition(4)
+    shards = stage(records.write_records(df, folder, PATH, partitions=8), "shards")
+    sizes = [r.records for r in shards.collect()]
+    assert sum(sizes) == 1201 and len(sizes) == 8 and max(sizes) < 300
+    got = sorted((r.asDict() for r in records.written_documents(shards).collect()), key=lambda r: r["start"])
+    order = sorted(((d[0], d[1]) for d in docs), key=lambda d: (d[0] is None, d[0] or 0, d[1].encode()))
+    start = 0
+    for row, (doc_id, text) in zip(got, order, strict=True):
+        ids = np.array(ids_of(tokenizer, text), "<u4")
+        assert row == {"doc_id": doc_id, "start": start, "n_tokens": len(ids), "ids_crc32": zlib.crc32(ids.tobytes())}
+        start += len(ids)
+
+
 def test_empty_table(spark):
     shards = stage(
         records.write_records(spark.createDataFrame([], DOCS), new_folder(spark, "records"), PATH), "shards"
