@@ -218,21 +218,38 @@ def near_copies(
     )
 
 
-def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(
+    documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", without_ids: bool = False
+) -> DataFrame:
     """One row of each group of near copies: the one with the smallest id.
 
-    Of rows that repeat this id the one with the smallest text stays. Rows without an id
-    cannot be named as copies and stay.
+    Of rows that repeat this id the one with the smallest text stays. Rows without an id stay,
+    unless ``without_ids``: then they are named by a hash of their text and are copies like any
+    other. A group with an id keeps none of them, any other keeps the one of smallest hash, of
+    equal texts the smallest row (columns must have an order).
     """
-    places = stage(near_copies(documents, id_col, text_col), "near-copies")
+    none, by_text = F.col(id_col).isNull(), F.xxhash64(text_col)
+    # Rows with an id are smaller.
+    name = F.struct(none.alias("none"), F.col(id_col).alias("id"), F.when(none, by_text).alias("hash"))
+    named = documents.select(name.alias("name"), F.col(text_col).alias("body"))
+    places = stage(near_copies(named, "name", "body"), "near-copies")
     key = F.when(F.col(id_col).isNotNull(), F.xxhash64(id_col))
-    gone = places.filter(F.col(id_col) != F.col("component_id")).select(key.alias("_bad"), F.col(id_col).alias("_id"))
-    kept = bitmaps.without(documents, key, stage(gone.distinct(), "copies"), id_col)
-    repeated = places.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1")
+    gone = places.filter(F.col("name.id") != F.col("component_id.id")).select(
+        F.xxhash64("name.id").alias("_bad"), F.col("name.id").alias("_id")
+    )
+    kept = bitmaps.without(documents.filter(~none), key, stage(gone.distinct(), "copies"), id_col)
+    repeated = places.filter("NOT name.none").groupBy("name.id").count().filter("count > 1")
     if not repeated.isEmpty():
-        place = Window.partitionBy(id_col, F.col(id_col).isNull()).orderBy(text_col)
-        kept = (
-            kept.withColumn("_place", F.row_number().over(place))
-            .filter((F.col("_place") == 1) | F.col(id_col).isNull())
+        place = Window.partitionBy(id_col).orderBy(text_col)
+        kept = kept.withColumn("_place", F.row_number().over(place)).filter("_place = 1")
+    kept = kept.select(*documents.columns)
+    # Rows without an id go round the window: they would all be in one partition of it.
+    others = documents.filter(none)
+    if without_ids and not places.filter("name.none").isEmpty():
+        copies = places.filter("name.none AND NOT name <=> component_id").select(F.col("name.hash").alias("_hash"))
+        others = (
+            others.groupBy(by_text.alias("_hash")).agg(F.min(F.struct(*documents.columns)).alias("_row"))
+            .join(copies.distinct(), "_hash", "left_anti")
+            .select("_row.*")
         )
-    return kept.select(*documents.columns)
+    return kept.unionByName(others)

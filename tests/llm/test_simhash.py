@@ -102,3 +102,20 @@ def test_one_of_each_group_stays(spark):
     assert simhash.keep_one(docs.limit(0)).count() == 0
     only_null = simhash.near_copies(docs.filter(F.col("doc_id").isNull())).first()
     assert only_null.component_id is None
+
+
+def test_copies_without_ids_go_too(spark):
+    named, bare = "one two three four", "five six seven eight nine"
+    rows = [(3, named, "a", 0), (4, "quite other words", "b", 1), (4, "quite other words", "b", 0)]
+    rows += [(None, named, "c", i) for i in range(40)] + [(None, bare, "d", i) for i in range(40)]
+    rows += [(None, bare + " ", "e", 0), (None, "alone here", "f", 0), (None, None, "g", 0), (None, "", "h", 0)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(4)
+    kept = simhash.keep_one(docs, without_ids=True)
+    assert kept.columns == docs.columns
+    got = [tuple(r) for r in kept.collect()]
+    assert set(got) <= set(rows) and len(got) == 5
+    assert sorted((r[0] or 0, (r[1] or "").strip()) for r in got) == [
+        (0, ""), (0, "alone here"), (0, bare), (3, named), (4, "quite other words"),
+    ]
+    assert [r[3] for r in got if r[1] == bare] in ([0], [])
+    assert simhash.keep_one(docs).filter("doc_id IS NULL").count() == 84
