@@ -8,7 +8,8 @@ Search: a query probes the lists of its nearest centres. Dimensions are read in
 columns. After each block the distance so far, scaled to all dimensions, is tested against the
 query's bound: a candidate is abandoned if its distance would be above the bound even after the
 allowance ``1 + EPSILON / sqrt(dimensions read)`` for the estimate's error. The bound is the
-k-th smallest distance among the sample and the candidates already read. Candidates that survive
+k-th smallest distance among the sampled ids, and is not lowered while a list is read, which costs
+time and loses no neighbour. Candidates that survive
 are scored on the original vectors in double precision, each pair by the same sums, so equal
 vectors have equal scores.
 
