@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeprep.llm import chatformat, credentials, decontamination, langid, mixing, nearest, records, simhash, substrings, toxicity
+from codeprep.llm import chatformat, credentials, decontamination, langid, mixing, nearest, periodic, records, simhash, substrings, toxicity
 from codeprep.workers import reachable
 from codeprep.staging import new_folder, stage
 
@@ -96,6 +96,20 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_language(_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of documents, of which a tenth repeat a stretch of their own words."""
+    documents = periodic.with_cycles(_table(spark, sf_dir, "documents"))
+    found = periodic.with_runs(documents).withColumn("best", periodic.longest(F.col("runs")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        *[F.col(f"best.{name}").alias(name) for name in ("start", "length", "period")],
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(periodic.listed(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_nearest": op2_nearest,
@@ -107,4 +121,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substrings": op8_substrings,
     "op9_records": op9_records,
     "op10_langid": op10_langid,
+    "op11_periodic_runs": op11_periodic_runs,
 }
