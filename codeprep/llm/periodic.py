@@ -148,14 +148,20 @@ def _scan_lags(numbers: np.ndarray, least: int) -> np.ndarray:
             places = np.arange(0, len(name) - lag_low, block)
             other = places[:, None] + lags
             ok = other < len(name)
-            p, q = np.nonzero(ok & (name[places][:, None] == name[np.where(ok, other, 0)]))
+            same = ok & (name[places][:, None] == name[np.where(ok, other, 0)])
+            # Blocks that follow each other in one match lead to one stretch.
+            p, q = np.nonzero(same & ~np.concatenate([np.zeros_like(same[:1]), same[:-1]]))
             at, lag = places[p], lags[q]
             known = (at + lag + block <= last[at]) & (lag % period[at] == 0)
             at, lag = at[~known], lag[~known]
+            if not len(at):
+                continue
             start, stop = _extend(names, at, lag)
             enough = stop + lag - start >= np.maximum(least, TIMES * lag)
             new.append(np.stack([start, stop + lag, lag], axis=1)[enough])
-        rows = np.unique(np.concatenate([found[:0], *new]), axis=0)
+        if not new:
+            continue
+        rows = np.unique(np.concatenate(new), axis=0)
         found = np.concatenate([found, rows])
         # Of the same bounds the smallest period comes last.
         for start, stop, lag in rows[np.lexsort((-rows[:, 2], rows[:, 1] - rows[:, 0]))].tolist():
