@@ -161,7 +161,73 @@ SELECT conv_id, count(*) AS n_turns,
 FROM e GROUP BY conv_id
 """
 
+
+OP12 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(4, len(w)) - 1], ' ') AS g
+  FROM d, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS t(i) WHERE len(w) > 0
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), c AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s AS x JOIN s AS y USING (g)
+  WHERE x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id
+), l AS (
+  SELECT a, b FROM c JOIN n AS x ON a = x.doc_id JOIN n AS y ON b = y.doc_id
+  WHERE 100 * common >= 80 * (x.n + y.n - common)
+), r AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a
+), m AS (
+  SELECT a AS doc_id, min(b) AS component_id FROM r GROUP BY a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM m LEFT JOIN n USING (doc_id)
+"""
+
+
+def _assigned(n: int) -> str:
+    """Parts with their nearest entry of the codebooks b<n>, and the codebooks refined by them."""
+    return f"""a{n} AS (
+  SELECT vec_id, p, any_value(c) AS c, min((apart, e)) AS found FROM (
+    SELECT p.vec_id, p.p, p.c, b.e, CAST(list_sum(list_transform(range(1, len(p.c) + 1),
+      lambda i: (p.c[i] - b.c[i]) * (p.c[i] - b.c[i]))) AS BIGINT) AS apart
+    FROM p JOIN b{n} AS b USING (p)
+  ) GROUP BY vec_id, p
+), m{n} AS (
+  SELECT p, e, list(mean ORDER BY i) AS mean FROM (
+    SELECT p, found[2] AS e, i, CAST(floor(sum(c[i]) / count(*)) AS BIGINT) AS mean
+    FROM a{n}, unnest(range(1, len(c) + 1)) AS t(i) GROUP BY p, e, i
+  ) GROUP BY p, e
+), b{n + 1} AS (
+  SELECT p, e, coalesce(mean, c) AS c FROM b{n} LEFT JOIN m{n} USING (p, e)
+)"""
+
+
+OP13 = f"""
+WITH k AS (
+  SELECT vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS (
+  SELECT vec_id, t.p, v[t.p * (len(v) // 16) + 1 : (t.p + 1) * (len(v) // 16)] AS c
+  FROM k, unnest(range(16)) AS t(p)
+), b0 AS (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, c FROM p QUALIFY e < 64
+), {_assigned(0)}, {_assigned(1)}, {_assigned(2)}, s AS (
+  SELECT sha256(string_agg(list_aggregate(c, 'string_agg', ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b2
+), coded AS (
+  SELECT vec_id, string_agg(lower(printf('%02x', found[2])), '' ORDER BY p) AS code,
+         CAST(sum(found[1]) AS BIGINT) AS error FROM a2 GROUP BY vec_id
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN k USING (vec_id), s
+"""
+
 ORACLES = {
+    "op12_minhash": OP12,
+    "op13_vector_codes": OP13,
     "op5_secrets": OP5,
     "op6_chat_format": OP6,
     "op8_substrings": OP8,

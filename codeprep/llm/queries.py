@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from codeprep.llm import chatformat, credentials, decontamination, langid, mixing, nearest, periodic, records, simhash, substrings, toxicity
+from codeprep.llm import chatformat, codes, credentials, decontamination, langid, minhash, mixing, nearest, periodic, records, simhash, substrings, toxicity
 from codeprep.workers import reachable
 from codeprep.staging import new_folder, stage
 
@@ -110,6 +110,14 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_copies(_table(spark, sf_dir, "documents"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.compress(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": op1_decontamination,
     "op2_nearest": op2_nearest,
@@ -122,4 +130,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_records": op9_records,
     "op10_langid": op10_langid,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_minhash": op12_minhash,
+    "op13_vector_codes": op13_vector_codes,
 }
