@@ -11,9 +11,10 @@ Equal sets are one. Of a band shared by several sets, the bucket, each is first
 one of them, its pivot: as many pairs as members, whatever the bucket's size. Only
 buckets that these links leave in several components are looked at again, across components:
 all pairs if a bucket has at most ``BUCKET`` members; in larger ones those that the pivot P does
-not rule out. Let d be the number of elements in which a set differs from P, and u those of
-them that no other set of a large bucket has. Two sets share at most min(d - u, d' - u') of
-their differences, so at least d + u' - (d' - u') remain, which most pairs cannot afford.
+not rule out. A set differs from P in u elements that no other set of a large bucket has, and in
+v others, which a map of 256 bits shows. Two sets share no more of their differences than the
+smaller v, nor than the bits that both maps have; all others set them apart, which most pairs
+cannot afford.
 
 A pair is ruled out before its sets are fetched if their sizes are too far apart, or counts of
 their elements by 7 bits of hash are; both are bounds and lose nothing. All others are
@@ -243,55 +244,79 @@ class _Sets:
             "compared",
         )
 
-    def affordable(self, crowded: DataFrame, compared: DataFrame) -> DataFrame:
-        """Pairs (a, b) of members (key, pivot, node, root) of large buckets, of different roots,
-        that their differences from the pivot do not rule out.
+    def affordable(self, crowded: DataFrame) -> DataFrame:
+        """Pairs (a, b) of members (pivot, node, root) of large buckets, of different roots, that
+        their differences from the pivot do not rule out.
         """
-        nodes = crowded.select("node").distinct()
         # All of them were compared with a pivot.
-        elements = self.full.join(nodes, "node").select("node", F.size("elements").cast("bigint").alias("n"), "elements")
-        elements = stage(elements, "crowded")
+        elements = stage(self.full.join(crowded.select("node").distinct(), "node"), "crowded")
         own = (
             elements.select("node", F.explode("elements").alias("element"))
             .groupBy("element").agg(F.count("*").alias("holders"), F.min("node").alias("node"))
-            .filter("holders = 1").groupBy("node").agg(F.count("*").alias("u"))
+            .filter("holders = 1").groupBy("node").agg(F.collect_list("element").alias("own"))
         )
-        sized = stage(elements.select("node", "n").join(own, "node", "left").fillna(0, ["u"]), "own-elements")
-        with_pivot = compared.select("a", "b", "common")
-        both = with_pivot.unionAll(with_pivot.select(F.col("b").alias("a"), F.col("a").alias("b"), "common"))
-        of_pivot = sized.select(F.col("node").alias("pivot"), (F.col("n") - F.col("u")).alias("n_pivot"))
+        none = F.array().cast("array<bigint>")
+        sized = stage(
+            elements.join(own, "node", "left").withColumn("own", F.coalesce("own", none))
+            .select(
+                "node", F.size("elements").alias("n"), F.size("own").alias("u"),
+                F.array_except("elements", "own").alias("shared"),
+            ),
+            "shared-elements",
+        )
+        of_pivot = sized.select(F.col("node").alias("pivot"), F.col("shared").alias("of_pivot"))
+        apart = F.concat(F.array_except("shared", "of_pivot"), F.array_except("of_pivot", "shared"))
         placed = (
-            crowded.join(sized, "node").join(of_pivot, "pivot")
-            .join(both.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "common"), ["pivot", "node"], "left")
+            crowded.distinct().join(sized, "node").join(of_pivot, "pivot")
+            .select("pivot", "node", "root", "n", "u", apart.alias("apart"))
+            .withColumn("v", F.size("apart"))
         )
-        # The pivot itself shares all but its own elements.
-        common = F.when(F.col("pivot") == F.col("node"), F.col("n_pivot")).otherwise(F.col("common"))
-        gain, cost = F.lit(100 - self.percent), F.lit(100 + self.percent)
-        apart = F.col("n") + F.col("n_pivot") - 2 * common
-        bounds = placed.withColumn("d", apart).select(
-            "key", "node", "root",
-            (gain * F.col("n") - cost * F.col("d")).alias("low"),
-            (gain * F.col("n") + cost * (F.col("d") - 2 * F.col("u"))).alias("high"),
+
+        def bits(word: int) -> Column:
+            """Bits that the differences set in one of the words of a map of 256 bits."""
+
+            def add(acc, e):
+                place = F.shiftright(e, 56).bitwiseAND(F.lit(63)).cast("int")
+                bit = F.call_function("shiftleft", zero + 1, place)
+                return acc.bitwiseOR(F.when(F.shiftrightunsigned(e, 62) == word, bit).otherwise(zero))
+
+            return F.aggregate("apart", zero, add)
+
+        zero = F.lit(0).cast("bigint")
+        maps = [f"m{word}" for word in range(4)]
+        used = sum(F.bit_count(F.col(m)) for m in maps)
+        gain, cost = F.lit(100 - self.percent).cast("bigint"), F.lit(100 + self.percent).cast("bigint")
+        low = gain * F.col("n") - cost * (F.col("v") + F.col("u"))
+        bounds = stage(
+            placed.withColumns({m: bits(word) for word, m in enumerate(maps)})
+            .withColumn("low", low).withColumn("high", F.col("low") + 2 * cost * F.col("v"))
+            .withColumn("more", F.col("v") - used)
+            .drop("apart", "n", "u"),
+            "bounds",
         )
-        bounds = stage(bounds, "bounds")
         # Most members of a bucket are in one component; every pair has an end outside of it.
-        main = bounds.groupBy("key", "root").count().groupBy("key").agg(
+        main = bounds.groupBy("pivot", "root").count().groupBy("pivot").agg(
             F.max(F.struct("count", "root"))["root"].alias("main")
         )
-        told = stage(bounds.join(main, "key").withColumn("out", F.col("root") != F.col("main")).drop("main"), "told")
-        most = told.groupBy("key").agg(
+        told = stage(bounds.join(main, "pivot").withColumn("out", F.col("root") != F.col("main")).drop("main"), "told")
+        most = told.groupBy("pivot").agg(
             F.max("low").alias("low_all"),
             F.max("high").alias("high_all"),
             F.max(F.when(F.col("out"), F.col("low"))).alias("low_out"),
             F.max(F.when(F.col("out"), F.col("high"))).alias("high_out"),
         )
-        joined = told.join(most, "key")
-        out = joined.filter("out AND low + high_all >= 0 AND high + low_all >= 0").select(
-            "key", *[F.col(c).alias(f"{c}_x") for c in ("node", "root", "low", "high")]
-        )
-        any_ = joined.filter("low + high_out >= 0 AND high + low_out >= 0").select("key", "node", "root", "low", "high", "out")
-        met = out.join(any_, "key").filter(
-            "root != root_x AND low + high_x >= 0 AND high + low_x >= 0 AND (NOT out OR node < node_x)"
+        joined = told.join(most, "pivot")
+        facts = ["node", "root", "low", "v", "more", *maps]
+        x = joined.filter("out AND low + high_all >= 0 AND high + low_all >= 0")
+        x = x.select("pivot", *[F.col(c).alias(f"{c}_x") for c in facts])
+        y = joined.filter("low + high_out >= 0 AND high + low_out >= 0").select("pivot", "out", *facts)
+        both_set = sum(F.bit_count(F.col(m).bitwiseAND(F.col(f"{m}_x"))) for m in maps)
+        # Elements that share a bit with another of their set count besides.
+        together = F.least(F.col("v"), F.col("v_x"), both_set + F.least("more", "more_x"))
+        met = x.join(y, "pivot").filter(
+            (F.col("root") != F.col("root_x"))
+            & (F.col("low") + F.col("low_x") + 2 * cost * together >= 0)
+            & (~F.col("out") | (F.col("node") < F.col("node_x")))
         )
         return met.select(F.least("node", "node_x").alias("a"), F.greatest("node", "node_x").alias("b"))
 
@@ -327,7 +352,7 @@ def links(sets: _Sets, bucket: int = BUCKET) -> DataFrame:
     across = few.join(other, "key").filter("node < b AND root != root_b").select(F.col("node").alias("a"), "b")
     crowded = unsettled.filter(F.col("size") > bucket)
     if not crowded.isEmpty():
-        across = across.unionAll(sets.affordable(crowded.select("key", "pivot", "node", "root"), compared))
+        across = across.unionAll(sets.affordable(crowded.select("pivot", "node", "root")))
     fresh = stage(across.distinct().join(compared.select("a", "b"), ["a", "b"], "left_anti"), "across")
     if fresh.isEmpty():
         return near
