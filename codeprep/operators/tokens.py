@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from codeprep.operators.ranking import number_rows
 from codeprep.operators.splitting import SEED, shuffle_key
@@ -25,14 +31,19 @@ LABEL_PAD = -100
 # A token is a run of word characters or one other visible character.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\p{Z}\t-\r\x1c-\x1f\x85]"
 
-# The first tokens of a vocabulary are broadcast, up to this many tokens and characters.
+# The first tokens of a vocabulary are broadcast, up to this many tokens and bytes.
 MAX_BROADCAST_TOKENS = 500_000
-MAX_BROADCAST_CHARS = 32_000_000
+MAX_BROADCAST_BYTES = 32_000_000
+
+# Bytes of text that a task translates together.
+SLICE_BYTES = 8 << 20
+
+# Tokens that the summary of a task holds at least.
+LEAST_CAPACITY = 1 << 16
 
 ROWS_PER_SHARD = 10_000
 
-# Position and id of a token share one number, so that sorting restores the text order.
-_ID_BITS = 40
+_LOOKED_UP = ("input_ids", "open", "block", "rest")
 
 
 def tokens(text: Column) -> Column:
@@ -64,15 +75,80 @@ def _most_frequent(counts: DataFrame, size: int) -> DataFrame:
     return counts.filter(F.col("n") >= least.scalar())
 
 
-def fit_vocab(texts: DataFrame, max_size: int | None = None) -> DataFrame:
+def _lines(max_tokens: int | None = None) -> Column:
+    """The tokens of the column ``text``, each on a line: no token holds a line end."""
+    found = tokens(F.col("text"))
+    return F.array_join(F.slice(found, 1, max_tokens) if max_tokens else found, "\n").alias("lines")
+
+
+def _split_lines(lines: pa.Array) -> pa.Array:
+    flat = pc.list_flatten(pc.split_pattern(lines, "\n"))
+    # An empty text was split into one empty line.
+    return flat.filter(pc.not_equal(flat, ""))
+
+
+def _summaries(capacity: int):
+    """Misra-Gries summary of the tokens of a task: at most ``capacity`` tokens with a lower
+    bound of their count, and under the empty token how much any count may be above it.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, over = pd.Series(dtype=np.int64), 0
+        for rows in _slices(batches, "lines"):
+            counted = _split_lines(pc.fill_null(rows.column("lines"), "")).value_counts()
+            new = pd.Series(counted.field("counts").to_numpy(), counted.field("values").to_pylist())
+            held = held.add(new, fill_value=0).astype(np.int64)
+            if len(held) > capacity:
+                cut = int(np.partition(held.to_numpy(), -capacity - 1)[-capacity - 1])
+                held, over = held[held > cut] - cut, over + cut
+        held[""] = over
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(held.index.tolist(), pa.string()), pa.array(held.to_numpy())], names=["token", "n"]
+        )
+
+    return run
+
+
+def _count_frequent(texts: DataFrame, size: int, capacity: int) -> DataFrame:
+    """Exact counts of tokens that hold the ``size`` most frequent ones.
+
+    Summaries of the tasks are added up; a token that may be among the most frequent by its
+    bounds is counted, all others are not, so what is shuffled does not grow with the number of
+    different tokens. If the bounds leave room for a token that no summary holds, all are counted.
+    """
+    summary = _summaries(capacity)
+    summed = stage(
+        texts.select(_lines()).mapInArrow(summary, "token string, n bigint").groupBy("token").agg(F.sum("n").alias("n")),
+        "token-summary",
+    )
+    over = (summed.filter("token = ''").agg(F.max("n").alias("n")).first().n) or 0
+    found = summed.filter("token != ''")
+    if not over:
+        return found
+    least = _most_frequent(found, size).agg(F.min("n").alias("n"), F.count("*").alias("size")).first()
+    if least.size < size or least.n <= over:
+        return stage(count_tokens(texts), "token-counts")
+    likely = stage(found.filter(F.col("n") + over >= least.n).select("token"), "likely-tokens")
+    weight = likely.agg(F.count("*").alias("n"), F.sum(F.octet_length("token")).alias("bytes")).first()
+    if weight.n <= MAX_BROADCAST_TOKENS and weight.bytes <= MAX_BROADCAST_BYTES:
+        likely = F.broadcast(likely)
+    every = texts.select(F.explode(tokens(F.col("text"))).alias("token"))
+    return stage(every.join(likely, "token").groupBy("token").agg(F.count("*").alias("n")), "token-counts")
+
+
+def fit_vocab(texts: DataFrame, max_size: int | None = None, capacity: int | None = None) -> DataFrame:
     """Token, count and id; ids run from 3 by falling count, then by token.
 
     Ids come from a distributed sort, so the vocabulary may be of any size.
-    With ``max_size`` only the most frequent tokens are sorted and get an id.
+    With ``max_size`` only the most frequent tokens are sorted and get an id, and
+    only tokens that may be among them are counted; a task keeps ``capacity``
+    tokens to tell which.
     """
-    counts = count_tokens(texts)
     if max_size:
-        counts = _most_frequent(stage(counts, "token-counts"), max_size)
+        room = capacity or max(LEAST_CAPACITY, 4 * max_size)
+        counts = _most_frequent(_count_frequent(texts, max_size, room), max_size)
+    else:
+        counts = count_tokens(texts)
     ranked = number_rows(counts, [F.desc("n"), F.asc("token")], "rank")
     vocab = ranked.select("token", "n", (F.col("rank") + FIRST_ID).alias("id"))
     return vocab.filter(F.col("id") < FIRST_ID + max_size) if max_size else vocab
@@ -86,12 +162,80 @@ def _frequent(vocab: DataFrame) -> DataFrame:
     upto = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
         vocab.filter(F.col("id") < FIRST_ID + MAX_BROADCAST_TOKENS)
-        .select("token", "id", F.sum(F.length("token")).over(upto).alias("chars"))
-        .filter(F.col("chars") <= MAX_BROADCAST_CHARS)
-        .drop("chars")
+        .select("token", "id", F.sum(F.octet_length("token")).over(upto).alias("bytes"))
+        .filter(F.col("bytes") <= MAX_BROADCAST_BYTES)
+        .drop("bytes")
     )
 
 
+def _slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Rows in runs of about ``SLICE_BYTES`` of a text column; a longer text is a run of its own."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        run = np.cumsum(sizes.astype(np.int64)) // SLICE_BYTES
+        edges = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
+        for start, stop in zip(edges, edges[1:]):
+            if stop > start:
+                yield batch.slice(start, stop - start)
+
+
+def _look_up(frequent: Broadcast, ids: Sequence[str]):
+    """Ids of the tokens of each text, which stand on a line each.
+
+    A token that is not frequent gets -1 - its place among those of its slice, which the first
+    row of the slice lists once each.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, known_ids = frequent.value
+        block = TaskContext.get().partitionId() << 32
+        for rows in _slices(batches, "lines"):
+            lines = pc.fill_null(rows.column("lines"), "")
+            flat = _split_lines(lines)
+            sizes = pc.add(pc.count_substring(lines, "\n"), pc.cast(pc.not_equal(lines, ""), pa.int32()))
+            kinds = flat.dictionary_encode()
+            at = pc.index_in(kinds.dictionary, value_set=known)
+            new = pc.is_null(at).to_numpy(zero_copy_only=False)
+            number = np.where(new, -np.cumsum(new), 0)
+            number[~new] = known_ids[at.drop_null().to_numpy()]
+            values = number[kinds.indices.to_numpy()]
+            offsets = np.concatenate([[0], np.cumsum(sizes.to_numpy())]).astype(np.int32)
+            rest = pa.array([None] * rows.num_rows, pa.list_(pa.string()))
+            if new.any():
+                listed = kinds.dictionary.filter(pa.array(new))
+                first = pa.ListArray.from_arrays(pa.array([0, len(listed)], pa.int32()), listed)
+                rest = pa.concat_arrays([first, rest.slice(1)])
+            lowest = np.zeros(rows.num_rows, bool)
+            lowest[np.repeat(np.arange(rows.num_rows), np.diff(offsets))[values < 0]] = True
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[rows.column(c) for c in ids],
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32))),
+                    pa.array(lowest),
+                    pa.array(np.full(rows.num_rows, block, np.int64)),
+                    rest,
+                ],
+                names=[*ids, *_LOOKED_UP],
+            )
+            block += 1
+
+    return run
+
+
+def _fill(rows: pa.Table, found: pa.Table) -> pa.Table:
+    """Rows of one slice with the ids of its other tokens in their places."""
+    number = np.zeros(len(found), np.int32)
+    number[found["place"].to_numpy()] = found["id"].to_numpy()
+    lists = rows["input_ids"].combine_chunks()
+    values = lists.flatten().to_numpy().copy()
+    open_ = values < 0
+    values[open_] = number[-1 - values[open_]]
+    sizes = pc.list_value_length(lists).to_numpy()
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    filled = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+    return rows.drop_columns(["block"]).set_column(rows.column_names.index("input_ids"), "input_ids", filled)
+
+
 def encode(
     texts: DataFrame,
     vocab: DataFrame,
@@ -104,55 +248,44 @@ def encode(
     the ids. ``ids`` identify a row; the text is not kept. ``vocab`` is what
     ``fit_vocab`` returns.
 
-    The most frequent tokens of the vocabulary are broadcast. The tokens of a
-    text are collected again in their map task: the known ones as one packed
-    array, the few others with their place. Only these are dealt out by token
-    and joined with the rest of the vocabulary; a token past rank r makes up
-    at most 1/r of the text, so none of them is a hot key.
+    The most frequent tokens of the vocabulary are sent to all tasks, which
+    translate the texts in slices. A slice names each of its other tokens once;
+    only these names are dealt out by token, joined with the rest of the
+    vocabulary and brought back to the rows of their slice. A token has at most
+    one row per slice, so none of them is a hot key. Without a rest of the
+    vocabulary nothing moves.
     """
-    kept = F.slice(tokens(F.col("text")), 1, max_tokens)
-    found = texts.select(*ids, F.posexplode_outer(kept).alias("pos", "token"))
-    place = F.shiftleft(F.col("pos").cast("bigint"), _ID_BITS)
-    frequent = stage(_frequent(vocab), "frequent-tokens")
-    # Of checked size: the limits of ``_frequent``.
-    looked_up = found.join(F.broadcast(frequent), "token", "left")
-    # The rows here are the largest data of the job. They are grouped with the
-    # id that differs most in front, for the aggregation's sort.
-    per_text = stage(
-        looked_up.groupBy(*reversed(ids)).agg(
-            F.count("pos").alias("n"),
-            F.collect_list(F.when(F.col("id").isNotNull(), place + F.col("id"))).alias("known"),
-            F.collect_list(
-                F.when(
-                    F.col("pos").isNotNull() & F.col("id").isNull(),
-                    F.struct(place.alias("place"), "token"),
-                )
-            ).alias("rest"),
-        ),
-        "token-ids",
-    )
-    rare = vocab.select("token", "id").join(frequent.select("id"), "id", "left_anti")
-    resolved = (
-        per_text.select(*ids, F.explode("rest").alias("r"))
-        .select(*ids, "r.place", "r.token")
-        .join(rare, "token", "left")
-        .groupBy(*[F.col(c).alias(f"_{c}") for c in reversed(ids)])
-        .agg(
-            F.collect_list(
-                F.col("place") + F.coalesce("id", F.lit(UNKNOWN_ID).cast("bigint"))
-            ).alias("more")
+    frequent = _frequent(vocab).orderBy("id").toArrow()  # of checked size
+    known = frequent["token"].combine_chunks(), frequent["id"].to_numpy()
+    last = int(known[1][-1]) if len(known[1]) else FIRST_ID - 1
+    fields = texts.select(*ids).schema.fields
+    array = T.ArrayType(T.IntegerType())
+    kinds = (array, T.BooleanType(), T.LongType(), T.ArrayType(T.StringType()))
+    schema = T.StructType([*fields, *map(T.StructField, _LOOKED_UP, kinds)])
+    sent = texts.sparkSession.sparkContext.broadcast(known)
+    looked_up = stage(texts.select(*ids, _lines(max_tokens)).mapInArrow(_look_up(sent, tuple(ids)), schema), "token-ids")
+    unknown = F.lit(UNKNOWN_ID)
+    rare = vocab.filter(F.col("id") > last).select("token", "id")
+    if rare.isEmpty():
+        in_place = F.transform("input_ids", lambda x: F.when(x < 0, unknown).otherwise(x))
+        done = looked_up.select(*ids, F.when(F.col("open"), in_place).otherwise(F.col("input_ids")).alias("input_ids"))
+    else:
+        asked = looked_up.select(F.col("block").alias("of"), F.posexplode("rest").alias("place", "token"))
+        answers = asked.join(rare, "token", "left").select(
+            "of", "place", F.coalesce(F.col("id").cast("int"), unknown).alias("id")
         )
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ids]
-    packed = F.when(F.col("more").isNull(), F.col("known")).otherwise(F.concat("known", "more"))
-    id_of = F.lit((1 << _ID_BITS) - 1)
-    in_order = F.transform(F.sort_array(packed), lambda x: x.bitwiseAND(id_of).cast("int"))
+        columns = [*ids, "input_ids"]
+        open_ = looked_up.filter("open").select(*columns, "block")
+        filled = (
+            open_.groupBy("block").cogroup(answers.groupBy("of"))
+            .applyInArrow(_fill, T.StructType([*fields, T.StructField("input_ids", array)]))
+        )
+        done = looked_up.filter("NOT open").select(columns).unionByName(filled)
     return (
-        per_text.join(resolved, same, "left")
-        .select(
+        done.select(
             *ids,
-            (F.col("n") >= max_tokens).alias("was_truncated"),
-            F.slice(F.array_append(in_order, F.lit(END_ID)), 1, max_tokens).alias("input_ids"),
+            (F.size("input_ids") >= max_tokens).alias("was_truncated"),
+            F.slice(F.array_append("input_ids", F.lit(END_ID)), 1, max_tokens).alias("input_ids"),
         )
         .withColumn("attention_mask", F.array_repeat(F.lit(1), F.size("input_ids")))
         .withColumn("labels", F.col("input_ids"))
@@ -163,9 +296,24 @@ def shard_count(n_rows: int, rows_per_shard: int = ROWS_PER_SHARD) -> int:
     return max(1, -(-n_rows // rows_per_shard))
 
 
+def _in_shards(rows: DataFrame, n_shards: int, batch_rows: int) -> DataFrame:
+    """Adds ``shard``, and ``batch`` inside the shard."""
+    shard = F.conv(F.substring("key", 1, 8), 16, 10).cast("bigint") % n_shards
+    in_shard = Window.partitionBy("shard").orderBy("key")
+    return rows.withColumn("shard", shard).withColumn(
+        "batch", F.floor((F.row_number().over(in_shard) - 1) / batch_rows)
+    )
+
+
+def _in_one_set(rows: DataFrame, batch_rows: int) -> DataFrame:
+    """Adds ``batch``, numbered over all rows in hash order: only the last one may be short."""
+    numbered = number_rows(rows, [F.col("key")], "place")
+    return numbered.withColumn("batch", F.floor(F.col("place") / batch_rows)).drop("place")
+
+
 def padded_batches(
     encoded: DataFrame,
-    n_shards: int,
+    n_shards: int | None = None,
     seed: int = SEED,
     ids: Sequence[str] = ORDER,
     batch_rows: int = BATCH_ROWS,
@@ -173,28 +321,34 @@ def padded_batches(
 ) -> DataFrame:
     """Group rows in batches and pad each to its longest row, rounded up to ``multiple``.
 
-    Rows are dealt to shards by a hash of their ids, and batches form inside a
-    shard in hash order: every shard is small, equally full, and the same
-    under any partitioning. Only the last batch of a shard may be short. Take
-    ``n_shards`` from ``shard_count`` or the number of training workers.
+    Rows stand in order of a hash of their ids, and batches follow each other in this order:
+    of all of them only the last one may be short, and they are the same under any
+    partitioning. Only ids, hashes and lengths are sorted and numbered; a batch that a border
+    of the sort cuts gets its width where its rows meet. Then each row joins its batch.
+
+    With ``n_shards`` the rows are first dealt to shards by the same hash, and batches form
+    inside a shard, every one small and equally full; the last batch of each may be short. Take
+    ``n_shards`` from the number of training workers.
     """
-    key = shuffle_key(seed, ids)
-    shard = F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint") % n_shards
-    in_shard = Window.partitionBy("shard").orderBy("key")
-    in_batch = Window.partitionBy("shard", "batch")
-    longest = F.max(F.size("input_ids")).over(in_batch)
+    slim = encoded.select(*ids, shuffle_key(seed, ids).alias("key"), F.size("input_ids").alias("n"))
+    if n_shards is None:
+        place, batched = ["batch"], _in_one_set(slim, batch_rows)
+    else:
+        place, batched = ["shard", "batch"], _in_shards(slim, n_shards, batch_rows)
+    longest = F.max("n").over(Window.partitionBy(*place))
+    width = (F.ceil(longest / multiple) * multiple).cast("int")
+    widths = batched.withColumn("width", width).select(*place, "width", *[F.col(c).alias(f"_{c}") for c in ids])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ids]
     missing = F.col("width") - F.size("input_ids")
 
     def padded(values: Column, filler: int) -> Column:
         return F.concat(values, F.array_repeat(F.lit(filler), missing))
 
     return (
-        encoded.select(*ids, "input_ids", key.alias("key"), shard.alias("shard"))
-        .withColumn("batch", F.floor((F.row_number().over(in_shard) - 1) / batch_rows))
-        .withColumn("width", (F.ceil(longest / multiple) * multiple).cast("int"))
+        encoded.select(*ids, "input_ids")
+        .join(widths, same)
         .select(
-            "shard",
-            "batch",
+            *place,
             "width",
             *ids,
             padded(F.col("input_ids"), PAD_ID).alias("input_ids"),

@@ -232,8 +232,12 @@ ORACLES: dict[str, str] = {
     "load_report": f"""WITH {COMBINED},
         listed(source, source_rank) AS (VALUES {", ".join(
             f"('{name}', {rank})" for name, rank in SOURCE_RANKS.items())})
-        SELECT l.source, l.source_rank, l.source <> 'missing' AS loaded, count(c.source) AS n_rows
+        SELECT l.source, l.source_rank, l.source <> 'missing' AS loaded, count(c.source) AS n_rows,
+            CAST(0 AS BIGINT) AS n_rejected
         FROM listed l LEFT JOIN combined c USING (source_rank) GROUP BY l.source, l.source_rank""",
+    "load_rejects": """SELECT 'pages' AS source, 0 AS source_rank, true AS loaded, count(*) AS n_rows,
+            CAST(1 AS BIGINT) AS n_rejected, 'part=3' AS rejected FROM pages WHERE page_id % 5 <> 3
+        UNION ALL SELECT 'documents', 1, true, count(*), 0, NULL FROM documents""",
     "concat_sources": f"WITH {COMBINED} SELECT * FROM combined",
     "source_positions": f"""WITH every AS (
             SELECT 'documents' AS source, 0 AS source_rank, row_number() OVER () AS pos,
@@ -271,6 +275,15 @@ ORACLES: dict[str, str] = {
         FROM rules r GROUP BY source_rank""",
     "sample_exact": f"""WITH {HASHED}
         SELECT source_rank, row_idx, texts_md5 FROM placed WHERE rn <= {q.SAMPLE_SIZE}""",
+    "sample_repeated": f"""WITH r AS ({views.as_duckdb(views.REPEATED)}),
+        p AS (SELECT *, row_number() OVER (ORDER BY md5('42:' || CAST(source_rank AS VARCHAR) || ':'
+            || CAST(row_idx AS VARCHAR))) AS rn FROM r)
+        SELECT source_rank, row_idx, output, count(*) AS n_rows FROM p WHERE rn <= {q.SAMPLE_SIZE}
+        GROUP BY source_rank, row_idx, output""",
+    "split_by_share": f"""WITH {SAMPLES}
+        SELECT source_rank, row_idx, CASE WHEN CAST('0x' || substr(md5('42:' || CAST(source_rank AS VARCHAR)
+            || ':' || CAST(row_idx AS VARCHAR)), 1, 8) AS BIGINT) < floor({q.STREAM_SHARE} * 4294967296)
+            THEN 'eval' ELSE 'train' END AS split FROM triples""",
     "split_exact": f"WITH {SPLIT} SELECT source_rank, row_idx, split, texts_md5 FROM split",
     "split_written": f"WITH {SPLIT} SELECT source_rank, row_idx, split, texts_md5 FROM split",
     "funnel_last_steps": f"""WITH {SPLIT}
@@ -301,9 +314,8 @@ ORACLES: dict[str, str] = {
             {over_code(text(p.FIX_TASK + p.REVIEW_FIX_ERROR), 'code')} AS fix FROM c)
         SELECT source_name, CAST(length(explain) AS INTEGER) AS n_chars,
             md5(explain) AS explain_md5, md5(review) AS review_md5, md5(fix) AS fix_md5 FROM r""",
-    "code_file_scan": f"""WITH f AS (SELECT concat('part_', page_id % 7, '/_page_', page_id, '/',
-                CASE page_id % 3 WHEN 0 THEN '__init__.py' WHEN 1 THEN '_own.py' ELSE 'main.py' END)
-                AS source_path,
+    "code_file_scan": f"""WITH f AS (SELECT concat('part ', page_id % 7, '/_page_', page_id, '/',
+                {list(views.FILE_NAMES)}[page_id % {len(views.FILE_NAMES)} + 1]) AS source_path,
             CASE WHEN page_id % 17 = 0 THEN ' ' ELSE 'x' || chr(10) || 'y' || chr(10)
                 || replace(replace(html, chr(13) || chr(10), chr(10)), chr(13), chr(10)) END AS code
             FROM pages),
@@ -387,15 +399,12 @@ ORACLES: dict[str, str] = {
     "padded_batches": f"""WITH {encoded()},
         keyed AS (SELECT *, md5('42:' || CAST(source_rank AS VARCHAR) || ':'
             || CAST(row_idx AS VARCHAR)) AS h FROM encoded),
-        dealt AS (SELECT *, CAST('0x' || substr(h, 1, 8) AS BIGINT) 
-            % (SELECT CAST(greatest(1, ceil(count(*) / {q.ROWS_PER_SHARD})) AS BIGINT) FROM samples)
-            AS shard FROM keyed),
-        grouped AS (SELECT *, (row_number() OVER (PARTITION BY shard ORDER BY h) - 1) // 4 AS batch
-            FROM dealt),
-        wide AS (SELECT *, CAST(ceil(max(len(input_ids)) OVER (PARTITION BY shard, batch) / 8) * 8
+        grouped AS (SELECT *, (row_number() OVER (ORDER BY h) - 1) // 4 AS batch FROM keyed),
+        wide AS (SELECT *, CAST(ceil(max(len(input_ids)) OVER (PARTITION BY batch) / 8) * 8
             AS INTEGER) AS width FROM grouped)
-        SELECT shard, batch, width, source_rank, row_idx, width AS n_padded,
+        SELECT batch, width, source_rank, row_idx, width AS n_padded,
             {list_md5(padded('input_ids', 0))} AS input_ids_md5,
             {list_md5(padded('list_transform(input_ids, lambda x: 1)', 0))} AS attention_mask_md5,
             {list_md5(padded('input_ids', -100))} AS labels_md5 FROM wide""",
 }
+ORACLES["funnel_observed"] = ORACLES["funnel_counts"]

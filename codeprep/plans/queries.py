@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,7 @@ from codeprep.functions.text import short_label
 from codeprep.operators import chatlog, cleaning, comparison, evaluation, splitting, tokens
 from codeprep.plans import evaluation as evaluation_plan
 from codeprep.plans import views
-from codeprep.plans.dataset import prepared, training_texts
+from codeprep.plans.dataset import Steps, prepared, prepared_counted, training_texts
 from codeprep.sources import files, instructions, problems
 from codeprep.sources.instructions import ORDER, TEXT_COLUMNS, SourceSpec
 from codeprep.staging import new_folder, stage
@@ -24,7 +25,7 @@ from codeprep.workers import reachable
 VOCAB_SIZE = 1000
 SAMPLE_SIZE = 100
 PROBLEM_LIMIT = 20
-ROWS_PER_SHARD = 250
+STREAM_SHARE = 0.25
 
 
 def source_specs(sf_dir: str) -> list[SourceSpec]:
@@ -117,6 +118,29 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return instructions.load_report(spark, combined, statuses)
 
 
+def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages in five files, one of which was cut off: all others are loaded, and it is named."""
+    path = new_folder(spark, "pages in parts")
+    part = (F.col("page_id") % 5).alias("part")
+    pages = views.read(spark, sf_dir, "pages")
+    pages.select("*", part).repartition(5, "part").write.partitionBy("part").parquet(path)
+    system, folder = files.locate(spark, f"{path}/part=3").open()
+    (cut,) = [f for f in system.get_file_info(fs.FileSelector(folder)) if f.base_name.endswith(".parquet")]
+    with system.open_input_file(cut.path) as source:
+        head = source.read(cut.size // 2)
+    with system.open_output_stream(cut.path) as out:
+        out.write(head)
+    specs = [
+        SourceSpec("pages", path, columns={"instruction": "url", "output": "html"}),
+        SourceSpec("documents", f"{sf_dir}/documents.parquet", columns={"output": "text"}),
+    ]
+    combined, statuses = instructions.load_sources(spark, specs, guarded=True)
+    report = instructions.load_report(spark, combined, statuses)
+    named = instructions.rejected_files(spark, statuses)
+    found = named.select("source_rank", F.regexp_extract("file", "part=[0-9]+", 0).alias("rejected"))
+    return report.join(found, "source_rank", "left")
+
+
 def concat_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return instructions.load_sources(spark, source_specs(sf_dir))[0].drop("file")
 
@@ -190,6 +214,16 @@ def funnel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.funnel(_samples(spark, sf_dir))
 
 
+def funnel_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The funnel as it is counted by the job that writes the prepared rows."""
+    ranks = range(len(source_specs(sf_dir)))
+    steps = Steps(ranks)
+    prepared_counted(_samples(spark, sf_dir), ORDER, steps)
+    names = ("n_raw", "n_quality", "n_dedup")
+    rows = [(rank, *[steps.rows(rank)[n] for n in names]) for rank in ranks]
+    return spark.createDataFrame(rows, "source_rank int, n_raw bigint, n_quality bigint, n_dedup bigint")
+
+
 # Sample and split.
 
 
@@ -198,6 +232,18 @@ def sample_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sample.select(*ORDER, _texts_md5())
 
 
+def sample_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample of rows that repeat: how often each row is in it."""
+    rows = stage(views.view(spark, sf_dir, views.REPEATED), "repeated")
+    return splitting.sample_exact(rows, SAMPLE_SIZE).groupBy(*ORDER, "output").agg(F.count("*").alias("n_rows"))
+
+
+def split_by_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split that needs no count, over all loaded rows."""
+    rows = _samples(spark, sf_dir)
+    return splitting.split_by_share(rows, STREAM_SHARE).select(*ORDER, "split")
+
+
 def split_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_exact(_prepared(spark, sf_dir)).select(*ORDER, "split", _texts_md5())
 
@@ -252,21 +298,22 @@ def cli_prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def code_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages written as files by the executors, below folders and under names with an
-    underscore, scanned and put in prompts.
+    """Pages written as files by the executors, below folders and under names with all kinds of
+    signs, scanned and put in prompts.
     """
     reachable(spark)
-    path = new_folder(spark, "code-files")
+    path = new_folder(spark, "code files")
     page = F.col("page_id")
+    base = F.array(*map(F.lit, views.FILE_NAMES))
     name = F.concat_ws(
         "/",
-        F.concat(F.lit("part_"), (page % 7).cast("string")),
+        F.concat(F.lit("part "), (page % 7).cast("string")),
         F.concat(F.lit("_page_"), page.cast("string")),
-        F.when(page % 3 == 0, "__init__.py").when(page % 3 == 1, "_own.py").otherwise("main.py"),
+        F.get(base, (page % len(views.FILE_NAMES)).cast("int")),
     )
     code = F.when(page % 17 == 0, " ").otherwise(F.concat(F.lit("x\r\ny\r"), "html"))
     rows = views.read(spark, sf_dir, "pages").select(name.alias("name"), code.alias("code"))
-    stage(rows.mapInArrow(_write_files(path), "name string"), "written-names")
+    stage(rows.mapInArrow(_write_files(files.locate(spark, path)), "name string"), "written-names")
     with_code, _ = files.split_blank(files.scan_code_files(spark, path))
     names = ("explain", "review", "fix")
     return files.code_prompts(with_code, "source_path").select(
@@ -274,15 +321,21 @@ def code_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _write_files(path: str):
+def _write_files(folder: files.Place):
+    """Every page, and beside it the file that its name would lead to if it were an address."""
+
     def run(batches):
+        system, place = folder.open()
         for batch in batches:
             for name, code in zip(batch.column("name").to_pylist(), batch.column("code").to_pylist()):
-                store, place = fs.FileSystem.from_uri(files.address(path))
                 target = f"{place}/{name}"
-                store.create_dir(target.rpartition("/")[0], recursive=True)
-                with store.open_output_stream(target) as out:
-                    out.write((code or "").encode())
+                system.create_dir(target.rpartition("/")[0], recursive=True)
+                written = {target: (code or "").encode()}
+                other = unquote(target.partition("#")[0].partition("?")[0])
+                written.setdefault(other, b" ")
+                for path, data in written.items():
+                    with system.open_output_stream(path) as out:
+                        out.write(data)
             yield batch.select(["name"])
 
     return run
@@ -441,15 +494,12 @@ def encode_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def padded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = _texts(spark, sf_dir)
-    encoded = tokens.encode(texts, tokens.fit_vocab(texts))
-    shards = tokens.shard_count(texts.count(), ROWS_PER_SHARD)
-    batches = tokens.padded_batches(encoded, shards)
+    batches = tokens.padded_batches(tokens.encode(texts, tokens.fit_vocab(texts)))
 
     def digest(c: str):
         return F.md5(F.array_join(F.col(c).cast("array<string>"), " ")).alias(f"{c}_md5")
 
     return batches.select(
-        "shard",
         "batch",
         "width",
         *ORDER,
@@ -460,6 +510,7 @@ def padded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_report": load_report,
+    "load_rejects": load_rejects,
     "concat_sources": concat_sources,
     "source_positions": source_positions,
     "normalize_triples": normalize_triples,
@@ -473,7 +524,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_first_wins": dedup_first_wins,
     "dedup_groups": dedup_groups,
     "funnel_counts": funnel_counts,
+    "funnel_observed": funnel_observed,
     "sample_exact": sample_exact,
+    "sample_repeated": sample_repeated,
+    "split_by_share": split_by_share,
     "split_exact": split_exact,
     "split_sizes": split_sizes,
     "split_written": split_written,

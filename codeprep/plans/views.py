@@ -20,6 +20,13 @@ SAMPLES = """
     FROM {documents}
 """
 
+# Whole rows that repeat, the last wanted one among them.
+REPEATED = """
+    SELECT CAST(substr(source, 4) AS INT) % 5 AS source_rank, CAST(doc_id % 7 AS BIGINT) AS row_idx,
+        concat('text ', CAST(doc_id % 7 AS STRING)) AS output
+    FROM {documents}
+"""
+
 PROBLEMS = """
     SELECT concat('Problem/', CAST(item_id AS STRING)) AS task_id, item_id AS row_idx,
         text AS prompt
@@ -71,6 +78,11 @@ CODE_FILES = """
     FROM {pages}
 """
 
+# Names that hold signs with a meaning in addresses or patterns.
+FILE_NAMES = (
+    "__init__.py", "_own.py", "main.py", "a b.py", "c#d.py", "q?x.py", "e%41.py", "ü.py", "[a]*.py", "x=1;y.py"
+)
+
 CHAT_LOG = """
     SELECT conv_id, turn, role,
         CASE WHEN role <> 'user' THEN text

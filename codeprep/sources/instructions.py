@@ -13,10 +13,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from codeprep.functions.text import or_empty
+from codeprep.sources.guard import broken_files, can_check, whole_file
 from codeprep.staging import stage
 
 logger = logging.getLogger(__name__)
 
+# Files of one source that may be left out one by one.
+MOST_REJECTED = 1000
+
 TEXT_COLUMNS = ("instruction", "input", "output")
 # What orders rows that are numbered inside their source, and loaded rows of any source.
 ORDER = ("source_rank", "row_idx")
@@ -51,6 +55,8 @@ class SourceStatus:
     source_rank: int
     loaded: bool
     error: str | None
+    # Files that were left out, and why.
+    rejected: tuple[tuple[str, str], ...] = ()
 
 
 def text_column(df: DataFrame, name: str | None) -> Column:
@@ -77,14 +83,29 @@ def to_triples(df: DataFrame, columns: Mapping[str, str], *keep: str) -> DataFra
     return df.select(*keep, *[text_column(df, columns.get(c)).alias(c) for c in TEXT_COLUMNS])
 
 
-def with_file_position(spark: SparkSession, spec: SourceSpec) -> DataFrame:
+def _open(spark: SparkSession, spec: SourceSpec, broken: Sequence[str] | None = None) -> DataFrame:
+    """The rows of a source; with a list of broken files, those of the others."""
+    reader = spark.read.format(spec.format).options(**spec.options)
+    if broken is None:
+        return reader.load(spec.path)
+    # Other formats take their schema from all files that can be read.
+    reader = reader.option("ignoreCorruptFiles", "true")
+    if spec.format in ("parquet", "orc") and (whole := whole_file(spark, spec.path, broken)):
+        reader = reader.schema(spark.read.format(spec.format).load(whole).schema)
+    read = reader.load(spec.path)
+    return read.filter(~F.col("_metadata.file_path").isin(list(broken))) if broken else read
+
+
+def with_file_position(
+    spark: SparkSession, spec: SourceSpec, broken: Sequence[str] | None = None
+) -> DataFrame:
     """Read a source with ``file`` and ``row_idx``, which order its rows as they are stored.
 
     No rows are moved, counted or joined. Parquet knows the row number inside a
     file. Other formats are written once as parquet, so that the numbers cannot
     change when a task is repeated; there a file is a stretch of a file.
     """
-    read = spark.read.format(spec.format).options(**spec.options).load(spec.path)
+    read = _open(spark, spec, broken)
     if spec.format == "parquet":
         return read.select(
             "*",
@@ -102,14 +123,15 @@ def with_file_position(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     )
 
 
-def read_source(spark: SparkSession, spec: SourceSpec, source_rank: int) -> DataFrame:
+def read_source(
+    spark: SparkSession, spec: SourceSpec, source_rank: int, broken: Sequence[str] | None = None
+) -> DataFrame:
     if spec.order_col:
-        read = spark.read.format(spec.format).options(**spec.options).load(spec.path)
-        rows = read.withColumns(
+        rows = _open(spark, spec, broken).withColumns(
             {"file": F.lit(""), "row_idx": F.col(spec.order_col).cast("bigint")}
         )
     else:
-        rows = with_file_position(spark, spec)
+        rows = with_file_position(spark, spec, broken)
     rows = keep_rows(rows, spec)
     triples = to_triples(rows, spec.columns, "file", "row_idx")
     return triples.select(
@@ -121,20 +143,40 @@ def read_source(spark: SparkSession, spec: SourceSpec, source_rank: int) -> Data
     )
 
 
+def _broken(spark: SparkSession, spec: SourceSpec) -> dict[str, str] | None:
+    """Files of a source that cannot be read to their end, and why; at most ``MOST_REJECTED``."""
+    if not can_check(spark, spec.path):
+        return None
+    used = [*spec.columns.values(), *spec.equals, *spec.contains, spec.order_col]
+    found = broken_files(spark, spec.path, spec.format, [c for c in used if c])
+    rejected = {r.file: r.reason for r in found.limit(MOST_REJECTED + 1).collect()}
+    if len(rejected) > MOST_REJECTED:
+        raise OSError(f"more than {MOST_REJECTED} files cannot be read")
+    return rejected
+
+
 def load_sources(
-    spark: SparkSession, specs: Sequence[SourceSpec]
+    spark: SparkSession, specs: Sequence[SourceSpec], guarded: bool = False
 ) -> tuple[DataFrame, list[SourceStatus]]:
     """Union all sources that can be opened; warn about the others and go on.
 
     Row order is (source_rank, file, row_idx). A source fails here when its path or
     schema cannot be resolved; rows are not read yet.
+
+    With ``guarded`` every file is read through first. Those that break on the way are left out
+    and named in the status, and the rest of their source is loaded; without, the job that reads
+    them fails. A source of which more than ``MOST_REJECTED`` files break is left out whole.
     """
     frames, statuses = [], []
     for source_rank, spec in enumerate(specs):
         try:
-            frames.append(read_source(spark, spec, source_rank))
-            statuses.append(SourceStatus(spec.name, source_rank, True, None))
-        except (PySparkException, Py4JJavaError) as error:
+            broken = _broken(spark, spec) if guarded else None
+            frames.append(read_source(spark, spec, source_rank, None if broken is None else list(broken)))
+            rejected = tuple((broken or {}).items())
+            for file, reason in rejected:
+                logger.warning("source %s: file %s skipped: %s", spec.name, file, reason)
+            statuses.append(SourceStatus(spec.name, source_rank, True, None, rejected))
+        except (PySparkException, Py4JJavaError, OSError) as error:
             reason = str(error).splitlines()[0]
             logger.warning("source %s skipped: %s", spec.name, reason)
             statuses.append(SourceStatus(spec.name, source_rank, False, reason))
@@ -146,12 +188,20 @@ def load_sources(
 def load_report(
     spark: SparkSession, combined: DataFrame, statuses: Sequence[SourceStatus]
 ) -> DataFrame:
-    """One row per configured source: did it load, and how many rows it gave."""
+    """One row per configured source: did it load, how many rows it gave, and how many of its
+    files were rejected.
+    """
     listed = spark.createDataFrame(
-        [(s.name, s.source_rank, s.loaded) for s in statuses],
-        "source string, source_rank int, loaded boolean",
+        [(s.name, s.source_rank, s.loaded, len(s.rejected)) for s in statuses],
+        "source string, source_rank int, loaded boolean, n_rejected bigint",
     )
     counts = combined.groupBy("source_rank").agg(F.count("*").alias("n_rows"))
     return listed.join(counts, "source_rank", "left").select(
-        "source", "source_rank", "loaded", F.coalesce("n_rows", F.lit(0)).alias("n_rows")
+        "source", "source_rank", "loaded", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), "n_rejected"
     )
+
+
+def rejected_files(spark: SparkSession, statuses: Sequence[SourceStatus]) -> DataFrame:
+    """One row per file that was left out: its source, its address, and why."""
+    rows = [(s.name, s.source_rank, *entry) for s in statuses for entry in s.rejected]
+    return spark.createDataFrame(rows, "source string, source_rank int, file string, reason string")

@@ -1,10 +1,14 @@
-"""Run reports: three JSON tables per run, and one nested document as an export."""
+"""Run reports: three JSON tables, versioned under a manifest, and one nested document as an export."""
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from functools import reduce
+from operator import or_
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +24,7 @@ REPORT_SCHEMA = """
                              `pass@1`: double, errors: array<string>>>
 """
 
-# The store: one folder per table, in it one folder per run.
+# The store: one folder per table, in it one folder per version, which one evaluation wrote.
 TABLES = {
     "summary": """label string, num_problems bigint, num_samples bigint, pass_at_1 double,
         pass_at_10 double, num_passed bigint, num_failed bigint, model_path string,
@@ -30,36 +34,102 @@ TABLES = {
     "errors": "label string, task_id string, sample_idx bigint, error string",
 }
 
+# Manifests are numbered; the one of the highest number holds.
+_MANIFEST = "manifest-"
+
+
+class Manifest:
+    """Which version of each run holds: a small file that is put in its place whole.
+
+    An evaluation first writes its tables under a new version, where no reader looks, and then
+    a manifest that names it. A driver that is lost on the way leaves the old manifest, and
+    with it all old reports. Two evaluations that end together cannot take the same number: the
+    later one reads again what holds, adds its runs and takes the next number.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        jvm = spark._jvm
+        self._jvm, self._folder = jvm, jvm.org.apache.hadoop.fs.Path(path)
+        conf = spark._jsc.hadoopConfiguration()
+        self._store = self._folder.getFileSystem(conf)
+        self._files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._store.getUri(), conf)
+        # A rename without options fails where the name is taken.
+        self._keep = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+
+    def _child(self, name: str):
+        return self._jvm.org.apache.hadoop.fs.Path(self._folder, name)
+
+    def _last(self) -> int:
+        if not self._store.exists(self._folder):
+            return 0
+        names = [status.getPath().getName() for status in self._store.listStatus(self._folder)]
+        return max([int(n.removeprefix(_MANIFEST)) for n in names if n.startswith(_MANIFEST)], default=0)
+
+    def _read(self, number: int) -> list[dict]:
+        if not number:
+            return []
+        source = self._store.open(self._child(f"{_MANIFEST}{number:08d}"))
+        try:
+            return json.loads(bytes(source.readAllBytes()))
+        finally:
+            source.close()
+
+    def runs(self) -> list[dict]:
+        """``run`` and ``version`` of all runs; a run may have no name."""
+        return self._read(self._last())
+
+    def put(self, version: str, runs: Sequence[str | None]) -> None:
+        """The runs are those of this version from now on; others stay."""
+        while True:
+            number = self._last()
+            others = [entry for entry in self._read(number) if entry["run"] not in runs]
+            entries = others + [{"run": run, "version": version} for run in runs]
+            draft = self._child(f"_{version}-{number}")
+            out = self._store.create(draft, True)
+            out.write(json.dumps(entries, indent=1).encode())
+            out.close()
+            final = self._child(f"{_MANIFEST}{number + 1:08d}")
+            try:
+                if not self._store.exists(final):
+                    return self._files.rename(self._store.makeQualified(draft), self._store.makeQualified(final), self._keep)
+            except Py4JJavaError:
+                if not self._store.exists(final):
+                    raise
+            self._store.delete(draft, False)
+
 
 def write_reports(summary: DataFrame, problems: DataFrame, errors: DataFrame, path: str) -> None:
     """Write the runs below ``path``; runs that are there already are replaced, others stay.
 
-    A run that has no errors any more loses those of an earlier evaluation, too: every run
-    writes a marker row, which readers leave out.
+    They are replaced together, when all three tables are written.
     """
-    marked = errors.unionByName(
-        summary.select(RUN), allowMissingColumns=True
-    )
-    for name, table in (("summary", summary), ("per_problem", problems), ("errors", marked)):
-        rows = table.withColumn("run", F.col(RUN))
+    version = uuid.uuid4().hex
+    for name, table in (("summary", summary), ("per_problem", problems), ("errors", errors)):
         # Null fields are written: a report always has the key pass@10.
-        (
-            rows.write.partitionBy("run")
-            .option("ignoreNullFields", False)
-            .option("partitionOverwriteMode", "dynamic")
-            .mode("overwrite")
-            .json(f"{path}/{name}")
-        )
+        table.write.option("ignoreNullFields", False).json(f"{path}/{name}/version={version}")
+    spark = summary.sparkSession
+    written = spark.read.schema(TABLES["summary"]).json(f"{path}/summary/version={version}")
+    runs = [r[RUN] for r in written.select(RUN).distinct().collect()]
+    Manifest(spark, path).put(version, runs)
 
 
 def read_table(spark: SparkSession, paths: Sequence[str], name: str) -> DataFrame:
     """One table of the runs in one or several folders; a folder without reports is an error."""
     parts = []
     for path in paths:
-        try:
-            parts.append(spark.read.schema(TABLES[name]).json(f"{path}/{name}"))
-        except AnalysisException as error:
-            raise FileNotFoundError(f"run all evaluations to compare first: {error}") from error
+        versions: dict[str, list] = {}
+        for entry in Manifest(spark, path).runs():
+            versions.setdefault(entry["version"], []).append(entry["run"])
+        if not versions:
+            raise FileNotFoundError(f"run all evaluations to compare first: no reports in {path}")
+        folders = [f"{path}/{name}/version={version}" for version in versions]
+        # Labels and versions are text, whatever they look like.
+        rows = spark.read.schema(f"{TABLES[name]}, version string").option("basePath", f"{path}/{name}").json(folders)
+        holds = [
+            (F.col("version") == version) & (F.col(RUN).isin([r for r in runs if r is not None]) | F.lit(None in runs) & F.col(RUN).isNull())
+            for version, runs in versions.items()
+        ]
+        parts.append(rows.filter(reduce(or_, holds)).drop("version"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -79,7 +149,7 @@ def read_problems(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def read_errors(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    return read_table(spark, paths, "errors").filter(F.col("task_id").isNotNull())
+    return read_table(spark, paths, "errors")
 
 
 def nested_report(summary: DataFrame, problems: DataFrame, errors: DataFrame) -> DataFrame:

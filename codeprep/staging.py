@@ -16,11 +16,15 @@ _REMOVED_AT_END: set[str] = set()
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the session names for intermediate data, which all executors reach.
 
-    A session that names none uses its warehouse, which they reach as well.
+    A session that names none uses its warehouse, unless that is a folder of the driver's
+    machine and executors are elsewhere: they would write what nobody reads.
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if not folder:
         folder = f"{spark.conf.get(WAREHOUSE_DIR)}/checkpoints"
+        machine_only = folder.startswith(("file:", "/"))
+        if machine_only and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"{CHECKPOINT_DIR} is not set, and {folder} is a folder of one machine")
         spark.conf.set(CHECKPOINT_DIR, folder)
     return folder.rstrip("/")
 

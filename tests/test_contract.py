@@ -67,13 +67,23 @@ def test_build_dataset(spark, tmp_path):
     ]
     statuses = build_dataset(spark, specs, str(tmp_path / "all"))
     assert [s.loaded for s in statuses] == [True, True, False, True, True, True]
+    assert statuses[2].error and statuses[2].n_raw == 0
     rows = spark.read.parquet(str(tmp_path / "all"))
     assert set(rows.columns) >= {"input_ids", "attention_mask", "labels", "split"}
     n = rows.count()
     assert n > 0 and rows.filter("split = 'eval'").count() == -(-n // 50)
+    # Counted by the jobs that wrote the rows.
+    assert sum(s.n_train + s.n_eval for s in statuses) == n
+    for s in statuses:
+        assert s.n_raw >= s.n_quality >= s.n_dedup == s.n_sampled == s.n_train + s.n_eval
+        own = rows.filter(F.col("source_rank") == s.source_rank)
+        assert own.filter("split = 'train'").count() == s.n_train
+    assert sum(s.n_quality for s in statuses) > n
     assert rows.filter(F.size("input_ids") > 4096).count() == 0
     config = DatasetConfig(max_samples=10, max_vocab=50, max_tokens=64)
-    build_dataset(spark, specs, str(tmp_path / "few"), config)
+    counted = build_dataset(spark, specs, str(tmp_path / "few"), config)
+    assert sum(s.n_sampled for s in counted) == 10 == sum(s.n_train + s.n_eval for s in counted)
+    assert [s.n_dedup for s in counted] == [s.n_dedup for s in statuses]
     few = spark.read.parquet(str(tmp_path / "few"))
     assert few.count() == 10
     assert few.agg(F.max(F.array_max("input_ids"))).first()[0] <= 52
@@ -90,7 +100,24 @@ def test_a_session_without_the_setting_uses_its_warehouse():
     class Session:
         conf = Conf({"spark.sql.warehouse.dir": "hdfs:///warehouse"})
 
+        class sparkContext:
+            master = "spark://host:7077"
+
     assert shared_folder(Session()) == "hdfs:///warehouse/checkpoints"
     assert Session.conf["spark.checkpoint.dir"] == "hdfs:///warehouse/checkpoints"
     Session.conf["spark.checkpoint.dir"] = "hdfs:///shared/"
     assert shared_folder(Session()) == "hdfs:///shared"
+
+
+@pytest.mark.parametrize("master", ["local[4]", "spark://host:7077", "yarn"])
+def test_a_folder_of_one_machine_is_refused_on_a_cluster(master):
+    class Conf(dict):
+        set = dict.__setitem__
+
+    for folder in ("file:/home/me/spark-warehouse", "/home/me/spark-warehouse"):
+        session = type("Session", (), {"conf": Conf({"spark.sql.warehouse.dir": folder}), "sparkContext": type("C", (), {"master": master})})
+        if master.startswith("local"):
+            assert shared_folder(session()) == f"{folder}/checkpoints"
+        else:
+            with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+                shared_folder(session())

@@ -240,3 +240,63 @@ def test_nested_export(spark, published, runs, tmp_path):
     }
     with pytest.raises(FileNotFoundError):
         reports.export_nested(spark, [out], ["other"], nested)
+
+
+def test_an_evaluation_that_stops_on_the_way_leaves_the_old_report(spark, published, runs, tmp_path, monkeypatch):
+    out = str(tmp_path / "reports")
+    plan.evaluate(published, runs, out)
+    before = {name: sorted(map(tuple, reports.read_table(spark, [out], name).collect()), key=repr) for name in reports.TABLES}
+    better = published.withColumns({"passed": F.lit(True), "error": F.lit(None).cast("string")})
+    problems = evaluation.per_problem(better)
+    summary = evaluation.with_run_details(evaluation.run_summary(problems), runs)
+    broken = evaluation.problem_errors(better).withColumn("error", F.raise_error(F.lit("lost")))
+    for tables in ((summary, problems.withColumn("row_idx", F.raise_error(F.lit("lost")).cast("bigint")), broken),):
+        with pytest.raises(Exception, match="lost"):
+            reports.write_reports(*tables, out)
+    with monkeypatch.context() as patch:
+        patch.setattr(reports.Manifest, "put", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            plan.evaluate(better, runs, out)
+    after = {name: sorted(map(tuple, reports.read_table(spark, [out], name).collect()), key=repr) for name in reports.TABLES}
+    assert after == before
+    plan.evaluate(better, runs, out)
+    assert {r.num_passed for r in reports.read_summary(spark, [out]).collect()} == {164}
+    assert reports.read_errors(spark, [out]).count() == 0
+
+
+def test_labels_that_look_like_numbers(spark, published, runs, tmp_path):
+    folders = [str(tmp_path / "a b"), str(tmp_path / "c")]
+    for folder, run, label in zip(folders, ("baseline", "finetuned"), ("1", "base")):
+        own = published.filter(F.col("label") == run).withColumn("label", F.lit(label))
+        plan.evaluate(own, runs.withColumn("label", F.lit(label)).limit(1), folder)
+    assert {r.label for r in reports.read_summary(spark, folders).collect()} == {"1", "base"}
+    assert {r.label for r in reports.read_errors(spark, folders).collect()} == {"1", "base"}
+    metrics, changes = plan.compare(spark, folders, "1", "base")
+    assert metrics.filter("line = 1").first().delta == 4.88 and changes.count() == 26
+    for label in ("01", "1", "1.0", "2024-01-01", "true", "null", "__HIVE_DEFAULT_PARTITION__"):
+        own = published.filter("label = 'baseline'").withColumn("label", F.lit(label))
+        plan.evaluate(own, runs.withColumn("label", F.lit(label)).limit(1), folders[0])
+    labels = sorted(r.label for r in reports.read_summary(spark, folders[:1]).collect())
+    assert labels == sorted(["01", "1", "1.0", "2024-01-01", "true", "null", "__HIVE_DEFAULT_PARTITION__"])
+    assert reports.read_problems(spark, folders[:1]).count() == 164 * 7
+
+
+def test_manifests_that_meet(spark, tmp_path, monkeypatch):
+    """Another manifest takes the number between reading and writing."""
+    path = str(tmp_path)
+    manifest = reports.Manifest(spark, path)
+    manifest.put("v1", ["a", "b"])
+    read, other = reports.Manifest._read, []
+
+    def meets(self, number):
+        entries = read(self, number)
+        if not other:
+            other.append(reports.Manifest(spark, path))
+            other[0].put("v2", ["b", None])
+        return entries
+
+    monkeypatch.setattr(reports.Manifest, "_read", meets)
+    manifest.put("v3", ["c"])
+    held = {(e["run"], e["version"]) for e in manifest.runs()}
+    assert held == {("a", "v1"), ("b", "v2"), (None, "v2"), ("c", "v3")}
+    assert sorted(p.name for p in tmp_path.glob("[!.]*")) == [f"manifest-0000000{i}" for i in (1, 2, 3)]

@@ -10,8 +10,10 @@ from codeprep.sources import instructions
 from codeprep.staging import stage
 
 SMALL = "/root/testdata/sf0.001"
-# Writes and reads files through Python.
-PLANNED = sorted(set(QUERIES) - {"code_file_scan"})
+# Through Python, with Arrow: files, whose names and bytes Spark's readers do not take as they are,
+# and tokens, which are looked up and counted in slices.
+ARROW = {"code_file_scan", "encode_lengths", "padded_batches", "funnel_last_steps", "vocab_topk"}
+PLANNED = sorted(set(QUERIES) - ARROW)
 
 
 def plan(df):
@@ -43,14 +45,24 @@ def test_only_needed_columns_are_read(spark):
     assert "html" not in text and "n_chars" not in text
 
 
-def test_the_tokens_of_a_text_meet_once(spark, monkeypatch):
-    """Encoding: a broadcast of the frequent tokens, then one exchange with a row per text."""
+def test_texts_are_encoded_where_they_are(spark, monkeypatch):
+    """Encoding: no row per token, and without rare tokens no exchange at all."""
     plans = {}
     monkeypatch.setattr(tokens, "stage", lambda df, name: plans.update({name: plan(df)}) or stage(df, name))
-    QUERIES["encode_lengths"](spark, SMALL)
-    text = plans["token-ids"]
-    assert "BroadcastHashJoin" in text and "Generate posexplode" in text
-    assert text.count("Exchange hashpartitioning(row_idx") == 1
+    text = plan(QUERIES["encode_lengths"](spark, SMALL))
+    assert "Generate" not in plans["token-ids"] and "Exchange" not in plans["token-ids"] + text
+    monkeypatch.setattr(tokens, "MAX_BROADCAST_TOKENS", 100)
+    text = plan(QUERIES["encode_lengths"](spark, SMALL))
+    assert "Generate" not in plans["token-ids"] and "Exchange" not in plans["token-ids"]
+    assert "CoGroups" in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_only_ids_and_lengths_are_sorted_into_batches(spark, monkeypatch):
+    written = {}
+    monkeypatch.setattr(ranking, "stage", lambda df, name: written.update({name: df.columns}) or stage(df, name))
+    text = plan(QUERIES["padded_batches"](spark, SMALL))
+    assert written["numbered"] == ["source_rank", "row_idx", "key", "n", "_at"]
+    assert "BroadcastNestedLoopJoin" not in text
 
 
 @pytest.mark.parametrize("name", ["chat_replay", "running_pass1"])

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from codeprep.operators import splitting
-from codeprep.operators.ranking import number_rows, smallest_cutoff
+from codeprep.operators import ranking
+from codeprep.operators.ranking import nth_smallest, number_rows, smallest_cutoff
 
 
 def rows(spark, n, parts=4):
@@ -37,6 +38,71 @@ def test_sizes_are_exact_for_tied_ids(spark):
     assert sizes == {"eval": 4, "train": 36}
 
 
+@pytest.mark.parametrize("k", [1, 10, 11, 12, 13])
+def test_sizes_are_exact_for_equal_rows(spark, k):
+    """10 of 12 equal rows are 10, with others before or after them."""
+    equal = spark.range(12).selectExpr("1 as source_rank", "5L as row_idx", "'same' as output", "map(1, 2) as m")
+    others = spark.range(40).selectExpr("2 as source_rank", "id as row_idx", "'own' as output", "map(1, 2) as m")
+    assert splitting.sample_exact(equal, k).count() == min(k, 12)
+    both = equal.unionByName(others).repartition(5)
+    assert splitting.sample_exact(both, k).count() == k
+    sizes = {r.split: r.n_rows for r in splitting.split_sizes(splitting.split_exact(both, k / 52)).collect()}
+    assert sizes == {"eval": k, "train": 52 - k}
+    assert splitting.split_exact(both.limit(0), 0.5).count() == 0
+    assert splitting.split_exact(both, 0.0).filter("split = 'eval'").count() == 0
+
+
+def test_tied_ids_are_told_apart_by_all_columns(spark):
+    rows = [(0, 1, i % 3 or None, None if i % 2 else "a") for i in range(24)]
+    table = spark.createDataFrame(rows, "source_rank int, row_idx long, n int, output string")
+    picks = [sorted(map(tuple, splitting.sample_exact(table.repartition(p), 9).collect()), key=repr) for p in (1, 3, 7)]
+    assert picks[0] == picks[1] == picks[2] and len(picks[0]) == 9
+
+
+@pytest.mark.parametrize("share", [0.0, 0.02, 0.5, 1.0])
+def test_split_by_share_needs_one_pass(spark, share, tmp_path):
+    table = rows(spark, 5000)
+    split = splitting.split_by_share(table, share)
+    text = split._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "Subquery" not in text
+    parts = {r.row_idx: r.split for r in split.collect()}
+    assert len(parts) == 5000
+    held_out = sum(p == "eval" for p in parts.values())
+    assert abs(held_out - 5000 * share) <= 4 * math.sqrt(5000 * share * (1 - share))
+    # A row's part does not depend on the other rows.
+    few = {r.row_idx: r.split for r in splitting.split_by_share(table.filter("row_idx % 7 = 0"), share).collect()}
+    assert few.items() <= parts.items()
+
+
+def test_split_by_share_of_a_stream(spark, tmp_path):
+    table = rows(spark, 300)
+    table.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(table.schema).parquet(str(tmp_path / "in"))
+    query = (
+        splitting.split_by_share(stream, 0.3).writeStream.format("parquet")
+        .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start(str(tmp_path / "out"))
+    )
+    assert query.awaitTermination(120)
+    written = {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert written == {tuple(r) for r in splitting.split_by_share(table, 0.3).collect()}
+
+
+@pytest.mark.parametrize("most", [100_000, 20, 1])
+@pytest.mark.parametrize("kind", ["bigint", "double"])
+def test_nth_smallest(spark, monkeypatch, most, kind):
+    monkeypatch.setattr(ranking, "MOST_RANKED", most)
+    values = [None] * 3 + [5] * 400 + [i * i for i in range(300)] + [7] * 30 + [-4, -4, 10**12]
+    table = spark.createDataFrame([(v,) for v in values], "v bigint").repartition(4).selectExpr(f"cast(v as {kind}) as v")
+    order = sorted(values, key=lambda v: (v is not None, v))
+    for count in (1, 3, 4, 5, 6, 8, 300, 410, 411, 441, 500, len(values) - 1, len(values)):
+        got, value = nth_smallest(table, "v", count), order[count - 1]
+        assert (got.value, got.ties) == (value, order.count(value))
+        assert got.take == count - sum(v is None if value is not None else False for v in order) - sum(
+            v is not None and value is not None and v < value for v in order
+        )
+    assert nth_smallest(table, "v", len(values) + 1) is None
+
+
 def test_sample_not_needed(spark):
     table = rows(spark, 50)
     assert [splitting.sample_exact(table, k).count() for k in (None, 0, 51)] == [50, 50, 50]

@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 from collections import Counter
@@ -41,12 +42,39 @@ def test_vocab(spark, size):
     assert len(got) == len(py_vocab(texts, size))
 
 
+@pytest.mark.parametrize("size, capacity", [(1, 1), (5, 6), (5, 12), (10, 20), (40, 44), (30, 1000)])
+def test_bounded_vocab(spark, monkeypatch, size, capacity):
+    """Whatever the summaries of the tasks hold, the vocabulary is exact."""
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 300)
+    rng = random.Random(size * capacity)
+    # Frequent words, and many that occur once.
+    texts = [" ".join([f"w{int(rng.paretovariate(0.8)) % 60}" for _ in range(40)] + [f"once{i}" , "x"]) for i in range(120)]
+    got = tokens.fit_vocab(table(spark, texts + ["", None], 5), size, capacity).collect()
+    assert {r.token: (r.n, r.id) for r in got} == py_vocab(texts, size)
+
+
+def test_bounded_vocab_shuffles_no_more_with_more_tokens(spark, monkeypatch):
+    written = {}
+    stage = tokens.stage
+
+    def kept(df, name):
+        written[name] = stage(df, name)
+        return written[name]
+
+    monkeypatch.setattr(tokens, "stage", kept)
+    texts = [" ".join(["the"] * 30 + ["of"] * 20 + [f"once{i}_{j}" for j in range(50)]) for i in range(100)]
+    got = tokens.fit_vocab(table(spark, texts, 3), 2, 20).collect()
+    assert [(r.token, r.n, r.id) for r in sorted(got, key=lambda r: r.id)] == [("the", 3000, 3), ("of", 2000, 4)]
+    assert written["token-summary"].count() <= 3 * 21
+    assert written["likely-tokens"].count() <= 20 and written["token-counts"].count() <= 20
+
+
 @pytest.mark.parametrize("size", [None, 10])
 @pytest.mark.parametrize("most, chars", [(500_000, 32_000_000), (5, 1000), (500_000, 50), (5, 10)])
 @pytest.mark.parametrize("limit", [4096, 10])
 def test_encode(spark, monkeypatch, size, most, chars, limit):
     monkeypatch.setattr(tokens, "MAX_BROADCAST_TOKENS", most)
-    monkeypatch.setattr(tokens, "MAX_BROADCAST_CHARS", chars)
+    monkeypatch.setattr(tokens, "MAX_BROADCAST_BYTES", chars)
     texts = corpus()
     vocab = tokens.fit_vocab(table(spark, texts), size)
     rows = tokens.encode(table(spark, texts), vocab, max_tokens=limit).collect()
@@ -86,6 +114,66 @@ def test_batches(spark, n_shards):
         assert sizes[:-1] == [4] * (len(sizes) - 1) and 1 <= sizes[-1] <= 4
 
 
+@pytest.mark.parametrize("batch_rows", [1, 4, 7, 1000])
+def test_one_short_batch_in_all(spark, batch_rows):
+    texts = corpus()
+    encoded = tokens.encode(table(spark, texts), tokens.fit_vocab(table(spark, texts)))
+
+    def build(parts):
+        batches = tokens.padded_batches(encoded.repartition(parts), batch_rows=batch_rows)
+        return sorted(map(tuple, batches.collect()))
+
+    rows = build(1)
+    assert rows == build(17)
+    # In the order of a hash of the ids, over all rows.
+    order = sorted(range(len(texts)), key=lambda i: hashlib.md5(f"42:{i % 2}:{i}".encode()).hexdigest())
+    vocab = py_vocab(texts)
+    expected = []
+    for n in range(0, len(order), batch_rows):
+        members = {i: py_encode(texts[i], vocab, 4096) for i in order[n : n + batch_rows]}
+        width = -(-max(map(len, members.values())) // 8) * 8
+        expected += [(n // batch_rows, width, i % 2, i, ids + [0] * (width - len(ids))) for i, ids in members.items()]
+    assert [r[:5] for r in rows] == sorted(expected)
+    assert all(r[5] == [int(x != 0) for x in r[4]] and r[6] == [x or -100 for x in r[4]] for r in rows)
+
+
+def test_a_slice_names_a_rare_token_once(spark, monkeypatch):
+    """What is dealt out by token is bounded by the slices, not by the texts."""
+    monkeypatch.setattr(tokens, "MAX_BROADCAST_TOKENS", 1)
+    written = {}
+    stage = tokens.stage
+
+    def kept(df, name):
+        written[name] = stage(df, name)
+        return written[name]
+
+    monkeypatch.setattr(tokens, "stage", kept)
+    texts = corpus() * 3
+    vocab = tokens.fit_vocab(table(spark, texts))
+    rows = tokens.encode(table(spark, texts, 2), vocab).collect()
+    expected = py_vocab(texts)
+    assert all(r.input_ids == py_encode(texts[r.row_idx], expected, 4096) for r in rows)
+    named = written["token-ids"].select(F.explode("rest")).count()
+    assert 0 < named <= 2 * len(expected)
+
+
+@pytest.mark.parametrize("most", [500_000, 3])
+def test_slices_long_texts_and_nulls(spark, monkeypatch, most):
+    monkeypatch.setattr(tokens, "MAX_BROADCAST_TOKENS", most)
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 40)
+    texts = ["", "a b c " * 30, "x", "", "é" * 100 + " y", "b c d e f", "\x01 a"]
+    rows = [(0, i, t) for i, t in enumerate(texts)] + [(None, None, "a zz"), (1, None, None)]
+    df = spark.createDataFrame(rows, "source_rank int, row_idx long, text string").coalesce(1)
+    got = tokens.encode(df, tokens.fit_vocab(df)).collect()
+    vocab = py_vocab([t or "" for _, _, t in rows])
+    assert {(r.source_rank, r.row_idx): r.input_ids for r in got} == {
+        (a, b): py_encode(t or "", vocab, 4096) for a, b, t in rows
+    }
+    assert len(got) == len(rows)
+    nothing = tokens.encode(df, tokens.fit_vocab(df.limit(0))).collect()
+    assert all(r.input_ids == [1] * (len(r.input_ids) - 1) + [2] for r in nothing)
+
+
 def test_only_rare_tokens_move(spark, monkeypatch):
     """No table has a row per token: frequent tokens stay with their text."""
     written = {}
