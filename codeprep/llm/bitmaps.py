@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -30,23 +33,29 @@ def held(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 != 0
 
 
-def without(documents: DataFrame, key: Column, bad: DataFrame, id_col: str) -> DataFrame:
-    """The rows whose ``key``, a hash, and id are not in ``_bad`` and ``_id`` of a row of ``bad``.
+def parted(
+    documents: DataFrame, key: Column, names: Sequence[Column], listed: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """The rows whose names are those of a row of ``listed``, and all others.
 
-    Rows outside the bitmap of the bad keys stay where they are; only the others are joined
-    with them. As the bad keys grow the bitmap lets more rows through to the join. A null key
-    is not bad.
+    ``listed`` holds ``key``, a hash, and the names, by position; nulls equal nulls. Rows outside
+    the bitmap of the listed keys stay where they are; only the others are joined. As the list
+    grows the bitmap lets more rows through to the join. A null key is not listed. Columns of
+    the rows may have any name.
     """
     spark = documents.sparkSession
-    bits = spark.sparkContext.broadcast(bitmap(bad, "_bad"))
+    listed = listed.toDF(*[f"_{uuid.uuid4().hex}" for _ in listed.columns])
+    bits = spark.sparkContext.broadcast(bitmap(listed, listed.columns[0]))
 
     @F.pandas_udf("boolean")
-    def may_be_bad(keys: pd.Series) -> pd.Series:
+    def may_be_listed(keys: pd.Series) -> pd.Series:
         known = keys.notna().to_numpy()
         values = keys.fillna(0).to_numpy(np.int64).view(np.uint64)
         return pd.Series(known & held(bits.value, values))
 
-    doubtful = documents.filter(may_be_bad(key))
-    same = (key == F.col("_bad")) & F.col(id_col).eqNullSafe(F.col("_id"))
-    checked = doubtful.join(bad, same, "left_anti")
-    return documents.filter(~may_be_bad(key)).unionByName(checked)
+    doubtful = documents.filter(may_be_listed(key))
+    same = key == F.col(listed.columns[0])
+    for name, column in zip(names, listed.columns[1:]):
+        same &= name.eqNullSafe(F.col(column))
+    others = documents.filter(~may_be_listed(key)).unionByName(doubtful.join(listed, same, "left_anti"))
+    return doubtful.join(listed, same, "left_semi"), others

@@ -34,6 +34,9 @@ from pyspark.sql import functions as F
 
 from codeprep.staging import stage
 
+# Characters of roles and texts by which turns are dealt to ranges.
+PREFIX = 64
+
 
 @dataclass(frozen=True)
 class Template:
@@ -145,11 +148,19 @@ def format_conversations(conversations: DataFrame, template: Template = Template
         F.col("role"),
         F.col("text"),
     ]
+    # Borders are sampled to the driver, so they hold the beginnings of roles and texts only. A
+    # role that is longer is larger than its beginning, hence the nulls last.
+    whole_role = F.length(F.coalesce("role", F.lit(""))) <= PREFIX
+    ranges = [
+        *order[:2],
+        F.substring("role", 1, PREFIX),
+        F.when(whole_role, F.substring(F.coalesce("text", F.lit("")), 1, PREFIX)).asc_nulls_last(),
+    ]
     written = stage(
         conversations.select(
             F.col("conv_id").cast("bigint").alias("conv_id"), "turn", "role", "text"
         )
-        .repartitionByRange(*order)
+        .repartitionByRange(*ranges)
         .sortWithinPartitions(*order)
         .select("conv_id", "role", "text")
         .mapInArrow(_format(template), _FORMATTED),

@@ -5,20 +5,17 @@ the places of all matches, leftmost first and without overlap, counted in code p
 without a match are left after one test.
 
 A candidate string is a run of ``[A-Za-z0-9+/_=-]`` of ``WINDOW`` or more characters that holds
-a digit and a letter. For every character class that its whole alphabet fits (lower or upper
-hex, alphanumeric, base64) a window of ``WINDOW`` characters slides over it. The counts of the
+a digit and a letter. For every character class (lower or upper hex, alphanumeric, base64) a
+window of ``WINDOW`` characters slides over the longest runs of its alphabet in it, as far as
+these are candidates themselves: a key that is glued to a name, a path or ``0x`` is judged by its
+own class, too. The counts of the
 characters in the window are kept, and one step changes two of them and the running sum of
 c * log2(c); the entropy is log2(WINDOW) - sum / WINDOW. Windows above the class's threshold
-that touch are one span. Candidates on the allow list (identifiers like UUIDs, dates,
+that touch, of one class or several, are one span. Candidates on the allow list (identifiers like UUIDs, dates,
 addresses, plain words joined by signs, few different characters) are not reported; neither
 are spans inside a span of a fixed pattern. These spans are of kind ``entropy``, the fixed
 patterns' spans stay whatever the method says.
 
-A secret glued to a name, a path or ``0x`` shares its candidate with them and often fits no
-class. With ``glued`` the longest runs of each class's alphabet inside a candidate, if they are
-candidates themselves, are scanned with that class's threshold as well; touching spans of a
-candidate are one. Nothing found without it is lost. Off, the spans are those of the SQL.
-
 Null and empty texts have no spans. Rows stay as they are, repeated or not, with a null id or
 not; further columns are kept by ``with_secrets``. Lists only grow with the matches in a text.
 """
@@ -26,6 +23,7 @@ not; further columns are kept by ``with_secrets``. Lists only grow with the matc
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -55,7 +53,9 @@ CLASSES = (
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",  # UUID
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[0-9T_-]*$",  # date, time
-    r"^[A-Za-z]*[0-9]*([+/_=-]+([A-Za-z]+|[0-9]+))*[+/_=-]*$",  # words and numbers joined by signs
+    # Words and numbers joined by signs. Nothing is given back: a long run of groups that could be
+    # would take the stack.
+    r"^[A-Za-z]*+[0-9]*+(?:[+/_=-]++(?:[A-Za-z]++|[0-9]++))*+[+/_=-]*+$",
     r"^([0-9]+[A-Za-z]?|[A-Za-z]+[0-9]{0,4})$",  # a number with a unit, a word with a number
 )
 
@@ -143,72 +143,62 @@ def _bits(count: Column) -> Column:
 def _random_stretches(word: Column, alphabet: str, threshold: float) -> Column:
     """Array of (start, stop) inside ``word`` where windows reach the threshold.
 
-    One pass: at each character its count goes up and that of the one that leaves goes down.
+    One pass over the letters that enter the window, each with the one that leaves it: the count
+    of the one goes up and that of the other goes down. The last stretch is kept beside the
+    finished ones, so a window costs the same however long the word is.
     """
     letters = F.split(word, "")
-    size = len(alphabet)
+    before = F.concat(F.array_repeat(F.lit(None).cast("string"), WINDOW), letters)
+    steps = F.zip_with(
+        letters,
+        F.slice(before, 1, F.size(letters)),
+        lambda a, b: F.struct(
+            (F.instr(F.lit(alphabet), a) - 1).alias("enters"), (F.instr(F.lit(alphabet), b) - 1).alias("leaves")
+        ),
+    )
+    none = F.array().cast("array<struct<start:int,stop:int>>")
     state = F.struct(
-        F.array_repeat(F.lit(0), size).alias("counts"),
+        F.array_repeat(F.lit(0), len(alphabet)).alias("counts"),
         F.lit(0.0).alias("total"),
-        F.array().cast("array<struct<start:int,stop:int>>").alias("found"),
+        F.lit(0).alias("at"),
+        F.lit(-1).alias("start"),
+        F.lit(-1).alias("stop"),
+        none.alias("found"),
     )
 
-    def step(acc, i):
-        entering = F.instr(F.lit(alphabet), F.get(letters, i)) - 1
-        leaves = i >= WINDOW
-        leaving = F.when(leaves, F.instr(F.lit(alphabet), F.get(letters, i - WINDOW)) - 1).otherwise(-1)
-        up, down = F.get(acc["counts"], entering), F.get(acc["counts"], leaving)
+    def last(acc):
+        return F.array(F.struct(acc["start"], acc["stop"]))
+
+    def step(acc, x):
+        up, down = F.get(acc["counts"], x["enters"]), F.get(acc["counts"], x["leaves"])
         changed = (
-            F.when(entering == leaving, F.lit(0.0))
-            .when(leaves, _bits(up + 1) - _bits(up) + _bits(down - 1) - _bits(down))
-            .otherwise(_bits(up + 1) - _bits(up))
+            F.when(x["leaves"].isNull(), _bits(up + 1) - _bits(up))
+            .when(x["enters"] == x["leaves"], F.lit(0.0))
+            .otherwise(_bits(up + 1) - _bits(up) + _bits(down - 1) - _bits(down))
         )
         counts = F.transform(
             acc["counts"],
-            lambda c, k: c + (k == entering).cast("int") - (k == leaving).cast("int"),
-        )
-        total = acc["total"] + changed
-        random = (i >= WINDOW - 1) & (math.log2(WINDOW) - total / WINDOW > threshold)
-        begin = i - (WINDOW - 1)
-        last = F.try_element_at(acc["found"], F.lit(-1))
-        grown = F.when(
-            last["stop"] >= begin,
-            F.concat(
-                F.slice(acc["found"], 1, F.size(acc["found"]) - 1),
-                F.array(F.struct(last["start"].alias("start"), (i + 1).alias("stop"))),
-            ),
-        ).otherwise(
-            F.concat(acc["found"], F.array(F.struct(begin.alias("start"), (i + 1).alias("stop"))))
+            lambda c, k: c + (k == x["enters"]).cast("int") - F.coalesce(k == x["leaves"], F.lit(False)).cast("int"),
         )
+        total, stop = acc["total"] + changed, acc["at"] + 1
+        begin = stop - WINDOW
+        random = (begin >= 0) & (math.log2(WINDOW) - total / WINDOW > threshold)
+        new = random & (begin > acc["stop"])
         return F.struct(
             counts.alias("counts"),
             total.alias("total"),
-            F.when(random, grown).otherwise(acc["found"]).alias("found"),
+            stop.alias("at"),
+            F.when(new, begin).otherwise(acc["start"]).alias("start"),
+            F.when(random, stop).otherwise(acc["stop"]).alias("stop"),
+            F.when(new & (acc["stop"] >= 0), F.concat(acc["found"], last(acc))).otherwise(acc["found"]).alias("found"),
         )
 
     return F.aggregate(
-        F.sequence(F.lit(0), F.length(word) - 1), state, step, lambda acc: acc["found"]
+        steps, state, step, lambda acc: F.when(acc["stop"] >= 0, F.concat(acc["found"], last(acc))).otherwise(acc["found"])
     )
 
 
 def _entropy_spans(candidate: Column) -> Column:
-    """Spans of kind entropy in one candidate (start, word); by the smallest class that it fits."""
-    word = candidate["word"]
-    stretches = F.lit(None).cast("array<struct<start:int,stop:int>>")
-    for _, alphabet, threshold in reversed(CLASSES):
-        fits = F.length(F.translate(word, alphabet, "")) == 0
-        stretches = F.when(fits, _random_stretches(word, alphabet, threshold)).otherwise(stretches)
-    return F.transform(
-        stretches,
-        lambda s: F.struct(
-            (candidate["start"] + s["start"]).alias("start"),
-            (candidate["start"] + s["stop"]).alias("stop"),
-            F.lit(KINDS.index("entropy")).alias("kind"),
-        ),
-    )
-
-
-def _glued_spans(candidate: Column) -> Column:
     """Spans of kind entropy in one candidate (start, word), over the runs of every class in it."""
     none = F.array().cast("array<struct<start:int,stop:int>>")
 
@@ -254,10 +244,11 @@ def _is_candidate(word: Column) -> Column:
     return word.rlike("[0-9]") & word.rlike("[A-Za-z]") & ~allowed & ~few
 
 
-def with_secrets(documents: DataFrame, text_col: str = "text", base: str = "base_spans", spans: str = "spans", glued: bool = False) -> DataFrame:
+def with_secrets(documents: DataFrame, text_col: str = "text", base: str = "base_spans", spans: str = "spans") -> DataFrame:
     """Adds the spans of the fixed patterns and all spans, as sorted arrays of (start, stop, kind).
 
-    Kinds are numbers, places in ``KINDS``. ``glued`` finds secrets inside longer candidates too.
+    Kinds are numbers, places in ``KINDS``. Columns that are named like the two new ones are
+    replaced, all others kept.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     long_enough = lambda word: F.length(F.regexp_extract(word, ASSIGN, 2)) >= ASSIGN_LENGTH
@@ -273,14 +264,15 @@ def with_secrets(documents: DataFrame, text_col: str = "text", base: str = "base
         text.rlike(CANDIDATE),
         F.filter(_places(text, CANDIDATE), lambda x: _is_candidate(x["word"])),
     ).otherwise(F.array().cast("array<struct<start:int,word:string>>"))
-    found = documents.withColumn(base, fixed).withColumn("_candidates", candidates)
-    random = F.flatten(F.transform("_candidates", _glued_spans if glued else _entropy_spans))
+    own = f"_{uuid.uuid4().hex}"
+    found = documents.withColumn(base, fixed).withColumn(own, candidates)
+    random = F.flatten(F.transform(own, _entropy_spans))
     new = F.filter(
         random,
         lambda r: ~F.exists(base, lambda b: (b["start"] <= r["start"]) & (r["stop"] <= b["stop"])),
     )
-    every = F.when(F.size("_candidates") > 0, F.array_sort(F.concat(base, new), _by_start_then_kind))
-    return found.withColumn(spans, every.otherwise(F.col(base))).drop("_candidates")
+    every = F.when(F.size(own) > 0, F.array_sort(F.concat(base, new), _by_start_then_kind))
+    return found.withColumn(spans, every.otherwise(F.col(base))).drop(own)
 
 
 def _by_start_then_kind(a: Column, b: Column) -> Column:

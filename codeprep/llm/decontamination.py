@@ -260,9 +260,12 @@ def find_contamination(
 
 
 def remove_contaminated(documents: DataFrame, benchmark: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
-    """Documents without the contaminated ones; rows are told apart by a hash of id and text."""
+    """Documents without the contaminated ones; rows are told apart by a hash of id and text.
+
+    Further columns may have any name and type.
+    """
     key = F.xxhash64(F.col(id_col), F.xxhash64(F.col(text_col)))
-    named = F.struct(key.alias("_bad"), F.col(id_col).alias("_id")).alias("key")
+    named = F.struct(key.alias("hash"), F.col(id_col).alias("id")).alias("key")
     found = find_contamination(documents.select(named, F.col(text_col).alias("body")), benchmark, "key", "body")
     bad = stage(found.filter("contaminated").select("key.*").distinct(), "contaminated")
-    return bitmaps.without(documents, key, bad, id_col)
+    return bitmaps.parted(documents, key, [F.col(id_col)], bad)[1]

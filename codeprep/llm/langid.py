@@ -180,7 +180,8 @@ def fit(documents: DataFrame, id_col: str, text_col: str, lang_col: str) -> Mode
         .join(F.broadcast(chosen.select("id", "lang", "place")), ["id", "lang"])
         .select("lang", "place", "text")
         .mapInArrow(_grams_of, "lang string, place int, grams binary")
-        .dropDuplicates(["lang", "place"])
+        # Of the texts of one id the smallest counts, whatever the partitions.
+        .groupBy("lang", "place").agg(F.min("grams").alias("grams"))
         .orderBy("lang", "place")
         .collect()
     )

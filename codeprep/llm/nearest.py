@@ -13,16 +13,17 @@ time and loses no neighbour. Candidates that survive
 are scored on the original vectors in double precision, each pair by the same sums, so equal
 vectors have equal scores.
 
-A list of any size is dealt out in blocks of about ``BLOCK`` vectors, and the queries that probe
-it in chunks of ``QUERIES``; a task holds one block and one chunk and keeps ``k`` candidates per
-query. What is sent to all tasks is bounded: the sample of at most ``SAMPLE`` ids, a vector each, its centres
+A list of any size is dealt out in blocks, and the queries that probe it in chunks, of about
+``DEALT`` numbers; a task holds one block and one chunk, compares them ``BLOCK`` by ``QUERIES`` at a
+time and keeps ``k`` candidates per query. So a vector is sent once for each chunk of its own list,
+which is once unless very many queries probe it. What is sent to all tasks is bounded: the sample of at most ``SAMPLE`` ids, a vector each, its centres
 and the rotation. How many lists are probed is fitted on the sample: enough that ``RECALL`` of its
 vectors' neighbours within the sample, which lie farther than those among all, are in them, and
 always enough to hold ``4 * k`` ids.
 
 Vectors that are null, empty, zero, or hold a null or a non-finite number take no part, nor do
-rows without an id. Vectors compare with those of the most frequent length; others take no
-part. Rows that repeat an id are one candidate, by their best score, and one query, the smallest of
+rows without an id. Vectors compare with those of their own length; each length is a set of its
+own, with its own index, one after the other. Further columns are not looked at. Rows that repeat an id are one candidate, by their best score, and one query, the smallest of
 their vectors. Fewer candidates than ``k`` are all returned. Empty tables give an empty result.
 """
 
@@ -44,6 +45,7 @@ PER_LIST = 64  # sampled vectors per centre
 MOST_LISTS = 64
 BLOCK = 2048
 QUERIES = 512
+DEALT = 1 << 20  # numbers in the vectors that are dealt to a task together
 COLUMNS = 16
 FEW = 0.1  # share of pairs below which they are followed one by one
 PAIRS = 1 << 15
@@ -55,19 +57,16 @@ _PAIRS = "query_id bigint, vec_id bigint, score double"
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``(vec_id, vector)`` of rows that take part, vectors as doubles of the most frequent length."""
+    """``(vec_id, vector)`` of rows that take part, vectors as doubles."""
     vector = F.col(vector_col).cast("array<double>")
     finite = F.forall(
         "vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     )
-    rows = (
+    return (
         vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), vector.alias("vector"))
         .filter(F.col("vec_id").isNotNull() & F.col("vector").isNotNull())
         .filter(finite & F.exists("vector", lambda x: x != 0))
     )
-    lengths = rows.groupBy(F.size("vector").alias("n")).count()
-    most = lengths.orderBy(F.col("count").desc(), "n").first()
-    return rows.filter(F.size("vector") == (most.n if most else 0))
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -246,7 +245,7 @@ def _scan(index):
         query_ids, ids = left["query_id"].to_numpy(), right["vec_id"].to_numpy()
         queries, vectors = np.stack(left["vector"].to_list()), np.stack(right["vector"].to_list())
         found = []
-        # A block is larger than planned if its list grew by chance; go on in steps.
+        # In steps, so that the distances held at once stay few.
         for a in range(0, len(ids), BLOCK):
             for b in range(0, len(query_ids), QUERIES):
                 i, j, score = scan_block(
@@ -290,11 +289,27 @@ def nearest(
     """``(query_id, rank, vec_id, score)``: the k nearest found of every row for which ``is_query``
     (a condition on the column ``vec_id``) holds, nearest first, ties to the smaller id.
     """
-    spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
+    size = F.size("vector")
+    lengths = [r[0] for r in rows.select(size).distinct().collect()]
+    found = vectors.sparkSession.createDataFrame([], _PAIRS)
+    for length in sorted(lengths):
+        found = found.unionByName(_candidates(rows.filter(size == length), is_query, k))
+    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    return (
+        found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        .withColumn("rank", F.row_number().over(best))
+        .filter(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score")
+    )
+
+
+def _candidates(rows: DataFrame, is_query: Column, k: int) -> DataFrame:
+    """Pairs (query_id, vec_id, score) of vectors of one length that hold the k nearest found."""
+    spark = rows.sparkSession
     fitted = fit(rows, k)
     if fitted is None:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+        return spark.createDataFrame([], _PAIRS)
     index = spark.sparkContext.broadcast(fitted)
     # A row that is there several times is one candidate, whatever the number.
     listed = stage(
@@ -308,26 +323,32 @@ def nearest(
         sizes[row["list"]], members[row["list"]] = row["rows"], row["ids"]
     queries = listed.filter(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector"))
     queries = stage(queries, "queries")
-    chunks = max(1, -(-queries.count() // QUERIES))
-    blocks = F.array(*[F.lit(int(max(1, -(-n // BLOCK)))) for n in sizes])
-    probes = (
-        queries.mapInArrow(
-            _to_probes(index, members), "query_id bigint, vector array<double>, list int"
-        )
-        .withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.get(blocks, F.col("list")) - 1)))
+    probes = stage(
+        queries.mapInArrow(_to_probes(index, members), "query_id bigint, vector array<double>, list int"), "probes"
     )
-    dealt = listed.withColumn(
-        "block", F.pmod(F.xxhash64("vec_id", "vector"), F.get(blocks, F.col("list"))).cast("int")
-    ).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+    asked = np.zeros(len(sizes), np.int64)
+    for row in probes.groupBy("list").count().collect():
+        asked[row["list"]] = row["count"]
+    rows_dealt = max(BLOCK, DEALT // fitted.vectors.shape[1])
+
+    def pieces(counts: np.ndarray) -> Column:
+        """In how many pieces each list's vectors or queries are dealt out."""
+        each = F.array(*[F.lit(int(max(1, -(-n // rows_dealt)))) for n in counts])
+        return F.get(each, F.col("list"))
+
+    def piece(counts: np.ndarray, *of: str) -> Column:
+        return F.pmod(F.xxhash64(*of), pieces(counts)).cast("int")
+
+    def every(counts: np.ndarray) -> Column:
+        return F.explode(F.sequence(F.lit(0), pieces(counts) - 1))
+
+    # Vectors meet the queries that probe their own list only.
+    left = probes.withColumn("chunk", piece(asked, "query_id")).withColumn("block", every(sizes))
+    wanted = F.array(*[F.lit(bool(n)) for n in asked])
+    right = (
+        listed.filter(F.get(wanted, F.col("list")))
+        .withColumn("block", piece(sizes, "vec_id", "vector")).withColumn("chunk", every(asked))
+    )
     keys = ["list", "block", "chunk"]
-    found = (
-        probes.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(_scan(index), _PAIRS)
-    ).unionByName(queries.mapInArrow(_from_sample(index), _PAIRS))
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (
-        found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-        .withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_scan(index), _PAIRS)
+    return found.unionByName(queries.mapInArrow(_from_sample(index), _PAIRS))

@@ -31,7 +31,14 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN it USING (doc_id)
 
 # \x27 is the single quote, which would end the literal.
 ASSIGN = r"(?i:password|passwd|secret|token|api_?key)[\"\x27]?\x20*[:=]\x20*[\"\x27]?([A-Za-z0-9+/_.=-]+)"
-ACCESS, HEX, CANDIDATE = "AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}", "[A-Za-z0-9+/_=-]{20,}"
+ACCESS, HEX = "AKIA[A-Z0-9]{16,}", "[0-9a-f]{24,}"
+# Runs of each class of characters, and the entropy above which a window of one is random.
+RUNS = (("[0-9a-f]{20,}", 3.05), ("[0-9A-F]{20,}", 3.05), ("[0-9A-Za-z]{20,}", 3.72), ("[A-Za-z0-9+/_=-]{20,}", 3.85))
+OF_RUNS = " ".join(
+    f"UNION ALL SELECT doc_id, {kind}, regexp_extract_all(text, '{run}'), [], string_split_regex(text, '{run}') FROM d"
+    for kind, (run, _) in enumerate(RUNS, 3)
+)
+THRESHOLDS = [threshold for _, threshold in RUNS]
 
 OP5 = rf"""
 WITH d AS (
@@ -41,7 +48,7 @@ WITH d AS (
          string_split_regex(text, '{ASSIGN}') AS ps FROM d
   UNION ALL SELECT doc_id, 1, regexp_extract_all(text, '{ACCESS}'), [], string_split_regex(text, '{ACCESS}') FROM d
   UNION ALL SELECT doc_id, 2, regexp_extract_all(text, '{HEX}'), [], string_split_regex(text, '{HEX}') FROM d
-  UNION ALL SELECT doc_id, 3, regexp_extract_all(text, '{CANDIDATE}'), [], string_split_regex(text, '{CANDIDATE}') FROM d
+  {OF_RUNS}
 ), p AS (
   SELECT doc_id, kind, ms[i] AS word, g[i] AS secret,
          CAST(list_sum(list_transform(ps[1:i], lambda x: length(x)))
@@ -50,23 +57,23 @@ WITH d AS (
 ), base AS (
   SELECT doc_id, kind, a, a + length(word) AS b FROM p WHERE kind IN (1, 2) OR (kind = 0 AND length(secret) >= 6)
 ), cand AS (
-  SELECT doc_id, a, word,
-         CASE WHEN regexp_full_match(word, '[0-9a-f]+') OR regexp_full_match(word, '[0-9A-F]+') THEN 3.05
-              WHEN regexp_full_match(word, '[0-9A-Za-z]+') THEN 3.72 ELSE 3.85 END AS threshold
-  FROM p WHERE kind = 3 AND regexp_matches(word, '[0-9]') AND regexp_matches(word, '[A-Za-z]')
+  SELECT doc_id, a, word, {THRESHOLDS}[kind - 2] AS threshold
+  FROM p WHERE kind >= 3 AND regexp_matches(word, '[0-9]') AND regexp_matches(word, '[A-Za-z]')
     AND NOT regexp_full_match(word, '[0-9a-fA-F]{{8}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{4}}-[0-9a-fA-F]{{12}}')
     AND NOT regexp_full_match(word, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}[0-9T_-]*')
     AND NOT regexp_full_match(word, '[A-Za-z]*[0-9]*([+/_=-]+([A-Za-z]+|[0-9]+))*[+/_=-]*')
     AND NOT regexp_full_match(word, '[0-9]+[A-Za-z]?|[A-Za-z]+[0-9]{{0,4}}')
     AND len(list_distinct(string_split(word, ''))) >= 8
 ), win AS (
-  SELECT doc_id, a, i, i - lag(i) OVER (PARTITION BY doc_id, a ORDER BY i) AS step
-  FROM cand, unnest(range(0, length(word) - 19)) AS t(i)
+  SELECT DISTINCT doc_id, a + i AS place FROM cand, unnest(range(0, length(word) - 19)) AS t(i)
   WHERE list_aggregate(string_split(substr(word, i + 1, 20), ''), 'entropy') > threshold
+), steps AS (
+  SELECT doc_id, place, place - lag(place) OVER (PARTITION BY doc_id ORDER BY place) AS step FROM win
 ), isles AS (
-  SELECT doc_id, a, i, count(CASE WHEN step > 20 THEN 1 END) OVER (PARTITION BY doc_id, a ORDER BY i) AS isle FROM win
+  SELECT doc_id, place, count(CASE WHEN step > 20 THEN 1 END) OVER (PARTITION BY doc_id ORDER BY place) AS isle
+  FROM steps
 ), random AS (
-  SELECT doc_id, 3 AS kind, a + min(i) AS a, a + max(i) + 20 AS b FROM isles AS s GROUP BY doc_id, s.a, isle
+  SELECT doc_id, 3 AS kind, min(place) AS a, max(place) + 20 AS b FROM isles GROUP BY doc_id, isle
 ), every AS (
   SELECT *, true AS fixed FROM base
   UNION ALL SELECT *, false FROM random AS r

@@ -13,7 +13,8 @@ them.
 
 Documents without words have fingerprint zero and link like any other. Null texts are empty.
 A null id is kept but never is a component's id; a component of only null ids has none.
-Repeated rows get the same result. An empty table gives an empty result.
+Repeated rows get the same result. An empty table gives an empty result. Further columns are not
+looked at.
 """
 
 from __future__ import annotations
@@ -223,33 +224,36 @@ def keep_one(
 ) -> DataFrame:
     """One row of each group of near copies: the one with the smallest id.
 
-    Of rows that repeat this id the one with the smallest text stays. Rows without an id stay,
-    unless ``without_ids``: then they are named by a hash of their text and are copies like any
-    other. A group with an id keeps none of them, any other keeps the one of smallest hash, of
-    equal texts the smallest row (columns must have an order).
+    Rows are named by their id and two hashes of their text, so unlike texts under one id are in
+    groups of their own. Of several texts of the smallest id the one of smallest hash stays, of
+    rows with one id and text the smallest row (in the order of its JSON if it holds a map).
+
+    Rows without an id stay, unless ``without_ids``: then they are copies like any other, and a
+    group with an id keeps none of them. Further columns may have any name and type.
     """
-    none, by_text = F.col(id_col).isNull(), F.xxhash64(text_col)
+    row_id, text = F.col(id_col), F.col(text_col)
+    hashes = [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
     # Rows with an id are smaller.
-    name = F.struct(none.alias("none"), F.col(id_col).alias("id"), F.when(none, by_text).alias("hash"))
-    named = documents.select(name.alias("name"), F.col(text_col).alias("body"))
+    name = F.struct(row_id.isNull().alias("none"), row_id.alias("id"), *[h.alias(f"hash{i}") for i, h in enumerate(hashes)])
+    named = documents.select(name.alias("name"), text.alias("body"))
     places = stage(near_copies(named, "name", "body"), "near-copies")
-    key = F.when(F.col(id_col).isNotNull(), F.xxhash64(id_col))
-    gone = places.filter(F.col("name.id") != F.col("component_id.id")).select(
-        F.xxhash64("name.id").alias("_bad"), F.col("name.id").alias("_id")
-    )
-    kept = bitmaps.without(documents.filter(~none), key, stage(gone.distinct(), "copies"), id_col)
-    repeated = places.filter("NOT name.none").groupBy("name.id").count().filter("count > 1")
-    if not repeated.isEmpty():
-        place = Window.partitionBy(id_col).orderBy(text_col)
-        kept = kept.withColumn("_place", F.row_number().over(place)).filter("_place = 1")
-    kept = kept.select(*documents.columns)
-    # Rows without an id go round the window: they would all be in one partition of it.
-    others = documents.filter(none)
-    if without_ids and not places.filter("name.none").isEmpty():
-        copies = places.filter("name.none AND NOT name <=> component_id").select(F.col("name.hash").alias("_hash"))
-        others = (
-            others.groupBy(by_text.alias("_hash")).agg(F.min(F.struct(*documents.columns)).alias("_row"))
-            .join(copies.distinct(), "_hash", "left_anti")
-            .select("_row.*")
-        )
-    return kept.unionByName(others)
+    if not without_ids:
+        places = places.filter("NOT name.none")
+    parts = [F.col(f"name.{part}") for part in ("id", "hash0", "hash1")]
+    first = F.col("name") == F.col("component_id")
+    gone = places.filter(~first).select(F.xxhash64(*parts[:2]), *parts).distinct()
+    often = places.filter(first).groupBy("name").count().filter("count > 1").select(F.xxhash64(*parts[:2]), *parts)
+    key = F.xxhash64(row_id, hashes[0])
+    names = [row_id, *hashes]
+    _, kept = bitmaps.parted(documents, key, names, stage(gone, "copies"))
+    often = stage(often, "repeated-rows")
+    if often.isEmpty():
+        return kept
+    # Only these rows meet, one row per task and name.
+    repeated, kept = bitmaps.parted(kept, key, names, often)
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    has_map = any("map<" in kind for _, kind in documents.dtypes)
+    smallest = F.min_by(row, F.to_json(row)) if has_map else F.min(row)
+    own = [f"_{i}" for i in range(len(names))]
+    grouped = repeated.groupBy(*[n.alias(c) for n, c in zip(names, own)]).agg(smallest.alias("row"))
+    return kept.unionByName(grouped.select("row.*"))

@@ -43,14 +43,14 @@ COVER = (1, 5, 11, 24, 25, 27)
 ANCHOR = 20
 LAST = 2**63 - 1
 
-_MARKS = "doc bigint, tag int, pos int"
+_MARKS = "doc bigint, tag binary, pos int"
 
 
 def _documents(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Texts under a number that orders them and a tag that tells rows of one id apart."""
+    """Texts under a number that orders them and a tag of 96 bits that tells rows of one id apart."""
     return documents.select(
         F.coalesce(F.col(id_col).cast("bigint"), F.lit(LAST)).alias("doc"),
-        F.hash(F.col(text_col)).alias("tag"),
+        F.unhex(F.substring(F.md5(F.coalesce(F.col(text_col), F.lit(""))), 1, 24)).alias("tag"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     )
 
@@ -122,7 +122,7 @@ def _stream_groups(batches: Iterator[pa.RecordBatch], keys: list[str], later_onl
     With ``later_only`` not those of the smallest document. Holds a batch, and of a group that
     goes on into the next batch the key, the smallest document and its rows.
     """
-    out = pa.schema([("doc", pa.int64()), ("tag", pa.int32()), ("pos", pa.int32())])
+    out = pa.schema([("doc", pa.int64()), ("tag", pa.binary()), ("pos", pa.int32())])
     held: list[pa.RecordBatch] = []  # rows of the smallest document of the unfinished group
     last_key, last_doc, shared = None, None, False
     for batch in batches:
@@ -155,8 +155,8 @@ def _stream_groups(batches: Iterator[pa.RecordBatch], keys: list[str], later_onl
                 held = []
             if not goes_on or group[-1] > 0:
                 held = []
-            # The last group may get its second document in the next batch.
-            if not has_later[-1]:
+            # The last group may get its second document in the next batch; none comes after null ids.
+            if not has_later[-1] and first_doc[-1] != LAST:
                 held.append(payload.filter(pa.array(group == group[-1])))
         chosen = np.flatnonzero(keep)
         if len(chosen):
@@ -246,7 +246,7 @@ def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _KEPT = (
-    "doc bigint, tag int, text string, places array<int>, n_words bigint, n_removed bigint, "
+    "doc bigint, tag binary, text string, places array<int>, n_words bigint, n_removed bigint, "
     "kept_sha256 string"
 )
 _NO_PLACES = "cast(null as array<int>)"
@@ -263,7 +263,7 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
         .filter("doc > smallest")
         .select("doc", "tag", F.lit(True).alias("copy"), F.expr(_NO_PLACES).alias("places"))
     )
-    anchors = texts.mapInArrow(_anchors, "hash bigint, doc bigint, tag int, pos int")
+    anchors = texts.mapInArrow(_anchors, "hash bigint, doc bigint, tag binary, pos int")
     places = (
         _shared(anchors, ["hash"], later_only=False)
         .groupBy("doc", "tag").agg(F.lit(False).alias("copy"), F.collect_set("pos").alias("places"))
@@ -280,7 +280,7 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
         "marked-texts",
     )
     candidates = met.filter("places IS NOT NULL").select("doc", "tag", "text", "places")
-    windows = candidates.mapInArrow(_windows, "hash bigint, check bigint, doc bigint, tag int, pos int")
+    windows = candidates.mapInArrow(_windows, "hash bigint, check bigint, doc bigint, tag binary, pos int")
     starts = stage(
         _shared(windows, ["hash", "check"], later_only=True)
         .groupBy("doc", "tag").agg(F.collect_set("pos").alias("starts")),

@@ -64,3 +64,27 @@ def test_segments_carry_the_loss():
 
 def test_empty_table(spark):
     assert digests(spark.createDataFrame([], TURNS)) == []
+
+
+def test_ranges_hold_no_whole_texts_and_keep_the_order(spark, monkeypatch):
+    """Long roles and texts that begin alike, under one conversation and turn."""
+    plans = []
+    stage = chatformat.stage
+    monkeypatch.setattr(chatformat, "stage", lambda df, name: plans.append(df._jdf.queryExecution().toString()) or stage(df, name))
+    roles = ["user", "assistant", None, "", "r" * 64, "r" * 64 + "a", "r" * 64 + "b", "r" * 65]
+    texts = [None, "", "z", "t" * 64, "t" * 64 + "b", "t" * 64 + "a", "s" * 200]
+    rows = [(1, t, r, x) for t in (0, None) for r in roles for x in texts] * 3
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        df = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string").repartition(3)
+        turns, _ = chatformat.format_conversations(df)
+        got = turns.orderBy("part", "place").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    written = ["".join(s["text"] for s in r.segments) for r in got]
+    key = lambda r: (r[1] is None, r[1] or 0, r[2] is not None, (r[2] or "").encode(), r[3] is not None, (r[3] or "").encode())
+    template = chatformat.Template()
+    expected = ["".join(s["text"] for s in template.segments(r[2] or "", r[3] or "")) for r in sorted(rows, key=key)]
+    assert written == expected
+    assert "rangepartitioning" in plans[0] and "text ASC" not in plans[0].partition("rangepartitioning(")[2].partition("\n")[0]

@@ -107,3 +107,29 @@ def test_recall_on_the_given_table(spark):
     assert set(got) == set(expected)
     hits = sum(len(set(got[q]) & set(expected[q])) for q in expected)
     assert hits >= 0.95 * 5 * len(expected)
+
+
+def test_every_length_is_a_set_of_its_own(spark):
+    rng = np.random.default_rng(12)
+    lengths = [4, 8, 1, 4, 8, 8]
+    rows = [(i, rng.normal(size=lengths[i % 6]).astype(np.float32)) for i in range(120)]
+    got = found(nearest.nearest(table(spark, *zip(*rows)), F.col("vec_id") % 5 == 0).collect())
+    expected = {}
+    for length in {4, 8}:
+        own = [(i, v) for i, v in rows if len(v) == length]
+        ids, vectors = zip(*own)
+        expected |= brute(ids, np.stack(vectors), lambda i: i % 5 == 0, 5)
+    assert {q: v for q, v in got.items() if lengths[q % 6] != 1} == expected
+    # Vectors of one component point one way or the other.
+    assert all(len(v) == 5 for q, v in got.items()) and set(got) == set(range(0, 120, 5))
+
+
+def test_a_vector_is_sent_once_for_each_chunk_of_its_list(spark, monkeypatch):
+    """Few numbers dealt together: many blocks and chunks, and the same neighbours."""
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(600, 6))
+    df = table(spark, range(600), vectors)
+    before = found(nearest.nearest(df, F.col("vec_id") % 2 == 0).collect())
+    monkeypatch.setattr(nearest, "DEALT", 6 * 40)
+    monkeypatch.setattr(nearest, "BLOCK", 40)
+    assert found(nearest.nearest(df, F.col("vec_id") % 2 == 0).collect()) == before

@@ -92,6 +92,7 @@ def test_stages_on_odd_documents(spark, kind):
         assert set(kept) <= set(rows)
         if name != "mixing" and kind == "odd":
             assert (None, "some words here", None, None, None) in kept
-            assert sum(r[0] == 10_003 for r in kept) == (1 if name.startswith("simhash") else 3)
+            # Two of them are copies of each other, the third is another text.
+            assert sum(r[0] == 10_003 for r in kept) == (2 if name.startswith("simhash") else 3)
     last = corpus_pipeline.STAGES[-1][1](spark, odd, FOLDER).collect()
     assert sorted((r.doc_id or 0) for r in last) == sorted((r[0] or 0) for r in rows if kind == "odd")

@@ -119,3 +119,23 @@ def test_copies_without_ids_go_too(spark):
     ]
     assert [r[3] for r in got if r[1] == bare] in ([0], [])
     assert simhash.keep_one(docs).filter("doc_id IS NULL").count() == 84
+
+
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    a, b, c = "one two three four", "five six seven eight", "quite other words here"
+    rows = [(3, a, "", 0), (5, a, "", 0), (5, b, "", 0), (7, c, "", 0), (9, b, "", 0)]
+    for without_ids in (False, True):
+        kept = simhash.keep_one(spark.createDataFrame(rows, DOCS).repartition(3), without_ids=without_ids)
+        assert sorted(map(tuple, kept.collect())) == [(3, a, "", 0), (5, b, "", 0), (7, c, "", 0)]
+
+
+def test_columns_of_any_name_and_type(spark):
+    text, other = "one two three four", "five six seven eight"
+    rows = [(i, t, 7, 8, {"k": i}, "x") for i, t in ((1, text), (1, text), (2, text), (4, other), (None, other), (None, None))]
+    schema = "doc_id bigint, text string, _id int, _place int, _bad map<string,int>, `a.b` string"
+    docs = spark.createDataFrame(rows, schema)
+    for without_ids, count in ((False, 4), (True, 3)):
+        kept = simhash.keep_one(docs, without_ids=without_ids)
+        assert kept.columns == docs.columns and kept.count() == count
+        assert {r[0] for r in kept.collect()} == {1, 4, None}
+        assert all(r._id == 7 and r._place == 8 for r in kept.collect())

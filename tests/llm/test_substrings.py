@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from codeprep.llm import substrings
 from codeprep.llm.oracles import OP8
@@ -74,3 +75,25 @@ def test_ids_that_repeat_or_are_null(spark):
     alone = [(None, passage, "x", 0), (None, "b " + passage, "x", 0)]
     assert {r.n_removed for r in substrings.remove_repeats(spark.createDataFrame(alone, DOCS)).collect()} == {0}
     assert substrings.remove_repeats(spark.createDataFrame(docs, DOCS).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("shared_id", [None, 7])
+def test_rows_of_one_id_with_equal_short_hashes(spark, shared_id):
+    """Two texts whose 32-bit hashes are equal: only one of them repeats an earlier document."""
+    words = F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(59)), lambda j: F.concat(F.lit("w"), F.col("id").cast("string"), F.lit("x"), j.cast("string"))))
+    pairs = spark.range(300_000).select(words.alias("text")).groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("texts"))
+    one, two = pairs.filter(F.size("texts") > 1).first().texts[:2]
+    docs = spark.createDataFrame([(1, one, "", 0), (shared_id, one, "", 0), (shared_id, two, "", 0), (None, "a b", "", 0)], DOCS)
+    got = sorted((r.doc_id or 0, r.n_removed) for r in substrings.remove_repeats(docs).collect())
+    assert got == sorted([(1, 0), (shared_id or 0, 60), (shared_id or 0, 0), (0, 0)])
+
+
+def test_many_rows_without_ids_share_a_passage(spark):
+    """Null ids are not earlier than each other, whatever the partitions and their number."""
+    passage = " ".join(f"p{i}" for i in range(70))
+    rows = [(None, f"own{i} {passage} end{i}", "", 0) for i in range(300)]
+    docs = spark.createDataFrame(rows, DOCS).repartition(5)
+    assert {r.n_removed for r in substrings.remove_repeats(docs).collect()} == {0}
+    with_first = spark.createDataFrame([(3, passage, "", 0), *rows], DOCS).repartition(5)
+    got = [(r.doc_id, r.n_removed) for r in substrings.remove_repeats(with_first).collect()]
+    assert sorted(got, key=repr) == sorted([(3, 0), *[(None, 70)] * 300], key=repr)
