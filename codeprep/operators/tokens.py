@@ -17,6 +17,7 @@ from codeprep.operators.ranking import number_rows
 from codeprep.operators.splitting import SEED, shuffle_key
 from codeprep.sources.instructions import ORDER
 from codeprep.staging import stage
+from codeprep.workers import reachable
 
 # Reserved ids, sequence limit, batch rows, padding step, label padding.
 PAD_ID = 0
@@ -50,15 +51,6 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))
 
 
-def count_tokens(texts: DataFrame) -> DataFrame:
-    """Occurrences per token of the column ``text``; counted before the shuffle."""
-    return (
-        texts.select(F.explode(tokens(F.col("text"))).alias("token"))
-        .groupBy("token")
-        .agg(F.count("*").alias("n"))
-    )
-
-
 def _most_frequent(counts: DataFrame, size: int) -> DataFrame:
     """Tokens at least as frequent as the ``size``-th one; ties may add more.
 
@@ -75,16 +67,44 @@ def _most_frequent(counts: DataFrame, size: int) -> DataFrame:
     return counts.filter(F.col("n") >= least.scalar())
 
 
-def _lines(max_tokens: int | None = None) -> Column:
-    """The tokens of the column ``text``, each on a line: no token holds a line end."""
-    found = tokens(F.col("text"))
-    return F.array_join(F.slice(found, 1, max_tokens) if max_tokens else found, "\n").alias("lines")
+def _lines(texts: DataFrame, *ids: str) -> DataFrame:
+    """``ids`` and ``lines``, the tokens of each text, each on a line: no token holds a line end."""
+    if "lines" in texts.columns:
+        return texts.select(*ids, "lines")
+    return texts.select(*ids, F.array_join(tokens(F.col("text")), "\n").alias("lines"))
+
 
+def tokenise(texts: DataFrame, ids: Sequence[str] = ORDER) -> DataFrame:
+    """The tokens of the column ``text``, written once: for ``fit_vocab`` and ``encode``, which else
+    would each make the texts and find their tokens.
+    """
+    return stage(_lines(texts, *ids), "token-lines")
 
-def _split_lines(lines: pa.Array) -> pa.Array:
-    flat = pc.list_flatten(pc.split_pattern(lines, "\n"))
+
+def _split_lines(lines: pa.Array, most: int | None = None) -> tuple[pa.Array, np.ndarray]:
+    """The first tokens of all texts, and how many each has."""
+    lines = pc.fill_null(lines, "")
+    split = pc.split_pattern(lines, "\n")
+    if most:
+        split = pc.list_slice(split, 0, most)
+    flat = pc.list_flatten(split)
     # An empty text was split into one empty line.
-    return flat.filter(pc.not_equal(flat, ""))
+    sizes = pc.list_value_length(split).to_numpy() - pc.equal(lines, "").to_numpy(zero_copy_only=False)
+    return flat.filter(pc.not_equal(flat, "")), sizes
+
+
+def _slice_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences per token in each slice of the texts."""
+    for rows in _slices(batches, "lines"):
+        counted = _split_lines(rows.column("lines"))[0].value_counts()
+        yield pa.RecordBatch.from_arrays([counted.field("values"), counted.field("counts")], names=["token", "n"])
+
+
+def count_tokens(texts: DataFrame) -> DataFrame:
+    """Occurrences per token of the column ``text``; counted in slices, then in tasks, before the shuffle."""
+    reachable(texts.sparkSession)
+    counted = _lines(texts).mapInArrow(_slice_counts, "token string, n bigint")
+    return counted.groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def _summaries(capacity: int):
@@ -95,7 +115,7 @@ def _summaries(capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, over = pd.Series(dtype=np.int64), 0
         for rows in _slices(batches, "lines"):
-            counted = _split_lines(pc.fill_null(rows.column("lines"), "")).value_counts()
+            counted = _split_lines(rows.column("lines"))[0].value_counts()
             new = pd.Series(counted.field("counts").to_numpy(), counted.field("values").to_pylist())
             held = held.add(new, fill_value=0).astype(np.int64)
             if len(held) > capacity:
@@ -116,9 +136,10 @@ def _count_frequent(texts: DataFrame, size: int, capacity: int) -> DataFrame:
     bounds is counted, all others are not, so what is shuffled does not grow with the number of
     different tokens. If the bounds leave room for a token that no summary holds, all are counted.
     """
+    reachable(texts.sparkSession)
     summary = _summaries(capacity)
     summed = stage(
-        texts.select(_lines()).mapInArrow(summary, "token string, n bigint").groupBy("token").agg(F.sum("n").alias("n")),
+        _lines(texts).mapInArrow(summary, "token string, n bigint").groupBy("token").agg(F.sum("n").alias("n")),
         "token-summary",
     )
     over = (summed.filter("token = ''").agg(F.max("n").alias("n")).first().n) or 0
@@ -132,7 +153,7 @@ def _count_frequent(texts: DataFrame, size: int, capacity: int) -> DataFrame:
     weight = likely.agg(F.count("*").alias("n"), F.sum(F.octet_length("token")).alias("bytes")).first()
     if weight.n <= MAX_BROADCAST_TOKENS and weight.bytes <= MAX_BROADCAST_BYTES:
         likely = F.broadcast(likely)
-    every = texts.select(F.explode(tokens(F.col("text"))).alias("token"))
+    every = _lines(texts).select(F.explode(F.split("lines", "\n")).alias("token"))
     return stage(every.join(likely, "token").groupBy("token").agg(F.count("*").alias("n")), "token-counts")
 
 
@@ -179,7 +200,7 @@ def _slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Recor
                 yield batch.slice(start, stop - start)
 
 
-def _look_up(frequent: Broadcast, ids: Sequence[str]):
+def _look_up(frequent: Broadcast, ids: Sequence[str], max_tokens: int):
     """Ids of the tokens of each text, which stand on a line each.
 
     A token that is not frequent gets -1 - its place among those of its slice, which the first
@@ -190,16 +211,14 @@ def _look_up(frequent: Broadcast, ids: Sequence[str]):
         known, known_ids = frequent.value
         block = TaskContext.get().partitionId() << 32
         for rows in _slices(batches, "lines"):
-            lines = pc.fill_null(rows.column("lines"), "")
-            flat = _split_lines(lines)
-            sizes = pc.add(pc.count_substring(lines, "\n"), pc.cast(pc.not_equal(lines, ""), pa.int32()))
+            flat, sizes = _split_lines(rows.column("lines"), max_tokens)
             kinds = flat.dictionary_encode()
             at = pc.index_in(kinds.dictionary, value_set=known)
             new = pc.is_null(at).to_numpy(zero_copy_only=False)
             number = np.where(new, -np.cumsum(new), 0)
             number[~new] = known_ids[at.drop_null().to_numpy()]
             values = number[kinds.indices.to_numpy()]
-            offsets = np.concatenate([[0], np.cumsum(sizes.to_numpy())]).astype(np.int32)
+            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             rest = pa.array([None] * rows.num_rows, pa.list_(pa.string()))
             if new.any():
                 listed = kinds.dictionary.filter(pa.array(new))
@@ -246,7 +265,7 @@ def encode(
 
     The end id is appended before the cut, so a cut row loses it. Labels repeat
     the ids. ``ids`` identify a row; the text is not kept. ``vocab`` is what
-    ``fit_vocab`` returns.
+    ``fit_vocab`` returns. Both take what ``tokenise`` returns as well.
 
     The most frequent tokens of the vocabulary are sent to all tasks, which
     translate the texts in slices. A slice names each of its other tokens once;
@@ -255,6 +274,7 @@ def encode(
     one row per slice, so none of them is a hot key. Without a rest of the
     vocabulary nothing moves.
     """
+    reachable(texts.sparkSession)
     frequent = _frequent(vocab).orderBy("id").toArrow()  # of checked size
     known = frequent["token"].combine_chunks(), frequent["id"].to_numpy()
     last = int(known[1][-1]) if len(known[1]) else FIRST_ID - 1
@@ -263,7 +283,7 @@ def encode(
     kinds = (array, T.BooleanType(), T.LongType(), T.ArrayType(T.StringType()))
     schema = T.StructType([*fields, *map(T.StructField, _LOOKED_UP, kinds)])
     sent = texts.sparkSession.sparkContext.broadcast(known)
-    looked_up = stage(texts.select(*ids, _lines(max_tokens)).mapInArrow(_look_up(sent, tuple(ids)), schema), "token-ids")
+    looked_up = stage(_lines(texts, *ids).mapInArrow(_look_up(sent, tuple(ids), max_tokens), schema), "token-ids")
     unknown = F.lit(UNKNOWN_ID)
     rare = vocab.filter(F.col("id") > last).select("token", "id")
     if rare.isEmpty():

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from codeprep.functions.prompts import training_prompt
 from codeprep.operators.cleaning import clean, first_wins, quality_filter
 from codeprep.operators.splitting import EVAL_SHARE, SEED, sample_exact, split_exact, write_split
-from codeprep.operators.tokens import MAX_TOKENS, encode, fit_vocab
+from codeprep.operators.tokens import MAX_TOKENS, encode, fit_vocab, tokenise
 from codeprep.sources.instructions import ORDER, SOURCE_ORDER, SourceSpec, load_sources
 from codeprep.staging import stage
 
@@ -96,9 +96,9 @@ def build_dataset(
 ) -> list[SourceRows]:
     """Load, clean, filter, remove copies, sample, split, encode and write.
 
-    Two tables are written on the way: the prepared samples, which the sample,
-    the split, the vocabulary and the encoding read, and the ranked
-    vocabulary. Rows are assigned to a split by their ids before encoding, so
+    Three tables are written on the way: the prepared samples, which the sample
+    and the split read, their tokens, which the vocabulary and the encoding
+    read, and the ranked vocabulary. Rows are assigned to a split by their ids before encoding, so
     the encoded arrays go straight to their place. The passes that write also
     count the rows of each source after each step. Files that cannot be read to
     their end are left out and named, see ``load_sources``.
@@ -111,10 +111,11 @@ def build_dataset(
         samples = stage(steps.count(sample, "n_sampled"), "sampled")
     split = split_exact(samples, config.eval_share, config.seed, SOURCE_ORDER)
     ids = (*SOURCE_ORDER, "split")
-    vocab = fit_vocab(training_texts(samples), config.max_vocab)
     for part in ("train", "eval"):
         split = steps.count(split, f"n_{part}", F.col("split") == part)
-    write_split(encode(training_texts(split, *ids), vocab, ids, config.max_tokens), path)
+    lines = tokenise(training_texts(split, *ids), ids)
+    vocab = fit_vocab(lines, config.max_vocab)
+    write_split(encode(lines, vocab, ids, config.max_tokens), path)
     report = []
     for s in statuses:
         rows = steps.rows(s.source_rank) if s.loaded else {}

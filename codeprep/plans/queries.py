@@ -266,8 +266,9 @@ def split_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 def funnel_last_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of each source that are tokenised, and how they are split."""
     split = splitting.split_exact(_prepared(spark, sf_dir))
-    texts = training_texts(split, *ORDER, "split")
-    encoded = tokens.encode(texts, tokens.fit_vocab(texts), (*ORDER, "split"))
+    ids = (*ORDER, "split")
+    lines = tokens.tokenise(training_texts(split, *ids), ids)
+    encoded = tokens.encode(lines, tokens.fit_vocab(lines), ids)
     return cleaning.last_steps(encoded)
 
 
@@ -479,8 +480,8 @@ def vocab_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def encode_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = _texts(spark, sf_dir)
-    encoded = tokens.encode(texts, tokens.fit_vocab(texts))
+    lines = tokens.tokenise(_texts(spark, sf_dir))
+    encoded = tokens.encode(lines, tokens.fit_vocab(lines))
     return encoded.select(
         *ORDER,
         "was_truncated",
@@ -493,8 +494,8 @@ def encode_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def padded_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = _texts(spark, sf_dir)
-    batches = tokens.padded_batches(tokens.encode(texts, tokens.fit_vocab(texts)))
+    lines = tokens.tokenise(_texts(spark, sf_dir))
+    batches = tokens.padded_batches(tokens.encode(lines, tokens.fit_vocab(lines)))
 
     def digest(c: str):
         return F.md5(F.array_join(F.col(c).cast("array<string>"), " ")).alias(f"{c}_md5")

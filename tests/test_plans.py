@@ -12,7 +12,7 @@ from codeprep.staging import stage
 SMALL = "/root/testdata/sf0.001"
 # Through Python, with Arrow: files, whose names and bytes Spark's readers do not take as they are,
 # and tokens, which are looked up and counted in slices.
-ARROW = {"code_file_scan", "encode_lengths", "padded_batches", "funnel_last_steps", "vocab_topk"}
+ARROW = {"code_file_scan", "encode_lengths", "padded_batches", "funnel_last_steps", "vocab_fit", "vocab_topk"}
 PLANNED = sorted(set(QUERIES) - ARROW)
 
 
