@@ -86,7 +86,7 @@ def test_stage_keeps_columns_of_any_name_and_type(spark):
     rows = [(1, item, 1, 2, {"k": 1}), (2, "clean words", 1, 2, None), (None, item, 1, 2, None), (None, None, 1, 2, None)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, _id int, _bad int, key map<string,int>")
     items = spark.createDataFrame([(9, item)], "item_id bigint, text string")
-    kept = decontamination.remove_contaminated(docs, items)
+    kept = remove_contaminated(docs, items)
     assert kept.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text) for r in kept.collect() if r.text) == [(2, "clean words")]
     assert kept.count() == 2

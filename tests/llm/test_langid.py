@@ -86,3 +86,13 @@ def test_presence_counts_and_values():
     )
     expected = centred @ beta + y.mean(axis=0)
     assert model.values(data, offsets)[:30] == pytest.approx(expected, abs=1e-4)
+
+
+def test_repeated_ids_give_the_same_model_under_any_partitioning(spark):
+    docs = make(120)
+    docs += [(i, text, lang, "x", "y") for (i, _, lang, _, _), (_, text, _, _, _) in zip(docs[:60], docs[60:])]
+    scores = []
+    for parts in (1, 3, 7):
+        got = langid.predict_language(spark.createDataFrame(docs, DOCS).repartition(parts, "text")).collect()
+        scores.append(sorted((r.doc_id, r.lang_pred, r.score) for r in got))
+    assert scores[0] == scores[1] == scores[2]
