@@ -8,8 +8,8 @@ Null and empty texts are clean, like each other as near copies, contaminated by
 in the mix and a record with the end id alone. Rows without an id are kept by all stages but the
 near-copy one, which takes them as copies like any other. Unlike texts under one id are judged
 apart, equal rows alike. Of near copies that tie the smallest id stays, then the smallest hash of
-the text. Further columns pass the first four stages under any name. Empty documents give an empty
-result.
+the text. Further columns pass the first four stages, but for names that begin with ``_mix_``, which
+the mix uses. Empty documents give an empty result.
 """
 
 from __future__ import annotations
