@@ -17,7 +17,7 @@ from codeprep.operators.ranking import number_rows
 from codeprep.operators.splitting import SEED, shuffle_key
 from codeprep.sources.instructions import ORDER
 from codeprep.staging import stage
-from codeprep.workers import reachable
+from codeprep.workers import batches_of, reachable
 
 # Reserved ids, sequence limit, batch rows, padding step, label padding.
 PAD_ID = 0
@@ -36,7 +36,7 @@ TOKEN_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\p{Z}\t-\r\x1c-\x1f\x85]"
 MAX_BROADCAST_TOKENS = 500_000
 MAX_BROADCAST_BYTES = 32_000_000
 
-# Bytes of text that a task translates together.
+# Bytes of text that a task gets from Spark and translates together.
 SLICE_BYTES = 8 << 20
 
 # Tokens that the summary of a task holds at least.
@@ -81,16 +81,14 @@ def tokenise(texts: DataFrame, ids: Sequence[str] = ORDER) -> DataFrame:
     return stage(_lines(texts, *ids), "token-lines")
 
 
-def _split_lines(lines: pa.Array, most: int | None = None) -> tuple[pa.Array, np.ndarray]:
-    """The first tokens of all texts, and how many each has."""
-    lines = pc.fill_null(lines, "")
-    split = pc.split_pattern(lines, "\n")
-    if most:
-        split = pc.list_slice(split, 0, most)
-    flat = pc.list_flatten(split)
-    # An empty text was split into one empty line.
-    sizes = pc.list_value_length(split).to_numpy() - pc.equal(lines, "").to_numpy(zero_copy_only=False)
-    return flat.filter(pc.not_equal(flat, "")), sizes
+def _split_lines(lines: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of all texts, and how many each has."""
+    # An empty text would be split into one empty line.
+    full = pc.fill_null(pc.not_equal(lines, ""), False)
+    split = pc.split_pattern(lines.filter(full), "\n")
+    sizes = np.zeros(len(lines), np.int64)
+    sizes[full.to_numpy(zero_copy_only=False)] = pc.list_value_length(split).to_numpy()
+    return pc.list_flatten(split), sizes
 
 
 def _slice_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,7 +99,10 @@ def _slice_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def count_tokens(texts: DataFrame) -> DataFrame:
-    """Occurrences per token of the column ``text``; counted in slices, then in tasks, before the shuffle."""
+    """Occurrences per token of the column ``text``; counted in slices, then in tasks, before the shuffle.
+
+    Run the jobs that need it inside ``batches_of``, as ``fit_vocab`` does.
+    """
     reachable(texts.sparkSession)
     counted = _lines(texts).mapInArrow(_slice_counts, "token string, n bigint")
     return counted.groupBy("token").agg(F.sum("n").alias("n"))
@@ -165,12 +166,13 @@ def fit_vocab(texts: DataFrame, max_size: int | None = None, capacity: int | Non
     only tokens that may be among them are counted; a task keeps ``capacity``
     tokens to tell which.
     """
-    if max_size:
-        room = capacity or max(LEAST_CAPACITY, 4 * max_size)
-        counts = _most_frequent(_count_frequent(texts, max_size, room), max_size)
-    else:
-        counts = count_tokens(texts)
-    ranked = number_rows(counts, [F.desc("n"), F.asc("token")], "rank")
+    with batches_of(texts.sparkSession, SLICE_BYTES):
+        if max_size:
+            room = capacity or max(LEAST_CAPACITY, 4 * max_size)
+            counts = _most_frequent(_count_frequent(texts, max_size, room), max_size)
+        else:
+            counts = count_tokens(texts)
+        ranked = number_rows(counts, [F.desc("n"), F.asc("token")], "rank")
     vocab = ranked.select("token", "n", (F.col("rank") + FIRST_ID).alias("id"))
     return vocab.filter(F.col("id") < FIRST_ID + max_size) if max_size else vocab
 
@@ -190,17 +192,26 @@ def _frequent(vocab: DataFrame) -> DataFrame:
 
 
 def _slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Rows in runs of about ``SLICE_BYTES`` of a text column; a longer text is a run of its own."""
+    """Rows in runs of about ``SLICE_BYTES`` of a text column; the text that reaches them ends a run."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        run = np.cumsum(sizes.astype(np.int64)) // SLICE_BYTES
+        sizes = sizes.astype(np.int64)
+        run = (np.cumsum(sizes) - sizes) // SLICE_BYTES
         edges = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), batch.num_rows]
         for start, stop in zip(edges, edges[1:]):
             if stop > start:
                 yield batch.slice(start, stop - start)
 
 
-def _look_up(frequent: Broadcast, ids: Sequence[str], max_tokens: int):
+def _places(known: pa.Array, names: pa.Array) -> np.ndarray:
+    """Where each of ``names`` stands in ``known``, or -1. Only the names are hashed: those of one slice."""
+    found = pc.index_in(known, value_set=names)
+    at = np.full(len(names), -1, np.int32)
+    at[found.drop_null().to_numpy()] = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+    return at
+
+
+def _look_up(frequent: Broadcast, ids: Sequence[str]):
     """Ids of the tokens of each text, which stand on a line each.
 
     A token that is not frequent gets -1 - its place among those of its slice, which the first
@@ -211,25 +222,24 @@ def _look_up(frequent: Broadcast, ids: Sequence[str], max_tokens: int):
         known, known_ids = frequent.value
         block = TaskContext.get().partitionId() << 32
         for rows in _slices(batches, "lines"):
-            flat, sizes = _split_lines(rows.column("lines"), max_tokens)
+            flat, sizes = _split_lines(rows.column("lines"))
             kinds = flat.dictionary_encode()
-            at = pc.index_in(kinds.dictionary, value_set=known)
-            new = pc.is_null(at).to_numpy(zero_copy_only=False)
-            number = np.where(new, -np.cumsum(new), 0)
-            number[~new] = known_ids[at.drop_null().to_numpy()]
+            at = _places(known, kinds.dictionary)
+            new = at < 0
+            number = np.where(new, -np.cumsum(new), known_ids[at]).astype(np.int32)
             values = number[kinds.indices.to_numpy()]
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             rest = pa.array([None] * rows.num_rows, pa.list_(pa.string()))
+            lowest = np.zeros(rows.num_rows, bool)
             if new.any():
                 listed = kinds.dictionary.filter(pa.array(new))
                 first = pa.ListArray.from_arrays(pa.array([0, len(listed)], pa.int32()), listed)
                 rest = pa.concat_arrays([first, rest.slice(1)])
-            lowest = np.zeros(rows.num_rows, bool)
-            lowest[np.repeat(np.arange(rows.num_rows), np.diff(offsets))[values < 0]] = True
+                lowest[sizes > 0] = np.minimum.reduceat(values, offsets[:-1][sizes > 0]) < 0
             yield pa.RecordBatch.from_arrays(
                 [
                     *[rows.column(c) for c in ids],
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32))),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
                     pa.array(lowest),
                     pa.array(np.full(rows.num_rows, block, np.int64)),
                     rest,
@@ -276,14 +286,18 @@ def encode(
     """
     reachable(texts.sparkSession)
     frequent = _frequent(vocab).orderBy("id").toArrow()  # of checked size
-    known = frequent["token"].combine_chunks(), frequent["id"].to_numpy()
-    last = int(known[1][-1]) if len(known[1]) else FIRST_ID - 1
+    # One id more, as the place -1 of a token that is not found must be one, too.
+    known = frequent["token"].combine_chunks(), np.append(frequent["id"].to_numpy(), UNKNOWN_ID).astype(np.int32)
+    last = int(known[1][-2]) if len(frequent) else FIRST_ID - 1
     fields = texts.select(*ids).schema.fields
     array = T.ArrayType(T.IntegerType())
     kinds = (array, T.BooleanType(), T.LongType(), T.ArrayType(T.StringType()))
     schema = T.StructType([*fields, *map(T.StructField, _LOOKED_UP, kinds)])
     sent = texts.sparkSession.sparkContext.broadcast(known)
-    looked_up = stage(_lines(texts, *ids).mapInArrow(_look_up(sent, tuple(ids), max_tokens), schema), "token-ids")
+    # The cut is made before the tokens are sent to Python.
+    first = _lines(texts, *ids).withColumn("lines", F.substring_index("lines", "\n", max_tokens))
+    with batches_of(texts.sparkSession, SLICE_BYTES):
+        looked_up = stage(first.mapInArrow(_look_up(sent, tuple(ids)), schema), "token-ids")
     unknown = F.lit(UNKNOWN_ID)
     rare = vocab.filter(F.col("id") > last).select("token", "id")
     if rare.isEmpty():

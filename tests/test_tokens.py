@@ -3,10 +3,12 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from codeprep.operators import tokens
+from codeprep.workers import BATCH_BYTES
 
 TOKEN = re.compile(r"\w+|[^\w\s]")
 
@@ -174,6 +176,46 @@ def test_slices_long_texts_and_nulls(spark, monkeypatch, most):
     assert all(r.input_ids == [1] * (len(r.input_ids) - 1) + [2] for r in nothing)
 
 
+@pytest.mark.parametrize("size", [None, 1000])
+def test_counting_gets_small_batches(spark, monkeypatch, size):
+    """Whatever the number of texts, a worker holds about a slice of them."""
+    before = spark.conf.get(BATCH_BYTES)
+
+    def bytes_got(batches):
+        for n, batch in enumerate(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([f"{n} {batch.nbytes}"]), pa.array([1])], names=["token", "n"])
+
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 4000)
+    monkeypatch.setattr(tokens, "_slice_counts", bytes_got)
+    monkeypatch.setattr(tokens, "_summaries", lambda capacity: bytes_got)
+    texts = [f"w{i} " * 100 for i in range(100)]
+    got = [int(r.token.split()[1]) for r in tokens.fit_vocab(table(spark, texts, 1), size).collect()]
+    assert sum(got) > sum(map(len, texts)) and max(got) < 5000
+    assert spark.conf.get(BATCH_BYTES) == before
+
+
+def test_encoding_gets_small_batches_of_cut_texts(spark, monkeypatch):
+    written = {}
+    stage = tokens.stage
+
+    def kept(df, name):
+        written[name] = stage(df, name)
+        return written[name]
+
+    monkeypatch.setattr(tokens, "stage", kept)
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 4000)
+    before = spark.conf.get(BATCH_BYTES)
+    # 10 tokens each; of the long ones, which would fill a batch each, only so many are sent.
+    texts = ["hot " * 2000] * 20 + [f"w{i}x " * 10 for i in range(300)]
+    vocab = tokens.fit_vocab(table(spark, texts, 1))
+    rows = tokens.encode(table(spark, texts, 1), vocab, max_tokens=10).collect()
+    expected = py_vocab(texts)
+    assert {r.row_idx: r.input_ids for r in rows} == {i: py_encode(t, expected, 10) for i, t in enumerate(texts)}
+    sizes = [r["count"] for r in written["token-ids"].groupBy("block").count().collect()]
+    assert len(sizes) < 10 and max(sizes) * 40 < 5000
+    assert spark.conf.get(BATCH_BYTES) == before
+
+
 def test_only_rare_tokens_move(spark, monkeypatch):
     """No table has a row per token: frequent tokens stay with their text."""
     written = {}
